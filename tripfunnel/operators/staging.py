@@ -83,7 +83,7 @@ def _text(field: Field) -> Column:
     return value
 
 
-def _typed(field: Field) -> Column:
+def typed(field: Field) -> Column:
     if field.name == "search_query":
         return F.lower(F.trim(_text(field)))
     return _text(field) if field.type == "string" else _text(field).try_cast(field.type)
@@ -103,7 +103,7 @@ def _cast_errors(fields: tuple[Field, ...]) -> Column:
     )
 
 
-def _parse(raw: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+def parse(raw: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
     return raw.withColumn("_json", F.from_json("payload", _text_schema(fields))).withColumn(
         "_errors", _cast_errors(fields)
     )
@@ -118,11 +118,11 @@ def stage(raw: DataFrame, kind: str) -> DataFrame:
     """
     fields = FIELDS[kind]
     typed = (
-        _parse(raw, fields)
+        parse(raw, fields)
         .filter(F.size("_errors") == 0)
         .select(
             "event_id",
-            *[_typed(f).alias(f.name) for f in fields],
+            *[typed(f).alias(f.name) for f in fields],
             "ingested_at",
             F.xxhash64("payload").alias("_tie"),
         )
@@ -145,7 +145,7 @@ def stage_conversion(raw: DataFrame) -> DataFrame:
 def staging_rejects(raw: DataFrame, kind: str) -> DataFrame:
     """Raw rows that staging refuses, with the fields at fault."""
     return (
-        _parse(raw, FIELDS[kind])
+        parse(raw, FIELDS[kind])
         .filter(F.size("_errors") > 0)
         .select("event_id", "payload", "ingested_at", F.array_join("_errors", ",").alias("bad_fields"))
     )
