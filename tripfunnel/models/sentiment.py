@@ -41,13 +41,19 @@ def vocabulary(documents: DataFrame, size: int = 5000) -> DataFrame:
     """The ``size`` most frequent terms of a ``terms`` column with their counts and the
     number of documents holding them; equal counts in alphabetical order.
     """
-    per_document = documents.select(F.monotonically_increasing_id().alias("_doc"), "terms")
+    def marks(items: Column, tf: int, df: int) -> Column:
+        return F.transform(
+            items,
+            lambda t: F.struct(
+                t.alias("term"), F.lit(tf).cast("long").alias("tf"), F.lit(df).cast("long").alias("df")
+            ),
+        )
+
+    listed = F.concat(marks(F.col("terms"), 1, 0), marks(F.array_distinct("terms"), 0, 1))
     counted = (
-        per_document.select("_doc", F.explode("terms").alias("term"))
-        .groupBy("_doc", "term")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        documents.select(F.inline(listed))
         .groupBy("term")
-        .agg(F.sum("_n").alias("tf"), F.count(F.lit(1)).alias("df"))
+        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
     return counted.orderBy(F.col("tf").desc(), F.col("term")).limit(size)
 

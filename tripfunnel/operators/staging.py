@@ -83,7 +83,7 @@ def _text(field: Field) -> Column:
     return value
 
 
-def typed(field: Field) -> Column:
+def typed_value(field: Field) -> Column:
     if field.name == "search_query":
         return F.lower(F.trim(_text(field)))
     return _text(field) if field.type == "string" else _text(field).try_cast(field.type)
@@ -122,7 +122,7 @@ def stage(raw: DataFrame, kind: str) -> DataFrame:
         .filter(F.size("_errors") == 0)
         .select(
             "event_id",
-            *[typed(f).alias(f.name) for f in fields],
+            *[typed_value(f).alias(f.name) for f in fields],
             "ingested_at",
             F.xxhash64("payload").alias("_tie"),
         )

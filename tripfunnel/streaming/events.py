@@ -23,7 +23,7 @@ def stream_staging(raw: DataFrame, kind: str) -> DataFrame:
     return (
         staging.parse(raw, fields)
         .filter(F.size("_errors") == 0)
-        .select("event_id", *[staging.typed(f).alias(f.name) for f in fields], "ingested_at")
+        .select("event_id", *[staging.typed_value(f).alias(f.name) for f in fields], "ingested_at")
     )
 
 
@@ -106,10 +106,11 @@ def _within(later: str, earlier: str, window: str) -> Column:
 
 
 def stream_journeys(
-    searches: DataFrame, clicks: DataFrame, conversions: DataFrame, window: str = "24 hours",
-    late: str = LATE,
+    searches: DataFrame, clicks: DataFrame, conversions: DataFrame, click_window: str = "24 hours",
+    booking_window: str = "48 hours", late: str = LATE,
 ) -> DataFrame:
-    """Search → click → conversion as two left outer stream-stream joins.
+    """Search → click → conversion as two left outer stream-stream joins; both windows
+    are counted from the search.
 
     Time bounds let the state expire; rows without a match appear once the watermark has
     passed their window. Searches without a click are left out of the second join's key
@@ -136,21 +137,22 @@ def stream_journeys(
     clicked = s.join(
         c,
         (F.col("search_event_id") == F.col("_search"))
-        & _within("click_timestamp", "search_timestamp", window),
+        & _within("click_timestamp", "search_timestamp", click_window),
         "left_outer",
-    ).withColumn(
-        "_click_key",
-        F.coalesce("click_event_id", F.concat(F.lit("no click for "), F.col("search_event_id"))),
+    ).withColumns(
+        {
+            "_click_key": F.coalesce(
+                "click_event_id", F.concat(F.lit("no click for "), F.col("search_event_id"))
+            ),
+            # From here on the search time alone is the event time.
+            "click_timestamp": F.timestamp_micros(F.unix_micros("click_timestamp")),
+        }
     )
     return (
         clicked.join(
             v,
             (F.col("_click_key") == F.col("_click"))
-            & (F.col("conversion_timestamp") >= F.col("search_timestamp"))
-            & (
-                F.col("conversion_timestamp")
-                <= F.col("search_timestamp") + F.expr(f"INTERVAL {window}") * 2
-            ),
+            & _within("conversion_timestamp", "search_timestamp", booking_window),
             "left_outer",
         )
         .select(
