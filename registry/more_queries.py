@@ -53,17 +53,19 @@ MILLIS = "epoch_us(ts) / 1000.0::DOUBLE"
 
 @register(
     "downsample",
-    f"""WITH p AS (SELECT {MILLIS} AS t, value FROM events),
+    f"""WITH p AS (SELECT {MILLIS} AS t, CAST(value AS DECIMAL(10,2)) AS value FROM events),
     b AS (SELECT min(t) AS t0, (max(t) - min(t)) / 800 AS width, count(*) AS n FROM p),
     cut AS (SELECT CAST(floor((t - t0) / width) AS BIGINT) AS i, t0, width, value FROM p, b WHERE n > 1600)
-    SELECT round(t0 + i * width, 3) AS timestamp_ms, round(round(avg(value), 2), 6) AS value,
+    SELECT CAST(floor(t0 + i * width) AS BIGINT) AS timestamp_ms, round(CAST((2 * CAST(sum(value) * 100 AS BIGINT) + count(*)) // (2 * count(*)) AS DOUBLE) / 100, 6) AS value,
       count(*) AS count, round(min(value), 6) AS min_value, round(max(value), 6) AS max_value
     FROM cut GROUP BY i, t0, width
-    UNION ALL SELECT round(t, 3), round(value, 6), 1, round(value, 6), round(value, 6) FROM p, b WHERE n <= 1600""",
+    UNION ALL SELECT CAST(floor(t) AS BIGINT), round(value, 6), 1, round(value, 6), round(value, 6) FROM p, b WHERE n <= 1600""",
 )
 def downsample(spark, sf_dir):
-    series = reporting.downsample(read_table(spark, sf_dir, "events"), "ts", "value", 800)
-    return series.withColumn("timestamp_ms", F.round("timestamp_ms", 3))
+    events = read_table(spark, sf_dir, "events")
+    points = events.select("ts", F.col("value").cast("decimal(10,2)").alias("value"))
+    series = reporting.downsample(points, "ts", "value", 800)
+    return series.withColumn("timestamp_ms", F.floor("timestamp_ms"))
 
 
 @register(
@@ -858,7 +860,7 @@ def risk_level(spark, sf_dir):
 )
 def tfidf_vocabulary(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents")
-    return sentiment.vocabulary(documents.select(sentiment.terms(F.col("text")).alias("terms")))
+    return sentiment.vocabulary(sentiment.with_terms(documents.select("text")))
 
 
 @register("sentiment_score")

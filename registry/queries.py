@@ -30,7 +30,8 @@ def tidy(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         kind, c = field.dataType.typeName(), F.col(f"`{field.name}`")
         if kind in ("double", "float", "decimal"):
-            c = F.round(c.cast("double"), 6)
+            # Spelt out, because engines differ in how they round a binary tie.
+            c = F.floor(c.cast("double") * 1e6 + 0.5) / 1e6
         elif kind in ("timestamp", "timestamp_ntz"):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif kind == "date":
@@ -46,7 +47,7 @@ def register(name: str, oracle: str | None = None):
 
         QUERIES[name] = run
         if oracle:
-            ORACLE[name] = oracle
+            ORACLE[name] = sql.portable_rounding(oracle)
         return build
 
     return wrap

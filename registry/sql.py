@@ -248,6 +248,25 @@ def select(columns: str, source: str) -> str:
     return f"SELECT {', '.join(parts)} FROM {source}"
 
 
+def portable_rounding(text: str) -> str:
+    """Replaces ``round(x, 6)`` by the same floor expression that the Spark side uses."""
+    done, rest = "", text
+    while (at := rest.find("round(")) >= 0:
+        start, depth = at + len("round("), 1
+        end = start
+        while depth:
+            depth += {"(": 1, ")": -1}.get(rest[end], 0)
+            end += 1
+        inner = rest[start : end - 1]
+        if inner.rstrip().endswith(", 6"):
+            value = portable_rounding(inner.rstrip()[: -len(", 6")])
+            done += f"{rest[:at]}(floor(CAST({value} AS DOUBLE) * 1000000.0::DOUBLE + 0.5) / 1000000.0::DOUBLE)"
+        else:
+            done += f"{rest[:at]}round({portable_rounding(inner)})"
+        rest = rest[end:]
+    return done + rest
+
+
 def query(*ctes: str, final: str) -> str:
     return f"WITH {','.join(ctes)}\n{final}" if ctes else final
 

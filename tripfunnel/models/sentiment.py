@@ -17,45 +17,58 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A word: two or more letters, digits or underscores of any script.
-WORD = r"[\p{L}\p{N}_]{2,}"
+from tripfunnel.session import spread
 
+# Everything between words; a word has letters, digits and underscores of any script.
+BETWEEN_WORDS = r"[^\p{L}\p{N}_]+"
 
-def terms(text: Column, stop_words: Sequence[str] = ()) -> Column:
-    """Lower-case words without stop words, followed by the pairs of neighbours."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
+
+def with_terms(df: DataFrame, text: str = "text", stop_words: Sequence[str] = ()) -> DataFrame:
+    """Adds ``terms``: the lower-case words of two or more characters that are no stop
+    words, followed by the pairs of neighbours.
+
+    The words are a column of their own first: used several times in one expression, they
+    would be split out of the text again each time.
+    """
+    words = F.filter(F.split(F.lower(text), BETWEEN_WORDS), lambda w: F.length(w) >= 2)
     if stop_words:
         words = F.filter(words, lambda w: ~w.isin(*stop_words))
+    inner = F.greatest(F.size("_words") - 1, F.lit(0))
     pairs = F.zip_with(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
+        F.slice("_words", 1, inner),
+        F.slice("_words", 2, inner),
+        lambda a, b: F.concat(a, F.lit(" "), b),
     )
-    return F.when(F.size(words) > 1, F.concat(words, pairs)).otherwise(words)
+    return spread(df).withColumn("_words", words).withColumn(
+        "terms", F.concat("_words", pairs)
+    ).drop("_words")
 
 
 def vocabulary(documents: DataFrame, size: int = 5000) -> DataFrame:
     """The ``size`` most frequent terms of a ``terms`` column with their counts and the
     number of documents holding them; equal counts in alphabetical order.
-    """
-    def marks(items: Column, tf: int, df: int) -> Column:
-        return F.transform(
-            items,
-            lambda t: F.struct(
-                t.alias("term"), F.lit(tf).cast("long").alias("tf"), F.lit(df).cast("long").alias("df")
-            ),
-        )
 
-    listed = F.concat(marks(F.col("terms"), 1, 0), marks(F.array_distinct("terms"), 0, 1))
+    Document counts are taken for the chosen terms only, which ``size`` keeps small
+    enough to broadcast. ``explode_outer`` spares the filter that Spark would derive from
+    ``explode``, which would compute the terms a second time.
+    """
     counted = (
-        documents.select(F.inline(listed))
+        documents.select(F.explode_outer("terms").alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("tf"))
+        .filter(F.col("term").isNotNull())
+    )
+    top = counted.orderBy(F.col("tf").desc(), F.col("term")).limit(size)
+    holding = (
+        documents.select(F.explode_outer(F.array_distinct("terms")).alias("term"))
+        .join(F.broadcast(top.select("term")), "term", "left_semi")
         .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        .agg(F.count(F.lit(1)).alias("df"))
     )
-    return counted.orderBy(F.col("tf").desc(), F.col("term")).limit(size)
+    return top.join(holding, "term")
 
 
 class SentimentModel:
@@ -76,7 +89,7 @@ class SentimentModel:
         self.pipeline: PipelineModel | None = None
 
     def _with_terms(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("terms", terms(F.col(self.text), self.stop_words or ()))
+        return with_terms(df, self.text, self.stop_words or ())
 
     def fit(self, reviews: DataFrame) -> SentimentModel:
         if self.stop_words is None:
@@ -91,7 +104,9 @@ class SentimentModel:
             for row in labelled.groupBy(self.label).agg(F.count(F.lit(1))).collect()
         }
         n = sum(classes.values())
-        chosen = vocabulary(labelled, self.max_terms).collect()
+        chosen = sorted(
+            vocabulary(labelled, self.max_terms).collect(), key=lambda r: (-r["tf"], r["term"])
+        )
         words = [row["term"] for row in chosen]
         idf = [self._idf(n, row["df"]) for row in chosen]
 

@@ -14,11 +14,11 @@ def downsample(df: DataFrame, ts: str, value: str, buckets: int = 800) -> DataFr
     """Thins a series to about ``buckets`` averages of equal time width.
 
     A series of at most ``2 * buckets`` points comes back as it is (count 1). The last
-    point falls into a bucket of its own. Only the three scalars that size the buckets
+    point falls into a bucket of its own. Decimal values are averaged exactly. Only the three scalars that size the buckets
     are read on the driver; the series itself is aggregated in place.
     """
     millis = F.unix_micros(ts) / F.lit(1000.0)
-    points = df.select(millis.alias("timestamp_ms"), F.col(value).cast("double").alias("value"))
+    points = df.select(millis.alias("timestamp_ms"), F.col(value).alias("value"))
     points = points.filter(F.col("timestamp_ms").isNotNull())
     n, start, end = points.agg(
         F.count(F.lit(1)), F.min("timestamp_ms"), F.max("timestamp_ms")

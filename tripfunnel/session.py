@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tripfunnel", master: str | None = None, **conf: str) -> SparkSession:
@@ -36,6 +36,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """More tasks for CPU-heavy work on an input with few splits; otherwise unchanged."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def _checkpoint_root(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
