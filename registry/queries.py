@@ -411,9 +411,10 @@ def _register_attribution(model: str, pick: str, columns: tuple[str, ...]) -> No
 
 
 _TOUCH = ("touch_event_id", "touch_timestamp")
-_BEST = "{f}(s.event_id, (s.event_timestamp, s.event_id)) AS touch_event_id, strftime({g}(s.event_timestamp), '%Y-%m-%d %H:%M:%S.%f') AS touch_timestamp"
-_register_attribution("last", _BEST.format(f="arg_max", g="max"), _TOUCH)
-_register_attribution("first", _BEST.format(f="arg_min", g="min"), _TOUCH)
+_BEST = """arg_max(s.event_id, ({sign}epoch_us(s.event_timestamp), s.event_id)) AS touch_event_id,
+  strftime({best}(s.event_timestamp), '%Y-%m-%d %H:%M:%S.%f') AS touch_timestamp"""
+_register_attribution("last", _BEST.format(sign="", best="max"), _TOUCH)
+_register_attribution("first", _BEST.format(sign="-", best="min"), _TOUCH)
 _register_attribution("any", "count(s.event_id) AS touch_count", ("touch_count",))
 
 # ---------------------------------------------------------------- marts

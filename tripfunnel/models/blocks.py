@@ -19,7 +19,7 @@ def _best(k: int, masked_score: float):
         import pandas as pd
 
         if users.empty or items.empty:
-            return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in ("user_id", "item_id", "score")})
         items = items.sort_values("item_id")
         names = items["item_id"].to_numpy()
         position = {name: i for i, name in enumerate(names)}

@@ -131,8 +131,9 @@ def attribute(
 
     ``last`` and ``first`` add ``touch_event_id`` and ``touch_timestamp`` of the
     nearest and the earliest touch in ``[conversion - window, conversion]``; ``any``
-    adds ``touch_count``. None of them builds conversion-touch pairs: a user with a
-    third of all events costs as much per event as everybody else.
+    adds ``touch_count``. Among touches at the same instant the largest id counts. None
+    of them builds conversion-touch pairs: a user with a third of all events costs as much
+    per event as everybody else.
     """
     window = F.make_dt_interval(secs=F.lit(window_hours * 3600))
     converted_at = F.col("event_timestamp")

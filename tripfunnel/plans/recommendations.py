@@ -130,7 +130,7 @@ def _meet(min_shared: int):
 
         columns = ["dest", "dests", "destination", "strength", "supporters"]
         if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in columns})
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in columns})
         pivot = left["dest"].iloc[0]
         held = [d for dests in (*left["dests"], *right["r_dests"]) for d in dests]
         names = sorted(set(held))
