@@ -104,7 +104,11 @@ def _cast_errors(fields: tuple[Field, ...]) -> Column:
 
 
 def parse(raw: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    return raw.withColumn("_json", F.from_json("payload", _text_schema(fields))).withColumn(
+    """Adds ``_json`` and ``_errors``. The generator keeps later filters above the parsed
+    value: pushed below it, each of their terms would parse the document again.
+    """
+    parsed = F.from_json("payload", _text_schema(fields))
+    return raw.select("*", F.explode_outer(F.array(parsed)).alias("_json")).withColumn(
         "_errors", _cast_errors(fields)
     )
 
@@ -112,22 +116,21 @@ def parse(raw: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
 def stage(raw: DataFrame, kind: str) -> DataFrame:
     """Typed rows of one event kind, newest version per ``event_id``.
 
-    Rows with text that does not fit its type are left to ``staging_rejects``. Equal
+    Versions with text that does not fit its type rank last and are not returned; see
+    ``staging_rejects``. Filtering them afterwards leaves one pass over the JSON. Equal
     ``ingested_at`` is settled by the payload's hash: the same winner on every run,
     without moving the payload through the shuffle.
     """
     fields = FIELDS[kind]
-    typed = (
-        parse(raw, fields)
-        .filter(F.size("_errors") == 0)
-        .select(
-            "event_id",
-            *[typed_value(f).alias(f.name) for f in fields],
-            "ingested_at",
-            F.xxhash64("payload").alias("_tie"),
-        )
+    typed = raw.withColumn("_json", F.from_json("payload", _text_schema(fields))).select(
+        "event_id",
+        *[typed_value(f).alias(f.name) for f in fields],
+        "ingested_at",
+        (F.size(_cast_errors(fields)) == 0).alias("_valid"),
+        F.xxhash64("payload").alias("_tie"),
     )
-    return dedupe_latest(typed, ["event_id"], ["ingested_at", "_tie"]).drop("_tie")
+    latest = dedupe_latest(typed, ["event_id"], ["_valid", "ingested_at", "_tie"])
+    return latest.filter("_valid").drop("_valid", "_tie")
 
 
 def stage_search(raw: DataFrame) -> DataFrame:
