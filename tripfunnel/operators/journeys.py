@@ -25,30 +25,49 @@ def user_journeys(searches: DataFrame, clicks: DataFrame, conversions: DataFrame
         F.col("product_type").alias("converted_product_type"),
     )
     touched = clicks.filter(F.col("search_event_id").isNotNull()).select(
-        F.col("search_event_id").alias("_clicked_search"),
-        F.col("event_id").alias("click_event_id"),
-        F.col("event_timestamp").alias("click_timestamp"),
+        "search_event_id",
+        "event_id",
+        "event_timestamp",
         "result_position",
         "result_type",
         "result_price",
         "result_destination",
         "result_provider",
     )
+    # Renaming after the join leaves both of its branches the same input to share.
+    outcomes = left_join_many(touched, booked, "event_id", "_booked_click").withColumnsRenamed(
+        {
+            "search_event_id": "_clicked_search",
+            "event_id": "click_event_id",
+            "event_timestamp": "click_timestamp",
+        }
+    )
     searched = searches.select(
-        F.col("event_id").alias("search_event_id"),
+        "event_id",
+        "event_timestamp",
         "user_id",
         "session_id",
-        F.col("event_timestamp").alias("search_timestamp"),
         "search_query",
-        F.col("results_count").alias("search_results_count"),
+        "results_count",
         "platform",
         "device_type",
         "geo_country",
         "utm_source",
         "utm_campaign",
     )
-    outcomes = left_join_many(touched, booked, "click_event_id", "_booked_click")
-    joined = left_join_many(searched, outcomes, "search_event_id", "_clicked_search")
+    joined = left_join_many(
+        searched,
+        outcomes,
+        "event_id",
+        "_clicked_search",
+        present=touched.withColumnRenamed("search_event_id", "_clicked_search"),
+    ).withColumnsRenamed(
+        {
+            "event_id": "search_event_id",
+            "event_timestamp": "search_timestamp",
+            "results_count": "search_results_count",
+        }
+    )
 
     def minutes(later: str, earlier: str):
         return F.round(minutes_between(F.col(later), F.col(earlier)), 2)

@@ -30,20 +30,33 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return first_per_group(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
-def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def left_join_many(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+    present: DataFrame | None = None,
+) -> DataFrame:
     """Left join where one left row may match very many right rows.
 
     A plain left join cannot be rescued from a hot key on its right side: only the
     preserved side may be split. The inner join can be split on both sides by the
     skew-join rule, and the rows without a match come from an anti join against the
-    distinct keys, which are combined before they are shuffled.
+    distinct keys, which are combined before they are shuffled. Both joins read the same
+    shuffle of the left side. Left rows without a key are added without any join.
+
+    ``present`` is a cheaper source of the right keys where ``right`` is a join itself.
     """
-    matched = left.join(right, F.col(left_key) == F.col(right_key), "inner")
-    present = right.select(F.col(right_key).alias("_present")).filter(
-        F.col("_present").isNotNull()
-    ).distinct()
-    alone = left.join(present, F.col(left_key) == F.col("_present"), "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    keyed = left.filter(F.col(left_key).isNotNull())
+    keys = (
+        (right if present is None else present)
+        .select(F.col(right_key).alias("_present"))
+        .filter(F.col("_present").isNotNull())
+        .distinct()
+    )
+    matched = keyed.join(right, F.col(left_key) == F.col(right_key), "inner")
+    alone = keyed.join(keys, F.col(left_key) == F.col("_present"), "left_anti")
+    keyless = left.filter(F.col(left_key).isNull())
+    return matched.unionByName(alone, allowMissingColumns=True).unionByName(
+        keyless, allowMissingColumns=True
+    )
 
 
 def search_text(df: DataFrame, column: str, term: str) -> DataFrame:

@@ -128,7 +128,10 @@ def _meet(min_shared: int):
         import numpy as np
         import pandas as pd
 
-        columns = ["dest", "dests", "destination", "strength", "supporters"]
+        columns = (
+            "dest", "dests", "destinations", "strengths", "supporters", "total_strength",
+            "total_supporters",
+        )
         if left.empty or right.empty:
             return pd.DataFrame({c: pd.Series(dtype=object) for c in columns})
         pivot = left["dest"].iloc[0]
@@ -154,36 +157,28 @@ def _meet(min_shared: int):
         first = similar & ((ours[:, :before] @ theirs[:, :before].T) == 0)
         users = right["n"].to_numpy(dtype=np.float64)
         supporters = first @ (theirs * users[:, None])
-        row, col = np.nonzero(strength > 0)
-        sets = left["dests"].to_numpy()
-        scores = pd.DataFrame(
-            {
-                "dest": pivot,
-                "dests": sets[row],
-                "destination": np.array(names, dtype=object)[col],
-                "strength": strength[row, col],
-                "supporters": np.rint(supporters[row, col]).astype("int64"),
-            }
-        )
-        totals = pd.DataFrame(
+        # One row per set, with its destinations not held by the set side by side.
+        row, col = np.nonzero((strength > 0) & (ours == 0))
+        cuts = np.searchsorted(row, np.arange(1, len(left)))
+        return pd.DataFrame(
             {
                 "dest": pivot,
-                "dests": sets,
-                "destination": None,
-                "strength": similar @ right["weight_sum"].to_numpy(dtype=np.float64),
-                "supporters": np.rint(first @ users).astype("int64"),
+                "dests": left["dests"].to_numpy(),
+                "destinations": np.split(np.array(names, dtype=object)[col], cuts),
+                "strengths": np.split(strength[row, col], cuts),
+                "supporters": np.split(np.rint(supporters[row, col]).astype("int64"), cuts),
+                "total_strength": similar @ right["weight_sum"].to_numpy(dtype=np.float64),
+                "total_supporters": np.rint(first @ users).astype("int64"),
             }
         )
-        return pd.concat([scores, totals], ignore_index=True)
 
     return meet
 
 
-def set_strengths(sets: DataFrame, min_shared: int, block_size: int = 2048) -> DataFrame:
-    """``T(P, e, d)`` with the users behind it, for every ``d`` met, held or not.
-
-    Rows without a destination carry the totals over all similar users: how many are
-    first met in ``dest``, and their summed weight on it.
+def set_meetings(sets: DataFrame, min_shared: int, block_size: int = 2048) -> DataFrame:
+    """Per set, shared destination ``dest`` and block of other sets: ``T(P, e, d)`` and the
+    users behind it for the destinations ``d`` the set does not hold, and the totals over
+    all similar users (summed weight on ``dest``; users first met there).
     """
     left, right = _blocked(_set_products(sets), block_size)
     keys = ["dest", "left_block", "right_block"]
@@ -196,12 +191,10 @@ def set_strengths(sets: DataFrame, min_shared: int, block_size: int = 2048) -> D
         "products",
     )
     left = left.select(*[F.col(k).alias(k) for k in keys], F.col("dests").alias("dests"))
-    met = left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInPandas(
+    return left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInPandas(
         _meet(min_shared),
-        "dest string, dests array<string>, destination string, strength double, supporters long",
-    )
-    return met.groupBy("dests", "dest", "destination").agg(
-        F.sum("strength").alias("strength"), F.sum("supporters").alias("supporters")
+        "dest string, dests array<string>, destinations array<string>, strengths array<double>, "
+        "supporters array<long>, total_strength double, total_supporters long",
     )
 
 
@@ -225,10 +218,19 @@ def recommendation_candidates(
 ) -> DataFrame:
     """``(user_id, destination, raw_score, supporting_users)`` for unseen destinations."""
     sets = _user_sets(user_destination, min_shared)
-    unseen = set_strengths(sets, min_shared, block_size).filter(
-        F.col("destination").isNotNull() & ~F.array_contains("dests", F.col("destination"))
+    scores = F.arrays_zip(
+        F.col("destinations").alias("destination"),
+        F.col("strengths").alias("strength"),
+        F.col("supporters").alias("supporters"),
     )
-    per_set = unseen.groupBy("dests", "destination").agg(
+    strengths = (
+        set_meetings(sets, min_shared, block_size)
+        .select("dests", "dest", F.inline_outer(scores))
+        .filter(F.col("destination").isNotNull())
+        .groupBy("dests", "dest", "destination")
+        .agg(F.sum("strength").alias("strength"), F.sum("supporters").alias("supporters"))
+    )
+    per_set = strengths.groupBy("dests", "destination").agg(
         F.sum("supporters").alias("supporting_users"), _by_dest("strength").alias("_strengths")
     )
     # Identical users share their scores; score each profile once.
@@ -254,7 +256,11 @@ def user_similarity(
     the set products. The user's meeting with themselves is taken out again.
     """
     sets = _user_sets(user_destination, min_shared)
-    totals = set_strengths(sets, min_shared, block_size).filter(F.col("destination").isNull())
+    totals = (
+        set_meetings(sets, min_shared, block_size)
+        .groupBy("dests", "dest")
+        .agg(F.sum("total_strength").alias("strength"), F.sum("total_supporters").alias("supporters"))
+    )
     per_set = totals.groupBy("dests").agg(
         F.sum("supporters").alias("_met"), _by_dest("strength").alias("_strengths")
     )

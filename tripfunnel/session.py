@@ -21,6 +21,8 @@ def build_session(app: str = "tripfunnel", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # A busy user's session rows are merged in every task before they are shuffled.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:
