@@ -233,17 +233,8 @@ def recommendation_candidates(
     per_set = strengths.groupBy("dests", "destination").agg(
         F.sum("supporters").alias("supporting_users"), _by_dest("strength").alias("_strengths")
     )
-    # Identical users share their scores; score each profile once.
-    profiles = sets.select("dests", "weights").distinct()
-    scored = profiles.join(per_set, "dests").select(
-        "dests",
-        "weights",
-        "destination",
-        "supporting_users",
-        _weighted("_strengths").alias("raw_score"),
-    )
-    return sets.join(scored, ["dests", "weights"]).select(
-        "user_id", "destination", "raw_score", "supporting_users"
+    return sets.join(per_set, "dests").select(
+        "user_id", "destination", _weighted("_strengths").alias("raw_score"), "supporting_users"
     )
 
 
