@@ -656,6 +656,12 @@ def svd_recommend(spark, sf_dir):
     return recommender.SvdRecommender(k=10).fit(rated).recommend(rated, 10)
 
 
+@register("als_recommend")
+def als_recommend(spark, sf_dir):
+    rated = recommender.ratings(_interactions(spark, sf_dir))
+    return recommender.AlsRecommender(rank=10, max_iter=5).fit(rated).recommend(10)
+
+
 def _item_features(spark, sf_dir) -> DataFrame:
     """Per destination: price level, demand and booking share from clicks and bookings."""
     _, clicks, conversions = inputs.all_staged(spark, sf_dir)

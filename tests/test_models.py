@@ -48,6 +48,17 @@ def test_svd_refuses_a_catalogue_beyond_its_bound(spark):
         recommender.SvdRecommender(k=2, max_items=3).fit(df)
 
 
+def test_als_ranks_what_similar_users_took(spark):
+    rows = [(f"a{u}", f"x{i}", 5.0) for u in range(8) for i in range(5) if (u + i) % 5]
+    rows += [(f"b{u}", f"y{i}", 5.0) for u in range(8) for i in range(5) if (u + i) % 5]
+    df = spark.createDataFrame(rows, "user_id string, item_id string, rating double")
+    numbered = recommender.number_ids(df, "user_id", "n")
+    assert sorted(r["n"] for r in numbered.collect()) == list(range(16))
+    best = recommender.AlsRecommender(rank=2, max_iter=8).fit(df).recommend(5).collect()
+    assert len(best) == 80
+    assert all({"a": "x", "b": "y"}[r["user_id"][0]] == r["item_id"][0] for r in best)
+
+
 FEATURES = ["price", "beach", "same"]
 
 

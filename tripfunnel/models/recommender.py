@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.recommendation import ALS
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg import SparseVector, VectorUDT
 from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripfunnel.models.blocks import top_items
@@ -66,7 +67,7 @@ class SvdRecommender:
     """Truncated SVD of the user × item matrix (missing = 0); seen items stay in.
 
     The factorisation itself is Spark's distributed Gramian with a driver-side
-    eigenproblem, so the catalogue must fit ``max_items``; use ALS beyond that.
+    eigenproblem, so the catalogue must fit ``max_items``; see ``AlsRecommender`` beyond.
     """
 
     def __init__(self, k: int = 50, max_items: int = 10_000):
@@ -80,7 +81,7 @@ class SvdRecommender:
         catalog = rating_rows.select("item_id").distinct()
         names = [row[0] for row in catalog.limit(self.max_items + 1).collect()]
         if len(names) > self.max_items:
-            raise ValueError(f"more than {self.max_items} items: use ALS")
+            raise ValueError(f"more than {self.max_items} items: use AlsRecommender")
         self.items = sorted(names)
         rows = self._rows(rating_rows)
         size = len(self.items)
@@ -156,6 +157,53 @@ class SvdRecommender:
         return model
 
 
+def number_ids(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct ``key`` values with a dense integer, the same on every run.
+
+    Values are ranked inside 4096 digest buckets; only the bucket sizes are added up in
+    one place.
+    """
+    ids = df.select(key).distinct().withColumn("_digest", F.md5(F.col(key).cast("binary")))
+    ids = ids.withColumn("_bucket", F.substring("_digest", 1, 3))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ids.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    nth = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", key)) - 1
+    return ids.withColumn("_nth", nth).join(offsets, "_bucket").select(
+        key, (F.col("_offset") + F.col("_nth")).cast("int").alias(name)
+    )
+
+
+class AlsRecommender:
+    """Alternating least squares on implicit ratings, for catalogues beyond the SVD's bound."""
+
+    def __init__(self, rank: int = 50, max_iter: int = 10, reg: float = 0.1, seed: int = 42):
+        self.als = ALS(
+            rank=rank, maxIter=max_iter, regParam=reg, seed=seed, implicitPrefs=True,
+            userCol="_user", itemCol="_item", ratingCol="rating",
+        )
+
+    def fit(self, rating_rows: DataFrame) -> AlsRecommender:
+        self.users = number_ids(rating_rows, "user_id", "_user")
+        self.items = number_ids(rating_rows, "item_id", "_item")
+        numbered = rating_rows.join(self.users, "user_id").join(self.items, "item_id")
+        self.model = self.als.fit(numbered.select("_user", "_item", "rating"))
+        return self
+
+    def recommend(self, top_n: int = 10) -> DataFrame:
+        """``(user_id, item_id, score, rank)`` for every user; seen items stay in."""
+        best = self.model.recommendForAllUsers(top_n).select(
+            "_user", F.posexplode("recommendations").alias("_pos", "_best")
+        )
+        return (
+            best.select("_user", "_best.*", (F.col("_pos") + 1).alias("rank"))
+            .join(self.users, "_user")
+            .join(self.items, "_item")
+            .select("user_id", "item_id", F.col("rating").cast("double").alias("score"), "rank")
+        )
+
+
 class ContentRecommender:
     """Mean cosine similarity to the liked items over standardised item features.
 
