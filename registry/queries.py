@@ -154,7 +154,14 @@ def load_raw(spark, sf_dir):
     return loaded.select("event_id", doc("event_type"), doc("user_id"), doc("session_id"))
 
 
-@register("missing_source")
+@register(
+    "missing_source",
+    sql.query(
+        EV,
+        final="""SELECT 'feed' AS source_file, (SELECT count(*) FROM searches)
+        + (SELECT count(*) FROM clicks) + (SELECT count(*) FROM conversions) AS lines""",
+    ),
+)
 def missing_source(spark, sf_dir):
     """A feed without a file: zero rows next to the documents that do exist."""
     absent = raw_layer.read_jsonl(spark, f"{sf_dir}/no_such_feed")
@@ -578,7 +585,7 @@ def _merged_sql(updated: tuple[str, ...], tracked: bool) -> str:
         else f"CASE WHEN o.user_id IS NOT NULL THEN o.{c} ELSE n.{c} END AS {c}"
         for c in activation.CRM_ATTRIBUTES
     ]
-    previous = "o.segment" if tracked else "NULL"
+    previous = "o.segment" if tracked else "NULL::VARCHAR"
     changed = f"CASE WHEN o.segment <> n.segment THEN {sql.ts(AS_OF)} END" if tracked else "NULL::TIMESTAMP"
     return f"""
 merged AS (
