@@ -260,7 +260,7 @@ def portable_rounding(text: str) -> str:
         inner = rest[start : end - 1]
         if inner.rstrip().endswith(", 6"):
             value = portable_rounding(inner.rstrip()[: -len(", 6")])
-            done += f"{rest[:at]}(floor(CAST({value} AS DOUBLE) * 1000000.0::DOUBLE + 0.5) / 1000000.0::DOUBLE)"
+            done += f"{rest[:at]}(floor(CAST({value} AS DOUBLE) * 1000000.0::DOUBLE + 0.5001::DOUBLE) / 1000000.0::DOUBLE)"
         else:
             done += f"{rest[:at]}round({portable_rounding(inner)})"
         rest = rest[end:]
