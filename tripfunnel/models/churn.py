@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripfunnel.functions.scalar import clock, days_between, minutes_between, risk_level
@@ -109,7 +109,7 @@ def churn_features(events: DataFrame, as_of=None, placeholder_duration: bool = F
         F.sum("_weekend").alias("_weekend"),
     )
 
-    def share(numerator: str, denominator) -> DataFrame:
+    def share(numerator: str, denominator: Column) -> Column:
         return F.col(numerator).cast("double") / denominator
 
     duration = (

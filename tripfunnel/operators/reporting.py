@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfunnel.functions.scalar import half_up, ratio, seconds_between
+from tripfunnel.functions.scalar import clock, half_up, ratio, seconds_between
 
 
 def downsample(df: DataFrame, ts: str, value: str, buckets: int = 800) -> DataFrame:
@@ -105,8 +105,6 @@ def _funnel_rates(df: DataFrame) -> DataFrame:
 def daily_funnel(funnel: DataFrame, days: int | None = 7, as_of=None) -> DataFrame:
     """Searches, clicks, conversions and rates per day, for the last ``days`` days."""
     if days is not None:
-        from tripfunnel.functions.scalar import clock
-
         funnel = funnel.filter(F.col("funnel_date") > F.date_sub(F.to_date(clock(as_of)), days))
     return _funnel_rates(funnel.groupBy(F.col("funnel_date").alias("date")).agg(*_funnel_sums()))
 
