@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfunnel.llm import fertility, packing, pu_quality, simhash
+from tripfunnel.llm import fertility, language, packing, pu_quality, simhash, toxicity
 from tripfunnel.llm.common import documents, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,14 @@ def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs, ~held_out("doc_id", 5, 0))
+    found, name = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), f"{name}.*")
+
+
 @register
 def op6_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
@@ -57,3 +65,14 @@ def op6_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, labels(spark, sf_dir), ~held_out("doc_id", 3, 1))
+    scored, score = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), F.col(score).alias("score"),
+        (F.col(score) >= LEAST).cast("int").alias("predicted"),
+    )
