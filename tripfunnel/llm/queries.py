@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfunnel.llm import fertility, language, packing, pu_quality, simhash, toxicity
+from tripfunnel.llm import fertility, language, packing, pu_quality, sharding, simhash, toxicity, vector_dedup
 from tripfunnel.llm.common import documents, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,13 @@ def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id", 3, 1).alias("held_out"), F.col(score).alias("score"),
         (F.col(score) >= LEAST).cast("int").alias("predicted"),
     )
+
+
+@register
+def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@register
+def op7_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(documents(spark, sf_dir)).drop("row")
