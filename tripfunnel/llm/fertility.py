@@ -20,8 +20,7 @@ the operator does not name pass through ``annotate``; a clash of names is avoide
 from __future__ import annotations
 
 import os
-from collections import Counter, defaultdict
-from itertools import chain, count, islice
+from collections import Counter
 
 import numpy as np
 import sentencepiece
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfunnel.llm.common import BLANK, annotate, free_name, spans, stored
+from tripfunnel.llm.words import Remembered
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
@@ -51,8 +51,6 @@ FIELDS = T.StructType(
         T.StructField("entropy", T.DoubleType()),
     ]
 )
-#: Words remembered per Python worker.
-REMEMBERED = 600_000
 
 
 def repeat_words(words: list) -> int:
@@ -75,42 +73,19 @@ def duplicate_lines(text: str) -> int:
 
 
 class Meter:
-    """Measures texts; remembers the tokens of words it has met, as one array that words point into."""
+    """Measures texts."""
 
     def __init__(self, model: bytes):
         self.encoder = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = self.encoder.get_piece_size()
         self.is_byte = np.array([self.encoder.is_byte(i) for i in range(self.size)])
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = defaultdict(count().__next__)  # a new word gets the next number
-        self.tokens = np.empty(0, dtype=np.int32)
-        self.starts = np.zeros(1, dtype=np.int64)  # of each word, and the end of the last
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word; new words are encoded."""
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        first = len(self.known)
-        found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        if len(self.known) > first:
-            new = [w.decode() for w in islice(self.known, first, None)]
-            ids = self.encoder.encode(new, num_threads=1)
-            ends = self.starts[-1] + np.cumsum([len(i) for i in ids], dtype=np.int64)
-            self.starts = np.concatenate([self.starts, ends])
-            self.tokens = np.concatenate([self.tokens, np.fromiter(chain.from_iterable(ids), np.int32)])
-        return found
+        self.words = Remembered(lambda words: self.encoder.encode([w.decode() for w in words], num_threads=1))
 
     def token_measures(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each text: tokens, byte tokens, entropy over the logarithm of the token count."""
         texts = len(split)
-        number = self.numbers([w for words in split for w in words])
-        text = np.repeat(np.arange(texts), [len(words) for words in split])
-        length = self.starts[number + 1] - self.starts[number]
-        before = np.cumsum(length) - length
-        ids = self.tokens[np.repeat(self.starts[number] - before, length) + np.arange(length.sum())]
-        text = np.repeat(text, length)
+        ids, length = self.words.tokens_of([w for words in split for w in words])
+        text = np.repeat(np.repeat(np.arange(texts), [len(words) for words in split]), length)
         n = np.bincount(text, minlength=texts)
         n_bytes = np.bincount(text[self.is_byte[ids]], minlength=texts)
         pairs = np.sort(text * self.size + ids)
@@ -222,15 +197,17 @@ def judge(
     passed = measured.filter(~base_failed(F.col(m))).select(F.col(group).alias("group"), *ratios(F.col(m)))
     bands = stored(fit_bands(passed, width, least), "bands")  # a row for each language
     ends = [c for c in bands.columns if c != "group"]
-    own = bands.filter(F.col("group").isNotNull()).select(
-        F.col("group").alias("__group"), F.struct(*ends).alias("__own")
-    )
-    shared = bands.filter(F.col("group").isNull()).select(F.struct(*ends).alias("__all"))
-    joined = measured.join(own, F.col(group) == F.col("__group"), "left").join(F.broadcast(shared))  # one row
-    band = F.coalesce(F.col("__own"), F.col("__all"))
+    shared = bands.filter(F.col("group").isNull()).first()  # one row
+    own = bands.filter(F.col("group").isNotNull()).select(F.col("group").alias("__group"), F.struct(*ends).alias("__band"))
+    joined = measured.join(own, F.col(group) == F.col("__group"), "left")
+
+    def end_of(name: str) -> Column:
+        whole = F.lit(shared[name]).cast("double")
+        return F.when(F.col("__group").isNull(), whole).otherwise(F.col("__band")[name])
+
     within = F.lit(True)
     for value, r in zip(ratios(F.col(m)), RATIOS):
-        for end, outside in ((band[f"{r}_low"], value < band[f"{r}_low"]), (band[f"{r}_high"], value > band[f"{r}_high"])):
+        for outside in (value < end_of(f"{r}_low"), value > end_of(f"{r}_high")):
             within = within & ~F.coalesce(outside, F.lit(False))
     failed = base_failed(F.col(m))
     verdict = F.struct(

@@ -1,0 +1,130 @@
+"""Cross-entropy difference of two matched n-gram models.
+
+Both models are trigram models over the 256 bytes of UTF-8: one shared, closed vocabulary without
+unknown words, for every language. Three bytes give at most 2**24 counts, so exact counts over a whole
+corpus of any size fit in memory, and what is broadcast has a fixed bound. They are matched: same order,
+vocabulary and smoothing (interpolated Witten-Bell: a context that is followed by many different bytes
+leaves more to the shorter context; below the single byte lies the uniform distribution).
+
+A document's tokens are its bytes and an end mark; two marks (byte 0) come before the first. The score
+is the mean over tokens of ``loss(target) - loss(background)`` in nats: negative for text that is more
+like the target than like the background.
+
+Counting adds up one table per task; a task sends its counts that are not zero, and Spark sums them by
+n-gram. Scoring looks tokens up in place, without a shuffle.
+
+Defined cases: a null text is like an empty one: its only token is the end mark; equal rows get equal
+scores and are counted as often as they occur; models of empty tables are uniform; an empty table of
+documents gives an empty result.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tripfunnel.llm.common import annotate, free_name, spans, texts_of, utf8_of
+
+BYTES = 256
+CODES = BYTES**3
+LOSSES = T.StructType(
+    [T.StructField("n_tokens", T.LongType())]
+    + [T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "score")]
+)
+
+
+def trigrams(texts: list[str | None], most: int = 4_000_000):
+    """Codes of all trigrams of consecutive texts, and how many each text has, some megabytes at a time."""
+    raw = utf8_of(texts)
+    for start, end in spans([len(r) + 3 for r in raw], most):
+        part = raw[start:end]
+        points = np.frombuffer(b"".join(b"\0\0%b\0" % r for r in part), dtype=np.uint8).astype(np.int32)
+        codes = (points[:-2] << 16) | (points[1:-1] << 8) | points[2:]
+        sizes = np.array([len(r) + 1 for r in part])
+        inside = np.ones(len(codes), dtype=bool)  # not the two that reach into the next text
+        ends = np.cumsum(sizes + 2)[:-1]
+        inside[ends - 2] = inside[ends - 1] = False
+        yield codes[inside], sizes
+
+
+def count(texts: DataFrame, text: str = "text") -> DataFrame:
+    """``code`` and ``n`` of every trigram that occurs, over whole texts."""
+
+    def run(batches):
+        total = np.zeros(CODES, dtype=np.int64)
+        for batch in batches:
+            for codes, _ in trigrams(texts_of(batch, text)):
+                total += np.bincount(codes, minlength=CODES)
+        found = np.flatnonzero(total)
+        for start in range(0, len(found), 100_000):
+            some = found[start : start + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], names=["code", "n"])
+
+    return texts.select(text).mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+@dataclass(frozen=True)
+class Counts:
+    """All trigrams of a corpus that occur; at most ``CODES``."""
+
+    codes: np.ndarray
+    n: np.ndarray
+
+    @staticmethod
+    def of(table: pa.Table) -> Counts:
+        codes, n = table.column("code").to_numpy(), table.column("n").to_numpy()
+        order = np.argsort(codes)
+        return Counts(codes[order], n[order])
+
+    def losses(self) -> np.ndarray:
+        """-log P(third | first two) of every trigram."""
+        pair, last = self.codes >> 8, self.codes & 0xFF
+        two = np.bincount(self.codes & 0xFFFF, weights=self.n, minlength=BYTES**2).reshape(BYTES, BYTES)
+        one = two.sum(axis=0)
+        p1 = (one + (one > 0).sum() / BYTES) / max(one.sum() + (one > 0).sum(), 1) if one.sum() else np.full(BYTES, 1 / BYTES)
+        kinds = (two > 0).sum(axis=1, keepdims=True)
+        some = np.maximum(two.sum(axis=1, keepdims=True) + kinds, 1)
+        p2 = np.where(kinds > 0, (two + kinds * p1) / some, p1)
+        seen = np.bincount(pair, weights=self.n, minlength=BYTES**2)
+        follow = np.bincount(pair, minlength=BYTES**2)
+        left = np.where(follow > 0, follow / np.maximum(seen + follow, 1), 1.0)
+        out = (left.reshape(BYTES, BYTES, 1) * p2[None]).astype(np.float32).reshape(-1)
+        out[self.codes] += (self.n / (seen + follow)[pair]).astype(np.float32)
+        np.log(out, out=out)
+        np.negative(out, out=out)
+        return out
+
+
+class Scorer:
+    """Both loss tables (64 MB each) of one task."""
+
+    def __init__(self, target: Counts, background: Counts):
+        self.target, self.background = target.losses(), background.losses()
+
+    def __call__(self, texts: list[str | None]) -> list[dict]:
+        out = []
+        for codes, sizes in trigrams(texts):
+            first = np.cumsum(sizes) - sizes
+            target = np.add.reduceat(self.target[codes], first, dtype=np.float64) / sizes
+            background = np.add.reduceat(self.background[codes], first, dtype=np.float64) / sizes
+            for n, a, b in zip(sizes.tolist(), target.tolist(), background.tolist()):
+                out.append(
+                    {"n_tokens": n, "target_loss": round(a, 6), "background_loss": round(b, 6), "score": round(a - b, 6)}
+                )
+        return out
+
+
+def score(docs: DataFrame, target: DataFrame, background: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with a struct of token count, losses and score, and that column's name.
+
+    ``target`` and ``background`` are tables with a ``text`` column; all their texts are counted.
+    """
+    models = [Counts.of(count(t, text).toArrow()) for t in (target, background)]
+    shipped = docs.sparkSession.sparkContext.broadcast(models)  # at most CODES counts each
+    name = free_name(docs, "losses")
+    return annotate(docs, text, lambda: Scorer(*shipped.value), name, LOSSES), name

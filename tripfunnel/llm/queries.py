@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfunnel.llm import fertility, language, packing, pu_quality, sharding, simhash, toxicity, vector_dedup
+from tripfunnel.llm import fertility, language, lm_score, packing, pieces, pu_quality, sharding, simhash, toxicity, vector_dedup
 from tripfunnel.llm.common import documents, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,15 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+@register
+def op1_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the passages of ``benchmark``; background: all documents."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    scored, losses = lm_score.score(docs, target, docs)
+    return scored.select("doc_id", f"{losses}.*")
+
+
 @register
 def op2_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, verdict = fertility.judge(documents(spark, sf_dir))
@@ -86,3 +95,8 @@ def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir)).drop("row")
+
+
+@register
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir))
