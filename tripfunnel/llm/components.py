@@ -51,18 +51,16 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For nodes 0 to n-1 of one task's links: the least node reachable."""
     root = np.arange(n)
     while len(a):
+        # Only roots are hooked, so nodes of one tree stay together; paths have length one in between.
         low = np.minimum(root[a], root[b])
-        before = root.copy()
-        for ends in (a, b):
-            np.minimum.at(root, root[ends], low)
-            np.minimum.at(root, ends, low)
+        hooks = root[a], root[b]
+        for end in hooks:
+            np.minimum.at(root, end, low)
         while True:
             jumped = root[root]
             if np.array_equal(jumped, root):
                 break
             root = jumped
-        if np.array_equal(before, root):
-            break
         differs = root[a] != root[b]
         a, b = a[differs], b[differs]
     return root
