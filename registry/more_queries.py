@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +56,11 @@ MILLIS = "epoch_us(ts) / 1000.0::DOUBLE"
 @register(
     "downsample",
     f"""WITH p AS (SELECT {MILLIS} AS t, CAST(value AS DECIMAL(10,2)) AS value FROM events),
-    b AS (SELECT min(t) AS t0, (max(t) - min(t)) / 800 AS width, count(*) AS n FROM p),
-    cut AS (SELECT CAST(floor((t - t0) / width) AS BIGINT) AS i, t0, width, value FROM p, b WHERE n > 1600)
+    b AS (SELECT min(t) AS t0, (max(t) - min(t)) / 800 AS width FROM p),
+    cut AS (SELECT CAST(floor((t - t0) / width) AS BIGINT) AS i, t0, width, value FROM p, b)
     SELECT CAST(floor(t0 + i * width) AS BIGINT) AS timestamp_ms, round(CAST((2 * CAST(sum(value) * 100 AS BIGINT) + count(*)) // (2 * count(*)) AS DOUBLE) / 100, 6) AS value,
       count(*) AS count, round(min(value), 6) AS min_value, round(max(value), 6) AS max_value
-    FROM cut GROUP BY i, t0, width
-    UNION ALL SELECT CAST(floor(t) AS BIGINT), round(value, 6), 1, round(value, 6), round(value, 6) FROM p, b WHERE n <= 1600""",
+    FROM cut GROUP BY i, t0, width""",
 )
 def downsample(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
@@ -795,16 +796,21 @@ def _churn(spark, sf_dir):
     return _churn_models[key]
 
 
+def _today(spark, sf_dir) -> DataFrame:
+    """The features of all users as they are now."""
+    return churn.churn_features(_acts(spark, sf_dir), AS_OF)
+
+
 @register("churn_score")
 def churn_score(spark, sf_dir):
-    model, training = _churn(spark, sf_dir)
-    return model.score(training).select("user_id", "churn_probability", "prediction", "risk_level")
+    model, _ = _churn(spark, sf_dir)
+    return model.score(_today(spark, sf_dir)).select("user_id", "churn_probability", "prediction", "risk_level")
 
 
 @register("churn_explain")
 def churn_explain(spark, sf_dir):
-    model, training = _churn(spark, sf_dir)
-    return model.explain(training, 5).withColumn("top_factors", F.to_json("top_factors"))
+    model, _ = _churn(spark, sf_dir)
+    return model.explain(_today(spark, sf_dir), 5).withColumn("top_factors", F.to_json("top_factors"))
 
 
 @register("churn_feature_importance")
@@ -815,17 +821,25 @@ def churn_feature_importance(spark, sf_dir):
 
 @register("churn_evaluation")
 def churn_evaluation(spark, sf_dir):
-    model, training = _churn(spark, sf_dir)
-    return evaluation.classifier_metrics(model.score(training), "churned", "prediction", "churn_probability")
+    """Fitted on four fifths of the users, measured on the rest."""
+    _, training = _churn(spark, sf_dir)
+    split = splits.stratified_split(training.select("user_id", "churned"), "churned", "user_id")
+    parted = training.join(split.select("user_id", "is_test"), "user_id")
+    model = churn.ChurnModel().fit(parted.filter("NOT is_test").drop("is_test"))
+    scored = model.score(parted.filter("is_test").drop("is_test"))
+    return evaluation.classifier_metrics(scored, "churned", "prediction", "churn_probability")
 
 
-def _judged(spark, sf_dir) -> DataFrame:
-    """Labelled documents with a score that grows with their length."""
-    documents = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id")
+def _length_score(spark, sf_dir) -> DataFrame:
+    """Every document with a score that grows with its length."""
     score = F.col("n_chars") / (F.col("n_chars") + F.lit(1000.0))
-    return documents.select(
-        "doc_id", "quality", score.alias("score"), (score > 0.5).cast("int").alias("prediction")
-    )
+    return read_table(spark, sf_dir, "documents").select("doc_id", score.alias("score"))
+
+
+def _judged(spark, sf_dir) -> DataFrame:
+    """The labelled documents with their score and a prediction."""
+    judged = _length_score(spark, sf_dir).join(read_table(spark, sf_dir, "labels"), "doc_id")
+    return judged.select("doc_id", "quality", "score", (F.col("score") > 0.5).cast("int").alias("prediction"))
 
 
 @register(
@@ -849,10 +863,10 @@ def classifier_metrics(spark, sf_dir):
 @register(
     "risk_level",
     """SELECT doc_id, CASE WHEN s < 0.3 THEN 'low' WHEN s < 0.7 THEN 'medium' ELSE 'high' END AS risk
-    FROM (SELECT doc_id, n_chars / (n_chars + 1000.0::DOUBLE) AS s FROM documents JOIN labels USING (doc_id))""",
+    FROM (SELECT doc_id, n_chars / (n_chars + 1000.0::DOUBLE) AS s FROM documents)""",
 )
 def risk_level(spark, sf_dir):
-    return _judged(spark, sf_dir).select("doc_id", scalar.risk_level(F.col("score")).alias("risk"))
+    return _length_score(spark, sf_dir).select("doc_id", scalar.risk_level(F.col("score")).alias("risk"))
 
 
 @register(
@@ -862,7 +876,7 @@ def risk_level(spark, sf_dir):
       FROM words),
     flat AS (SELECT doc_id, unnest(t) AS term FROM terms)
     SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM flat
-    GROUP BY term ORDER BY tf DESC, term LIMIT 5000""",
+    GROUP BY term""",
 )
 def tfidf_vocabulary(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents")
@@ -912,10 +926,19 @@ def user_holdout(spark, sf_dir):
 # ---------------------------------------------------------------- streams
 
 
-def _jsonl(spark, sf_dir, kinds=inputs.KINDS) -> str:
-    """The payloads of some kinds as a folder of JSON-line files."""
+def _jsonl(spark, sf_dir, kinds=inputs.KINDS, closing: bool = False) -> str:
+    """The payloads of some kinds as a folder of JSON-line files.
+
+    With ``closing`` one more event, far beyond all windows, lets the stream give out all
+    that it holds; its own window stays open, so it never shows in a result.
+    """
     path = scratch_path(spark, "feed")
     parts = [inputs.raw(spark, sf_dir, k).select("payload") for k in kinds]
+    if closing:
+        event = {"event_id": "closing", "event_type": kinds[-1], "timestamp": "2100-01-01T00:00:00Z"}
+        names = ("user_id", "session_id", "search_event_id", "click_event_id")
+        line = json.dumps({**event, **{name: f"no {name}" for name in names}})
+        parts.append(spark.createDataFrame([(line,)], "payload string"))
     lines = parts[0]
     for part in parts[1:]:
         lines = lines.unionByName(part)
@@ -952,15 +975,14 @@ def stream_dedupe(spark, sf_dir):
 
 
 def _all_kinds(spark, sf_dir) -> DataFrame:
-    return streaming.stream_staging(stream_events(spark, _jsonl(spark, sf_dir)), "search")
+    return streaming.stream_staging(stream_events(spark, _jsonl(spark, sf_dir, closing=True)), "search")
 
 
 _ALL = """
 everything AS (
   SELECT event_type, event_timestamp, user_id FROM searches UNION ALL
   SELECT event_type, event_timestamp, user_id FROM clicks UNION ALL
-  SELECT event_type, event_timestamp, user_id FROM conversions),
-mark AS (SELECT max(event_timestamp) - INTERVAL 24 HOUR AS closed FROM everything)"""
+  SELECT event_type, event_timestamp, user_id FROM conversions)"""
 _KINDS = """count(*) FILTER (WHERE event_type = 'search') AS searches,
   count(*) FILTER (WHERE event_type = 'click') AS clicks,
   count(*) FILTER (WHERE event_type = 'conversion') AS conversions"""
@@ -970,8 +992,7 @@ def _window_sql(starts: str) -> str:
     return f"""SELECT strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS window_start,
       strftime(s + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_end, searches, clicks, conversions,
       round({sql.over('clicks', 'searches')}, 6) AS click_through_rate
-    FROM (SELECT {starts} AS s, {_KINDS} FROM everything, shifts GROUP BY ALL), mark
-    WHERE s + INTERVAL 1 HOUR <= closed"""
+    FROM (SELECT {starts} AS s, {_KINDS} FROM everything, shifts GROUP BY ALL)"""
 
 
 @register(
@@ -979,7 +1000,6 @@ def _window_sql(starts: str) -> str:
     sql.query(EV, _ALL, "shifts AS (SELECT 0 AS shift)", final=_window_sql("date_trunc('hour', event_timestamp)")),
 )
 def stream_funnel(spark, sf_dir):
-    """Hourly windows; those still open at the end of the data are not emitted."""
     return _drain(spark, streaming.stream_funnel(_all_kinds(spark, sf_dir), size="1 hour"))
 
 
@@ -1007,17 +1027,33 @@ def stream_ctr_sliding(spark, sf_dir):
         strftime(b, '%Y-%m-%d %H:%M:%S.%f') AS session_end, events, searches AS search_count,
         clicks AS click_count, conversions AS conversion_count
         FROM (SELECT user_id, min(event_timestamp) AS a, max(event_timestamp) + INTERVAL 30 MINUTE AS b,
-              count(*) AS events, {_KINDS} FROM nums GROUP BY user_id, num), mark WHERE b <= closed""",
+              count(*) AS events, {_KINDS} FROM nums GROUP BY user_id, num)""",
     ),
 )
 def stream_sessions(spark, sf_dir):
     return _drain(spark, streaming.stream_sessions(_all_kinds(spark, sf_dir)))
 
 
-@register("stream_journeys")
+@register(
+    "stream_journeys",
+    sql.query(
+        EV,
+        final=f"""SELECT s.event_id AS search_event_id, c.event_id AS click_event_id, v.event_id AS conversion_event_id,
+        s.user_id, s.search_query, strftime(s.event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS search_timestamp,
+        strftime(c.event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS click_timestamp,
+        strftime(v.event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS conversion_timestamp,
+        c.result_destination, round(v.booking_value, 6) AS booking_value,
+        CASE WHEN v.event_id IS NOT NULL THEN 'converted' WHEN c.event_id IS NOT NULL THEN 'clicked'
+          ELSE 'searched_only' END AS journey_stage
+        FROM searches s LEFT JOIN clicks c ON c.search_event_id = s.event_id
+          AND c.event_timestamp BETWEEN s.event_timestamp AND s.event_timestamp + INTERVAL 24 HOUR
+        LEFT JOIN conversions v ON v.click_event_id = c.event_id
+          AND v.event_timestamp BETWEEN s.event_timestamp AND s.event_timestamp + INTERVAL 48 HOUR""",
+    ),
+)
 def stream_journeys(spark, sf_dir):
     feeds = {
-        kind: streaming.stream_staging(stream_events(spark, _jsonl(spark, sf_dir, (kind,))), kind)
+        kind: streaming.stream_staging(stream_events(spark, _jsonl(spark, sf_dir, (kind,), closing=True)), kind)
         for kind in inputs.KINDS
     }
     return _drain(spark, streaming.stream_journeys(feeds["search"], feeds["click"], feeds["conversion"]))

@@ -146,11 +146,14 @@ def _feed_lines(spark, sf_dir) -> DataFrame:
     ),
 )
 def load_raw(spark, sf_dir):
-    """Writes all documents as JSON lines with blank lines in between and loads them."""
+    """Writes all documents as JSON lines, with blank and cut-off lines in between, and loads them."""
     path = scratch_path(spark, "jsonl")
     lines = _feed_lines(spark, sf_dir)
-    lines.unionByName(lines.select(F.lit("   ").alias("line"))).write.text(path)
-    loaded = raw_layer.load_raw(spark, path, scratch_path(spark, "raw"), AS_OF)
+    cut_off = lines.select(F.expr("substring(line, 1, length(line) - 5)").alias("line"))
+    lines.unionByName(lines.select(F.lit("   ").alias("line"))).unionByName(cut_off).write.text(path)
+    loaded = raw_layer.load_raw(
+        spark, path, scratch_path(spark, "raw"), AS_OF, scratch_path(spark, "raw-rejects")
+    )
     doc = lambda name: F.get_json_object("payload", f"$.{name}").alias(name)
     return loaded.select("event_id", doc("event_type"), doc("user_id"), doc("session_id"))
 
@@ -312,6 +315,52 @@ def staging_rejects(spark, sf_dir):
     return staging.staging_rejects(damaged, "search").select("event_id", "bad_fields")
 
 
+def _malformed(spark, sf_dir) -> DataFrame:
+    """Every search, and by turns a newer version of it that is no event: cut off, an array,
+    plain text, two objects on one line, text after the object, single quotes, text instead
+    of an object, no id.
+    """
+    feed = inputs.raw(spark, sf_dir, "search")
+    payload = F.col("payload")
+    versions = (
+        F.expr("substring(payload, 1, length(payload) - 9)"),
+        F.concat(F.lit("["), payload, F.lit("]")),
+        F.lit("no event"),
+        F.concat(payload, F.lit(" "), payload),
+        F.concat(payload, F.lit("}} {{")),
+        F.replace(payload, F.lit('"'), F.lit("'")),
+        F.regexp_replace(payload, '"geo":[{][^}]*[}]', '"geo":"somewhere"'),
+        payload,
+    )
+    turn = F.pmod(F.crc32(F.col("event_id").cast("binary")), F.lit(len(versions)))
+    newer = feed.withColumn("payload", F.element_at(F.array(*versions), (turn + 1).cast("int"))).withColumn(
+        "ingested_at", F.col("ingested_at") + F.make_dt_interval(hours=F.lit(1))
+    )
+    nameless = F.when(turn == len(versions) - 1, F.lit(None).cast("string")).otherwise(F.col("event_id"))
+    return feed.unionByName(newer.withColumn("event_id", nameless))
+
+
+@register(
+    "staging_malformed",
+    sql.query(EV, final="SELECT event_id, event_type, search_query, platform FROM searches"),
+)
+def staging_malformed(spark, sf_dir):
+    """The good version survives a newer one that is no event."""
+    staged = staging.stage_search(_malformed(spark, sf_dir))
+    return staged.select("event_id", "event_type", "search_query", "platform")
+
+
+@register(
+    "staging_malformed_rejects",
+    sql.query(EV, final="SELECT count(*) AS rejects, count(*) AS rows_with_reason FROM searches"),
+)
+def staging_malformed_rejects(spark, sf_dir):
+    """Every broken line is in the rejects with its reason."""
+    refused = staging.staging_rejects(_malformed(spark, sf_dir), "search")
+    named = F.col("bad_fields").isin("malformed_json", "missing_event_id", "geo")
+    return refused.agg(F.count(F.lit(1)).alias("rejects"), F.count_if(named).alias("rows_with_reason"))
+
+
 # ---------------------------------------------------------------- sessions and journeys
 
 
@@ -649,8 +698,7 @@ pairs AS (
    AND user_id NOT IN (SELECT user_id FROM conversions WHERE user_id IS NOT NULL
                        AND event_timestamp >= {sql.ts(AS_OF)} - INTERVAL 48 HOUR)
   GROUP BY ALL HAVING max(event_timestamp) >= {sql.ts(AS_OF)} - INTERVAL 24 HOUR),
-abandoned AS (
-  SELECT * FROM pairs ORDER BY last_search_time DESC, user_id, last_search_query LIMIT 1000)"""
+abandoned AS (SELECT * FROM pairs)"""
 
 
 def _abandoned(spark, sf_dir) -> DataFrame:
@@ -739,7 +787,7 @@ def export_reco_kv(spark, sf_dir):
 def lookup_reco(spark, sf_dir):
     """Writes the whole key-value export and looks one user up in the stored table."""
     path = scratch_path(spark, "kv")
-    activation.export_reco_kv(_recommendations(spark, sf_dir), as_of=AS_OF).write.parquet(path)
+    activation.write_kv(activation.export_reco_kv(_recommendations(spark, sf_dir), as_of=AS_OF), path)
     return activation.lookup_reco(spark.read.parquet(path), "user_1", as_of=AS_OF)
 
 

@@ -206,8 +206,7 @@ affinity AS (
 
 SIMILARITY = """
 likeness AS (
-  SELECT a.user_id AS ua, b.user_id AS ub, sum(a.signal_strength * b.signal_strength) AS likeness,
-         sum(b.signal_strength) AS their_weight
+  SELECT a.user_id AS ua, b.user_id AS ub, sum(a.signal_strength * b.signal_strength) AS likeness
   FROM affinity a JOIN affinity b ON a.destination = b.destination AND a.user_id <> b.user_id
   GROUP BY ALL HAVING count(*) >= 2)"""
 

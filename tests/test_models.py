@@ -42,12 +42,6 @@ def test_svd_scores_equal_the_rank_k_reconstruction(spark, tmp_path):
     assert model.singular_values == pytest.approx(s[:3])
 
 
-def test_svd_refuses_a_catalogue_beyond_its_bound(spark):
-    df, _ = rating_rows(spark)
-    with pytest.raises(ValueError):
-        recommender.SvdRecommender(k=2, max_items=3).fit(df)
-
-
 def test_als_ranks_what_similar_users_took(spark):
     rows = [(f"a{u}", f"x{i}", 5.0) for u in range(8) for i in range(5) if (u + i) % 5]
     rows += [(f"b{u}", f"y{i}", 5.0) for u in range(8) for i in range(5) if (u + i) % 5]
@@ -85,10 +79,15 @@ def test_content_scores_equal_the_mean_of_cosines(spark):
 
 def test_block_size_does_not_change_the_winners(spark):
     rng = np.random.default_rng(4)
-    users = spark.createDataFrame([(f"u{i}", rng.normal(size=3).tolist(), None) for i in range(25)], "user_id string, user_vector array<double>, masked array<string>")
+    users = spark.createDataFrame([(f"u{i}", rng.normal(size=3).tolist(), i % 7) for i in range(25)], "user_id string, user_vector array<double>, extra long")
     items = spark.createDataFrame([(f"i{i:02d}", rng.normal(size=3).tolist()) for i in range(17)], "item_id string, item_vector array<double>")
     one = top_items(users, items, 5).collect()
-    many = top_items(users, items, 5, block=4).collect()
+    many = top_items(users, items, 5, block=4, most=0).collect()
+    # A user who likes a third of the items: what is left comes first, then the liked ones at -1.
+    liked = spark.createDataFrame([(f"u{i}", f"i{j:02d}") for i in range(25) for j in range(i % 7)], "user_id string, item_id string")
+    for options in ({}, {"block": 4, "most": 0}):
+        masked = top_items(users, items, 17, liked, -9.0, **options).collect()
+        assert len(masked) == 25 * 17 and sum(r["score"] == -9.0 for r in masked) == liked.count()
     key = lambda rows: sorted((r["user_id"], r["rank"], r["item_id"], round(r["score"], 9)) for r in rows)
     assert key(one) == key(many) and len(one) == 125
 
@@ -97,8 +96,8 @@ def test_hybrid_blends_and_survives_saving(spark, tmp_path):
     df, _ = rating_rows(spark)
     items, _ = item_table(spark)
     model = recommender.HybridRecommender(FEATURES, k=3).fit(df, items)
-    cf = {(r["user_id"], r["item_id"]): r["score"] for r in model.svd.recommend(df, 4).collect()}
-    content = {(r["user_id"], r["item_id"]): r["score"] for r in model.content.recommend(df, 4).collect()}
+    cf = {(r["user_id"], r["item_id"]): r["score"] for r in model.svd.recommend(df, 99).collect()}
+    content = {(r["user_id"], r["item_id"]): r["score"] for r in model.content.recommend(df, 99).collect()}
     got = {(r["user_id"], r["item_id"]): r["score"] for r in model.recommend(df, 2).collect()}
     for pair, score in got.items():
         assert score == pytest.approx(0.6 * cf.get(pair, 0) + 0.4 * content.get(pair, 0))

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from conftest import raw_table, search
 from pyspark.sql import functions as F
 
@@ -91,3 +93,28 @@ def test_catalog_resolves_names_and_overrides(spark, tmp_path):
     assert catalog.resolve("raw.events").endswith("/raw/events")
     assert catalog.resolve("raw.other").endswith("/elsewhere")
     assert catalog.materialize(spark.range(3).toDF("n"), "marts.numbers").count() == 3
+
+
+BROKEN = (
+    '{"event_id": "a", "query": "cut', "no event", '[{"event_id": "a"}]', "tru", "NaN", '{"event_id": "a"} tail',
+    '{"event_id": "a"} {"event_id": "b"}', '{"event_id": "a"}, {"event_id": "b"}', '{"event_id": "a"}}', '{"event_id": "a"}}, {',
+    '{"event_id": "a"}], [{"event_id": "b"}', "{'event_id': 'a'}", '{"event_id": "a"}}{', "",
+)
+
+
+def test_only_one_whole_object_is_an_event(spark):
+    good = ('{"event_id": "a"}', '  {"event_id": "a", "x": [1, {"y": "}"}]}  ', '{"event_id": "a]}"}')
+    df = spark.createDataFrame([(t,) for t in (*BROKEN, *good)], "line string")
+    found = {r["line"]: r["ok"] for r in df.select("line", raw.is_json_object(F.col("line")).alias("ok")).collect()}
+    assert found == {**dict.fromkeys(BROKEN, False), **dict.fromkeys(good, True)}
+
+
+def test_load_refuses_or_sets_aside_what_is_no_event(spark, tmp_path):
+    lines = [*BROKEN[:-1], '{"event_id": "good"}', '{"event_id": ""}', "{}"]
+    spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(str(tmp_path / "in"))
+    with pytest.raises(ValueError):
+        raw.load_raw(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    loaded = raw.load_raw(spark, str(tmp_path / "in"), str(tmp_path / "out"), rejects=str(tmp_path / "rejects"))
+    assert [r["event_id"] for r in loaded.collect()] == ["good"]
+    reasons = [r["reason"] for r in spark.read.parquet(str(tmp_path / "rejects")).collect()]
+    assert sorted(reasons) == ["malformed_json"] * (len(BROKEN) - 1) + ["missing_event_id"] * 2

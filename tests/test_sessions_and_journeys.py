@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tripfunnel.operators.journeys import attribute, user_journeys
 from tripfunnel.operators.rows import left_join_many, search_text
+from tripfunnel.operators import sessions
 from tripfunnel.operators.sessions import search_sessions
 from tripfunnel.operators.timeline import carry_forward, sessionize
 
@@ -147,3 +148,12 @@ def test_attribution_matches_all_pairs(spark):
 def test_search_text_ignores_case_and_blank_terms(spark):
     df = spark.createDataFrame([("hotels in miami",), ("flights",)], "q string")
     assert search_text(df, "q", "MIAMI").count() == 1 and search_text(df, "q", "  ").count() == 2
+
+
+def test_search_without_a_time_does_not_open_the_session(spark):
+    documents = [
+        search("a", None, platform="none"), search("b", "2024-01-01T10:05:00Z", platform="second"),
+        search("c", "2024-01-01T10:00:00Z", platform="first"), search("d", None, session="s2", platform="only"),
+    ]
+    rows = sessions.session_searches(stage_all(spark, documents)[0]).select("session_id", "_context.platform").collect()
+    assert {r["session_id"]: r["platform"] for r in rows} == {"s1": "first", "s2": "only"}

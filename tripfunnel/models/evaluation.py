@@ -40,11 +40,3 @@ def classifier_metrics(
     if score is None:
         return result
     return result.withColumn("auc", F.lit(area_under_roc(scored, label, score)))
-
-
-def label_accuracy(scored: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Share of rows whose predicted label is right, overall."""
-    return scored.agg(
-        F.count(F.lit(1)).alias("rows"),
-        ratio(F.count_if(F.col(label) == F.col(predicted)), F.count(F.lit(1))).alias("accuracy"),
-    )

@@ -66,23 +66,19 @@ def user_history(interaction_rows: DataFrame) -> DataFrame:
 class SvdRecommender:
     """Truncated SVD of the user × item matrix (missing = 0); seen items stay in.
 
-    The factorisation itself is Spark's distributed Gramian with a driver-side
-    eigenproblem, so the catalogue must fit ``max_items``; see ``AlsRecommender`` beyond.
+    The factorisation is Spark's distributed one. The driver holds ``items * k`` doubles
+    of item factors, so a catalogue of millions wants ``AlsRecommender``, whose factors stay
+    distributed.
     """
 
-    def __init__(self, k: int = 50, max_items: int = 10_000):
+    def __init__(self, k: int = 50):
         self.k = k
-        self.max_items = max_items
         self.items: list[str] = []
         self.factors = np.zeros((0, 0))
         self.singular_values = np.zeros(0)
 
     def fit(self, rating_rows: DataFrame) -> SvdRecommender:
-        catalog = rating_rows.select("item_id").distinct()
-        names = [row[0] for row in catalog.limit(self.max_items + 1).collect()]
-        if len(names) > self.max_items:
-            raise ValueError(f"more than {self.max_items} items: use AlsRecommender")
-        self.items = sorted(names)
+        self.items = sorted(row[0] for row in rating_rows.select("item_id").distinct().collect())
         rows = self._rows(rating_rows)
         size = len(self.items)
 
@@ -97,8 +93,9 @@ class SvdRecommender:
         return self
 
     def _index(self, spark: SparkSession) -> DataFrame:
-        frame = pd.DataFrame({"item_id": self.items, "index": range(len(self.items))})
-        return spark.createDataFrame(frame, "item_id string, index int")
+        return spark.createDataFrame(
+            [(name, i) for i, name in enumerate(self.items)], "item_id string, index int"
+        )
 
     def _rows(self, rating_rows: DataFrame) -> DataFrame:
         """Sparse rows of the matrix: sorted indices and values per user."""
@@ -115,40 +112,38 @@ class SvdRecommender:
         )
 
     def item_factors(self, spark: SparkSession) -> DataFrame:
-        frame = pd.DataFrame({"item_id": self.items, "item_vector": list(self.factors)})
-        return spark.createDataFrame(frame, "item_id string, item_vector array<double>")
+        rows = list(zip(self.items, self.factors.tolist()))
+        return spark.createDataFrame(rows, "item_id string, item_vector array<double>")
 
     def user_factors(self, rating_rows: DataFrame) -> DataFrame:
-        """Each user's row times V; V is bounded by ``max_items × k`` doubles."""
+        """Each user's row times V; V has ``items * k`` doubles."""
         shared = rating_rows.sparkSession.sparkContext.broadcast(self.factors)
 
         @F.pandas_udf("array<double>")
         def project(indices: pd.Series, values: pd.Series) -> pd.Series:
             v = shared.value
-            return pd.Series([x @ v[i] for i, x in zip(indices, values)])
+            return pd.Series([(x @ v[i]).tolist() for i, x in zip(indices, values)])
 
         return self._rows(rating_rows).select(
             "user_id", project("indices", "values").alias("user_vector")
         )
 
     def recommend(self, rating_rows: DataFrame, top_n: int = 10) -> DataFrame:
-        users = self.user_factors(rating_rows).withColumn(
-            "masked", F.lit(None).cast("array<string>")
-        )
+        users = self.user_factors(rating_rows)
         return top_items(users, self.item_factors(rating_rows.sparkSession), top_n)
 
     def save(self, spark: SparkSession, path: str) -> None:
         factors = self.item_factors(spark)
         factors.withColumn("k", F.lit(self.k)).write.mode("overwrite").parquet(f"{path}/items")
         meta = json.dumps(
-            {"k": self.k, "max_items": self.max_items, "s": self.singular_values.tolist()}
+            {"k": self.k, "s": self.singular_values.tolist()}
         )
         spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").json(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SvdRecommender:
         meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()[0])
-        model = cls(meta["k"], meta["max_items"])
+        model = cls(meta["k"])
         rows = spark.read.parquet(f"{path}/items").orderBy("item_id").collect()
         model.items = sorted(r["item_id"] for r in rows)
         by_name = {r["item_id"]: r["item_vector"] for r in rows}
@@ -171,7 +166,7 @@ def number_ids(df: DataFrame, key: str, name: str) -> DataFrame:
     )
     nth = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", key)) - 1
     return ids.withColumn("_nth", nth).join(offsets, "_bucket").select(
-        key, (F.col("_offset") + F.col("_nth")).cast("int").alias(name)
+        key, (F.col("_offset") + F.col("_nth")).alias(name)
     )
 
 
@@ -239,14 +234,11 @@ class ContentRecommender:
         users = (
             pairs.join(self.vectors, "item_id")
             .groupBy("user_id")
-            .agg(
-                Summarizer.mean(F.col("unit")).alias("_mean"),
-                F.collect_list("item_id").alias("masked"),
-            )
-            .select("user_id", vector_to_array("_mean").alias("user_vector"), "masked")
+            .agg(Summarizer.mean(F.col("unit")).alias("_mean"), F.count(F.lit(1)).alias("extra"))
+            .select("user_id", vector_to_array("_mean").alias("user_vector"), "extra")
         )
         items = self.vectors.select("item_id", vector_to_array("unit").alias("item_vector"))
-        return top_items(users, items, top_n)
+        return top_items(users, items, top_n, pairs)
 
     def save(self, path: str) -> None:
         self.vectors.select(
@@ -281,12 +273,13 @@ def blend(
 
 
 class HybridRecommender:
-    """Blends both recommenders over each side's top ``2 * top_n``."""
+    """Blends both recommenders over each side's top ``depth`` items, all of them if None."""
 
     def __init__(
         self, features: Sequence[str], k: int = 50,
-        collaborative_weight: float = 0.6, content_weight: float = 0.4,
+        collaborative_weight: float = 0.6, content_weight: float = 0.4, depth: int | None = None,
     ):
+        self.depth = depth
         self.svd = SvdRecommender(k)
         self.content = ContentRecommender(features)
         self.weights = (collaborative_weight, content_weight)
@@ -297,9 +290,10 @@ class HybridRecommender:
         return self
 
     def recommend(self, rating_rows: DataFrame, top_n: int = 10) -> DataFrame:
+        depth = self.depth or max(len(self.svd.items), self.content.vectors.count())
         return blend(
-            self.svd.recommend(rating_rows, 2 * top_n),
-            self.content.recommend(rating_rows, 2 * top_n),
+            self.svd.recommend(rating_rows, depth),
+            self.content.recommend(rating_rows, depth),
             top_n,
             *self.weights,
         )

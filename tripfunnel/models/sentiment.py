@@ -20,8 +20,6 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfunnel.session import spread
-
 # Everything between words; a word has letters, digits and underscores of any script.
 BETWEEN_WORDS = r"[^\p{L}\p{N}_]+"
 
@@ -42,33 +40,31 @@ def with_terms(df: DataFrame, text: str = "text", stop_words: Sequence[str] = ()
         F.slice("_words", 2, inner),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
-    return spread(df).withColumn("_words", words).withColumn(
+    return df.withColumn("_words", words).withColumn(
         "terms", F.concat("_words", pairs)
     ).drop("_words")
 
 
-def vocabulary(documents: DataFrame, size: int = 5000) -> DataFrame:
-    """The ``size`` most frequent terms of a ``terms`` column with their counts and the
-    number of documents holding them; equal counts in alphabetical order.
+def vocabulary(documents: DataFrame, size: int | None = None) -> DataFrame:
+    """All terms of a ``terms`` column with their count and the number of documents
+    holding them; with ``size`` the most frequent, equal counts in alphabetical order.
 
-    Document counts are taken for the chosen terms only, which ``size`` keeps small
-    enough to broadcast. ``explode_outer`` spares the filter that Spark would derive from
-    ``explode``, which would compute the terms a second time.
+    One pass: terms are sorted inside their document, where the first of equal ones counts
+    for the document too, and are added up in every task before the shuffle.
+    ``posexplode_outer`` spares the filter that Spark would derive from ``posexplode``,
+    which would compute the terms a second time.
     """
+    ordered = documents.select(F.array_sort("terms").alias("_terms"))
+    first = F.transform("_terms", lambda t, i: F.struct(
+        t.alias("term"), ((i == 0) | (t != F.get("_terms", i - 1))).cast("long").alias("first")
+    ))
     counted = (
-        documents.select(F.explode_outer("terms").alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        ordered.select(F.explode_outer(first).alias("_t"))
+        .groupBy(F.col("_t.term").alias("term"))
+        .agg(F.count(F.lit(1)).alias("tf"), F.sum("_t.first").alias("df"))
         .filter(F.col("term").isNotNull())
     )
-    top = counted.orderBy(F.col("tf").desc(), F.col("term")).limit(size)
-    holding = (
-        documents.select(F.explode_outer(F.array_distinct("terms")).alias("term"))
-        .join(F.broadcast(top.select("term")), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    return top.join(holding, "term")
+    return counted if size is None else counted.orderBy(F.col("tf").desc(), F.col("term")).limit(size)
 
 
 class SentimentModel:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripfunnel.functions.scalar import clock, hours_before
 from tripfunnel.operators.rows import first_per_group
 from tripfunnel.plans.marts import recent_users
+from tripfunnel.session import scratch_path
 
 CRM_ATTRIBUTES = (
     "segment",
@@ -117,9 +118,9 @@ def abandoned_searches(
     as_of=None,
     search_hours: float = 48,
     fresh_hours: float = 24,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Newest (user, query) pairs searched lately by users who did not convert.
+    """(user, query) pairs searched lately by users who did not convert; with ``limit`` only the newest.
 
     Searches are rolled up before the anti join, which then sees one row per pair.
     """
@@ -209,6 +210,11 @@ def export_reco_kv(
     )
 
 
+def write_kv(kv: DataFrame, path: str) -> None:
+    """Stored in ranges of the key, sorted inside: a lookup reads one row group by its bounds."""
+    kv.repartitionByRange("key").sortWithinPartitions("key").write.mode("overwrite").parquet(path)
+
+
 def lookup_reco(kv: DataFrame, user_id: str, prefix: str = "reco:", as_of=None) -> DataFrame:
     """The live entries of one user; the key filter reaches the Parquet scan."""
     live = kv.filter(F.col("key") == f"{prefix}{user_id}").filter(
@@ -261,13 +267,14 @@ def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def fan_out(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None:
-    """Writes the same rows to every sink, computing them once."""
-    kept = df.persist()
-    try:
-        for sink in sinks:
-            sink(kept)
-    finally:
-        kept.unpersist()
+    """Writes the same rows to every sink, computing them once: into a table in the shared
+    folder, so that a lost executor costs nothing.
+    """
+    path = scratch_path(df.sparkSession, "fan-out")
+    df.write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    for sink in sinks:
+        sink(kept)
 
 
 def materialize_incremental(

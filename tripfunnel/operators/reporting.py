@@ -10,26 +10,25 @@ from pyspark.sql import functions as F
 from tripfunnel.functions.scalar import clock, half_up, ratio, seconds_between
 
 
-def downsample(df: DataFrame, ts: str, value: str, buckets: int = 800) -> DataFrame:
-    """Thins a series to about ``buckets`` averages of equal time width.
+def downsample(df: DataFrame, ts: str, value: str, buckets: int = 800, average: bool = True) -> DataFrame:
+    """Thins a series to about ``buckets`` averages of equal time width; without
+    ``average`` every point comes back as it is (count 1). Either holds at any length.
 
-    A series of at most ``2 * buckets`` points comes back as it is (count 1). The last
-    point falls into a bucket of its own. Decimal values are averaged exactly. Only the three scalars that size the buckets
-    are read on the driver; the series itself is aggregated in place.
+    The last point falls into a bucket of its own. Decimal values are averaged exactly.
+    Only the two scalars that size the buckets are read on the driver; the series itself
+    is aggregated in place.
     """
     millis = F.unix_micros(ts) / F.lit(1000.0)
     points = df.select(millis.alias("timestamp_ms"), F.col(value).alias("value"))
     points = points.filter(F.col("timestamp_ms").isNotNull())
-    n, start, end = points.agg(
-        F.count(F.lit(1)), F.min("timestamp_ms"), F.max("timestamp_ms")
-    ).first()
-    if n <= 2 * buckets:
+    if not average:
         one = F.lit(1).cast("long")
         return points.select(
             "timestamp_ms", "value", one.alias("count"),
             F.col("value").alias("min_value"), F.col("value").alias("max_value"),
         )
-    width = (end - start) / buckets
+    start, end = points.agg(F.min("timestamp_ms"), F.max("timestamp_ms")).first()
+    width = (end - start) / buckets if start is not None else 0
     index = F.floor((F.col("timestamp_ms") - F.lit(start)) / F.lit(width)) if width else F.lit(0)
     return (
         points.groupBy(index.cast("long").alias("_index"))
@@ -310,7 +309,7 @@ def recent_runs(log: DataFrame, n: int = 10) -> DataFrame:
 
 def latest_days(funnel: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most recent funnel rows, as a quick look at a fresh table."""
-    keys = [c for c in funnel.columns if c != "funnel_date"][:5]
+    keys = [f.name for f in funnel.schema.fields if f.name != "funnel_date" and f.dataType.typeName() == "string"]
     return funnel.orderBy(
         F.col("funnel_date").desc(), *[F.col(c).asc_nulls_last() for c in keys]
     ).limit(n)

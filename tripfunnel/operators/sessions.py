@@ -10,23 +10,16 @@ from tripfunnel.functions.scalar import minutes_between, ratio
 CONTEXT = ("platform", "device_type", "geo_country", "utm_source", "utm_campaign")
 
 
-def first_search_context(searches: DataFrame) -> DataFrame:
-    """Where and how each session began: the context of its first search."""
-    opening = F.struct("event_timestamp", "event_id")
-    return (
-        searches.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id")
-        .agg(F.min_by(F.struct(*CONTEXT), opening).alias("_context"))
-        .select("session_id", "_context.*")
-    )
-
-
 def session_searches(searches: DataFrame) -> DataFrame:
     """Search measures and opening context in one aggregation, so one exchange.
 
-    Searches without a session id form one group, which has no context to look up.
+    Searches without a session id form one group, which has no context to look up. A
+    search without a time opens a session only if none of its searches has one.
     """
-    opening = F.when(F.col("session_id").isNotNull(), F.struct("event_timestamp", "event_id"))
+    timeless = F.col("event_timestamp").isNull().alias("timeless")
+    opening = F.when(
+        F.col("session_id").isNotNull(), F.struct(timeless, "event_timestamp", "event_id")
+    )
     return searches.groupBy("session_id").agg(
         F.min("event_timestamp").alias("session_start"),
         F.max("event_timestamp").alias("session_end"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripfunnel.operators.rows import dedupe_latest
+from tripfunnel.sources.raw import fault
 
 
 @dataclass(frozen=True)
@@ -90,17 +91,24 @@ def typed_value(field: Field) -> Column:
 
 
 def _cast_errors(fields: tuple[Field, ...]) -> Column:
-    """Names of the fields that hold text their type cannot read."""
-    return F.filter(
-        F.array(
-            *[
-                F.when(_text(f).isNotNull() & _text(f).try_cast(f.type).isNull(), F.lit(f.name))
-                for f in fields
-                if f.type != "string"
-            ]
-        ),
-        lambda name: name.isNotNull(),
-    )
+    """What is wrong with a line: that it is no event, else the names of the fields that
+    hold text their type cannot read, or anything but an object where one is declared.
+    """
+    typed = [
+        F.when(_text(f).isNotNull() & _text(f).try_cast(f.type).isNull(), F.lit(f.name))
+        for f in fields
+        if f.type != "string"
+    ]
+    parents = sorted({f.path.split(".")[0] for f in fields if "." in f.path})
+    nested = [
+        F.when(
+            F.get_json_object("payload", f"$.{p}").isNotNull() & F.col("_json").getField(p).isNull(), F.lit(p)
+        )
+        for p in parents
+    ]
+    no_event = fault(F.col("payload"), F.col("event_id"))
+    found = F.filter(F.array(*typed, *nested), lambda name: name.isNotNull())
+    return F.when(no_event.isNotNull(), F.array(no_event)).otherwise(found)
 
 
 def parse(raw: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
@@ -116,8 +124,8 @@ def parse(raw: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
 def stage(raw: DataFrame, kind: str) -> DataFrame:
     """Typed rows of one event kind, newest version per ``event_id``.
 
-    Versions with text that does not fit its type rank last and are not returned; see
-    ``staging_rejects``. Filtering them afterwards leaves one pass over the JSON. Equal
+    Versions that are no JSON events, or hold text that does not fit its type, rank last
+    and are not returned; see ``staging_rejects``. Filtering them afterwards leaves one pass over the JSON. Equal
     ``ingested_at`` is settled by the payload's hash: the same winner on every run,
     without moving the payload through the shuffle.
     """

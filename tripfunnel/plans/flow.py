@@ -106,7 +106,7 @@ def run_syncs(
             row.update(sync())
             status[name] = "success"
         except (PySparkException, ValueError, OSError) as error:
-            row["error_message"] = str(error)[:1000]
+            row["error_message"] = str(error)
             status[name] = "failed"
         row["completed_at"] = _now()
         log_run(spark, row, log_path, SYNC_LOG_SCHEMA)
@@ -125,7 +125,7 @@ def logged(
         row["rows_processed"] = job()
         row["status"] = "success"
     except Exception as error:
-        row["status"], row["error_message"] = "failed", str(error)[:1000]
+        row["status"], row["error_message"] = "failed", str(error)
         raise
     finally:
         row["completed_at"] = _now()

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfunnel.operators import staging
 from tripfunnel.operators.timeline import carry_forward, sessionize
 
 AS_OF = "2024-01-31 00:00:00"
@@ -136,14 +135,3 @@ def raw_events(spark: SparkSession, sf_dir: str, gap_minutes: int = 1440) -> Dat
         .alias("payload"),
         F.col("event_timestamp").alias("ingested_at"),
     )
-
-
-def staged(
-    spark: SparkSession, sf_dir: str, gap_minutes: int = 1440
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Staged searches, clicks and conversions from the adapted raw events."""
-    raw = raw_events(spark, sf_dir, gap_minutes)
-    return tuple(
-        staging.stage(raw.filter(F.col("kind") == kind).drop("kind"), kind)
-        for kind in ("search", "click", "conversion")
-    )

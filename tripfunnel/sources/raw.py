@@ -33,8 +33,21 @@ def read_jsonl(spark: SparkSession, path: str, missing_ok: bool = True) -> DataF
 
 
 def is_json_object(line: Column) -> Column:
-    """True for a line that parses as one JSON object."""
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(line)).startswith("OBJECT"), F.lit(False))
+    """True for a line that is one JSON object and nothing else, in strict JSON.
+
+    Parsers stop at the end of the first value. Put into an array the line must be its only
+    element, put into an object the only value: no text after the object passes both.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    inside = F.try_parse_json(F.concat(F.lit('{"line":'), line, F.lit("}"))).isNotNull()
+    return F.coalesce(F.ltrim(line).startswith("{") & alone & inside, F.lit(False))
+
+
+def fault(line: Column, event_id: Column) -> Column:
+    """Why a line is no event, or null: the one rule of loading, ingest, staging and streams."""
+    return F.when(~is_json_object(line), "malformed_json").when(
+        F.coalesce(event_id, F.lit("")) == "", "missing_event_id"
+    )
 
 
 def to_raw(lines: DataFrame, as_of=None, batch_id: str | None = None) -> DataFrame:
@@ -49,9 +62,22 @@ def to_raw(lines: DataFrame, as_of=None, batch_id: str | None = None) -> DataFra
     )
 
 
-def load_raw(spark: SparkSession, path: str, target: str, as_of=None) -> DataFrame:
-    """Full refresh: the table at ``target`` becomes exactly the file contents."""
-    to_raw(read_jsonl(spark, path), as_of).write.mode("overwrite").parquet(target)
+def load_raw(
+    spark: SparkSession, path: str, target: str, as_of=None, rejects: str | None = None
+) -> DataFrame:
+    """Full refresh: the table at ``target`` becomes exactly the events in the files.
+
+    Lines that are no events are stored at ``rejects`` with their reason; without that
+    path a single one fails the load before anything is written.
+    """
+    lines = to_raw(read_jsonl(spark, path), as_of)
+    marked = lines.withColumn("reason", fault(F.col("payload"), F.col("event_id")))
+    refused = marked.filter(F.col("reason").isNotNull())
+    if rejects is not None:
+        refused.write.mode("overwrite").parquet(rejects)
+    elif bad := refused.select("reason", "source_file").head(1):
+        raise ValueError(f"{bad[0]['reason']} in {bad[0]['source_file']}")
+    marked.filter(F.col("reason").isNull()).drop("reason").write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
@@ -74,16 +100,8 @@ def ingest_incremental(
     have no order once they are split over tasks. The rank limit runs before the
     shuffle, so an id repeated in a third of the batch stays cheap.
     """
-    parsed = (
-        to_raw(lines, as_of, batch_id)
-        .withColumn("_object", is_json_object(F.col("payload")))
-        .withColumn(
-            "reason",
-            F.when(~F.col("_object"), "malformed_json").when(
-                F.coalesce(F.col("event_id"), F.lit("")) == "", "missing_event_id"
-            ),
-        )
-        .drop("_object")
+    parsed = to_raw(lines, as_of, batch_id).withColumn(
+        "reason", fault(F.col("payload"), F.col("event_id"))
     )
     rejects = parsed.filter(F.col("reason").isNotNull())
     first = Window.partitionBy("event_id").orderBy(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMA = "text STRING, sentiment STRING"
 
@@ -21,8 +22,10 @@ def read_reviews(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFr
     )
 
 
-def write_reviews(reviews: DataFrame, path: str) -> None:
-    """Several files, never one: multi-line CSV cannot be split when read back."""
+def write_reviews(reviews: DataFrame, path: str, file_bytes: int = 64 << 20) -> None:
+    """Files of about ``file_bytes``: multi-line CSV cannot be split when read back."""
+    length = reviews.agg(F.avg(F.octet_length("text"))).first()[0] or 0
+    rows = max(1, int(file_bytes / (length + 16)))
     (
         reviews.write.mode("overwrite")
         .option("header", True)
@@ -30,6 +33,6 @@ def write_reviews(reviews: DataFrame, path: str) -> None:
         .option("quoteAll", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", 1_000_000)
+        .option("maxRecordsPerFile", rows)
         .csv(path)
     )
