@@ -510,28 +510,17 @@ def display_texts(spark, sf_dir):
 # ---------------------------------------------------------------- ranking metrics
 
 
-def _lists(spark, sf_dir) -> DataFrame:
-    """Per known user: the recommended destinations in order and the booked ones.
-
-    Predictions come from the recommendations, relevance from the products a user's
-    bookings were clicked on, one entry per booking.
+def _measures(spark, sf_dir) -> DataFrame:
+    """Per known user: the recommended destinations against those of all searches, one
+    occurrence per search.
     """
-    _, clicks, conversions = inputs.all_staged(spark, sf_dir)
-    entry = F.struct("rank", "recommended_destination")
-    predicted = (
-        _recommendations(spark, sf_dir)
-        .groupBy("user_id")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_ranked"))
-        .select("user_id", F.col("_ranked.recommended_destination").alias("predicted"))
-    )
-    # Relevant: destinations on the user's last day of clicks, repeated as clicked.
+    predicted = _recommendations(spark, sf_dir).withColumnRenamed("recommended_destination", "item")
     actual = (
         inputs.staged(spark, sf_dir, "search")
         .filter(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.array_sort(F.collect_list(F.regexp_extract("search_query", "(dest_[0-9]+)", 1))).alias("actual"))
+        .select("user_id", F.regexp_extract("search_query", "(dest_[0-9]+)", 1).alias("item"))
     )
-    return predicted.join(actual, "user_id", "full_outer")
+    return ranking.list_measures(predicted, actual, "user_id", "item", k=5)
 
 
 LISTS = """
@@ -558,17 +547,15 @@ def _register_metric(name: str, expression: str, function) -> None:
         sql.query(*_CF_EV, final=f"SELECT user_id, round(CASE WHEN usable THEN {expression} ELSE 0 END, 6) AS {name} FROM scored"),
     )
     def metric(spark, sf_dir):
-        return _lists(spark, sf_dir).select(
-            "user_id", function(F.col("predicted"), F.col("actual"), 5).alias(name)
-        )
+        return _measures(spark, sf_dir).select("user_id", function(5).alias(name))
 
 
-_register_metric("precision_at_k", "hits / 5.0::DOUBLE", ranking.precision_at_k)
-_register_metric("recall_at_k", "hits::DOUBLE / relevant", ranking.recall_at_k)
+_register_metric("precision_at_k", "hits / 5.0::DOUBLE", ranking.precision_of)
+_register_metric("recall_at_k", "hits::DOUBLE / relevant", ranking.recall_of)
 _register_metric(
     "ndcg_at_k",
     "dcg / list_sum(list_transform(range(1, 1 + least(5, listed)), lambda j: 1.0::DOUBLE / log2(j + 1)))",
-    ranking.ndcg_at_k,
+    ranking.ndcg_of,
 )
 
 
@@ -586,7 +573,7 @@ _register_metric(
     ),
 )
 def map_at_k(spark, sf_dir):
-    return ranking.map_at_k(_lists(spark, sf_dir), "predicted", "actual", 5)
+    return ranking.map_of(_measures(spark, sf_dir), 5)
 
 
 @register(
@@ -594,7 +581,7 @@ def map_at_k(spark, sf_dir):
     sql.query(*_CF_EV, final="SELECT round(count(*) FILTER (WHERE hits > 0)::DOUBLE / count(*), 6) AS hit_rate FROM scored"),
 )
 def hit_rate(spark, sf_dir):
-    return ranking.hit_rate(_lists(spark, sf_dir), "predicted", "actual", 5)
+    return ranking.hit_rate_of(_measures(spark, sf_dir))
 
 
 @register(
@@ -606,8 +593,8 @@ def hit_rate(spark, sf_dir):
     ),
 )
 def coverage(spark, sf_dir):
-    return ranking.coverage(
-        _lists(spark, sf_dir), "predicted", _affinity(spark, sf_dir), "destination", 2
+    return ranking.coverage_of(
+        _recommendations(spark, sf_dir), _affinity(spark, sf_dir), "recommended_destination", "destination", k=2
     )
 
 
@@ -642,13 +629,11 @@ def ratings(spark, sf_dir):
     "user_history",
     sql.query(
         EV, INTERACTIONS,
-        final="""SELECT user_id, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
-        FROM interactions GROUP BY user_id""",
+        final="SELECT DISTINCT user_id, item_id FROM interactions",
     ),
 )
 def user_history(spark, sf_dir):
-    history = recommender.user_history(_interactions(spark, sf_dir))
-    return history.select("user_id", F.array_join("items", ",").alias("items"))
+    return recommender.user_history(_interactions(spark, sf_dir))
 
 
 @register("svd_recommend")

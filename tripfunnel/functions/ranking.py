@@ -1,12 +1,16 @@
-"""Ranking metrics over array columns.
+"""Ranking metrics over rows or over array columns.
 
-``predicted`` is a ranked array, ``actual`` the relevant items. The per-list
-metrics are column expressions; the list-of-lists metrics are aggregates.
+Rows: ``list_measures`` takes ranked items and relevant items per key as rows and never
+builds a list; the metrics ``..._of`` read its result. Arrays, for lists that are short:
+``predicted`` is a ranked array, ``actual`` the relevant items. The per-list metrics are
+column expressions; the list-of-lists metrics are aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from math import log2
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -109,3 +113,74 @@ def coverage(
         .otherwise(F.lit(0.0))
         .alias("coverage")
     )
+
+
+def list_measures(
+    predicted: DataFrame, actual: DataFrame, key: str, item: str, rank: str = "rank", k: int = 10
+) -> DataFrame:
+    """Per key of either side: ``predicted`` (items in the top ``k``), ``relevant`` (distinct),
+    ``listed`` (with repeats), ``hits``, ``dcg`` and ``precisions`` (summed over the hits).
+
+    ``predicted`` has a row per key and ranked item (ranks from 1, without ties), ``actual``
+    a row per occurrence. Occurrences are counted before they are shuffled, so a key with
+    a third of all rows costs its distinct items; the only window sees ``k`` rows per key.
+    """
+    counts = actual.groupBy(key, item).agg(F.count(F.lit(1)).alias("_n"))
+    totals = counts.groupBy(key).agg(F.count(F.lit(1)).alias("relevant"), F.sum("_n").alias("listed"))
+    top = predicted.filter(F.col(rank) <= k).select(key, item, F.col(rank).alias("_rank"))
+    marked = top.join(counts, [key, item], "left").withColumn(
+        "_hit", F.col("_n").isNotNull().cast("long")
+    )
+    so_far = F.sum("_hit").over(Window.partitionBy(key).orderBy("_rank"))
+    ranked = marked.withColumn("_so_far", so_far).groupBy(key).agg(
+        F.count(F.lit(1)).alias("predicted"),
+        F.sum("_hit").alias("hits"),
+        F.sum(F.col("_hit") / F.log2(F.col("_rank") + F.lit(1.0))).alias("dcg"),
+        F.sum(F.col("_hit") * F.col("_so_far") / F.col("_rank")).alias("precisions"),
+    )
+    return ranked.join(totals, key, "full_outer").na.fill(
+        0, ["predicted", "hits", "dcg", "precisions", "relevant", "listed"]
+    )
+
+
+def _usable(value: Column) -> Column:
+    both = (F.col("predicted") > 0) & (F.col("relevant") > 0)
+    return F.when(both, value).otherwise(F.lit(0.0))
+
+
+def precision_of(k: int = 10) -> Column:
+    return _usable(F.col("hits") / F.lit(float(k)))
+
+
+def recall_of(k: int = 10) -> Column:
+    return _usable(F.col("hits").cast("double") / F.col("relevant"))
+
+
+def ndcg_of(k: int = 10) -> Column:
+    """The ideal ranking is as long as the relevant occurrences, repeats included."""
+    ideal = [sum(1.0 / log2(i + 2) for i in range(n)) for n in range(1, k + 1)]
+    length = F.least(F.col("listed"), F.lit(k)).cast("int")
+    return _usable(F.col("dcg") / F.get(F.array(*map(F.lit, ideal)), length - 1))
+
+
+def map_of(measures: DataFrame, k: int = 10) -> DataFrame:
+    """Mean over the keys that have relevant items."""
+    average = F.col("precisions") / F.least(F.col("relevant"), F.lit(k))
+    mean = F.avg(F.when(F.col("relevant") > 0, average))
+    return measures.agg(F.coalesce(mean, F.lit(0.0)).alias("map_at_k"))
+
+
+def hit_rate_of(measures: DataFrame) -> DataFrame:
+    share = F.count_if(F.col("hits") > 0) / F.count(F.lit(1)).cast("double")
+    return measures.agg(F.coalesce(share, F.lit(0.0)).alias("hit_rate"))
+
+
+def coverage_of(predicted: DataFrame, catalog: DataFrame, shown: str, item: str, rank: str = "rank", k: int = 10) -> DataFrame:
+    """Distinct items in the top ``k`` over the size of the catalogue."""
+    top = predicted.filter(F.col(rank) <= k).agg(F.countDistinct(shown).alias("shown"))
+    offered = catalog.agg(F.countDistinct(item).alias("offered"))
+    return offered.select(
+        F.when(F.col("offered") > 0, top.scalar() / F.col("offered").cast("double"))
+        .otherwise(F.lit(0.0))
+        .alias("coverage")
+    )

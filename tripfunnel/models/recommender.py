@@ -57,10 +57,8 @@ def ratings(interaction_rows: DataFrame) -> DataFrame:
 
 
 def user_history(interaction_rows: DataFrame) -> DataFrame:
-    """Items each user touched, sorted; at most the catalogue per user."""
-    return interaction_rows.groupBy("user_id").agg(
-        F.array_sort(F.collect_set("item_id")).alias("items")
-    )
+    """The items each user touched, a row for each."""
+    return interaction_rows.select("user_id", "item_id").distinct()
 
 
 class SvdRecommender:
