@@ -43,6 +43,7 @@ from registry.queries import (
     sentiment,
     splits,
 )
+from tripfunnel.plans import flow
 from tripfunnel.session import scratch_path
 from tripfunnel.sources.catalog import Catalog
 from tripfunnel.sources.streams import stream_events
@@ -770,14 +771,17 @@ def churn_training_set(spark, sf_dir):
 _churn_models: dict = {}
 
 
-def _churn(spark, sf_dir):
-    """The fitted model and its training set, stored once per application."""
+def _churn_training(spark, sf_dir) -> DataFrame:
+    path = scratch_path(spark, "churn")
+    churn.churn_training_set(_acts(spark, sf_dir), CUTOFF, HORIZON).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _churn(spark, sf_dir) -> churn.ChurnModel:
+    """The model fitted on all users, once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _churn_models:
-        path = scratch_path(spark, "churn")
-        churn.churn_training_set(_acts(spark, sf_dir), CUTOFF, HORIZON).write.parquet(path)
-        training = spark.read.parquet(path)
-        _churn_models[key] = (churn.ChurnModel().fit(training), training)
+        _churn_models[key] = churn.ChurnModel().fit(_churn_training(spark, sf_dir))
     return _churn_models[key]
 
 
@@ -788,26 +792,26 @@ def _today(spark, sf_dir) -> DataFrame:
 
 @register("churn_score")
 def churn_score(spark, sf_dir):
-    model, _ = _churn(spark, sf_dir)
+    model = _churn(spark, sf_dir)
     return model.score(_today(spark, sf_dir)).select("user_id", "churn_probability", "prediction", "risk_level")
 
 
 @register("churn_explain")
 def churn_explain(spark, sf_dir):
-    model, _ = _churn(spark, sf_dir)
+    model = _churn(spark, sf_dir)
     return model.explain(_today(spark, sf_dir), 5).withColumn("top_factors", F.to_json("top_factors"))
 
 
 @register("churn_feature_importance")
 def churn_feature_importance(spark, sf_dir):
-    model, _ = _churn(spark, sf_dir)
+    model = _churn(spark, sf_dir)
     return model.feature_importance(spark)
 
 
 @register("churn_evaluation")
 def churn_evaluation(spark, sf_dir):
     """Fitted on four fifths of the users, measured on the rest."""
-    _, training = _churn(spark, sf_dir)
+    training = _churn_training(spark, sf_dir)
     split = splits.stratified_split(training.select("user_id", "churned"), "churned", "user_id")
     parted = training.join(split.select("user_id", "is_test"), "user_id")
     model = churn.ChurnModel().fit(parted.filter("NOT is_test").drop("is_test"))
@@ -1072,3 +1076,22 @@ def stream_merge_segments(spark, sf_dir):
         apply = streaming.versioned_merge(spark, root, merge)
         streaming.merge_stream(feed, apply, state, mode="append").awaitTermination()
     return streaming.latest_version(spark, root)
+
+
+@register(
+    "ingest_run",
+    sql.query(
+        EV,
+        final=" UNION ALL ".join(
+            f"""SELECT '{kind}' AS feed, count(*) AS lines_read, CAST(0 AS BIGINT) AS malformed,
+            CAST(0 AS BIGINT) AS without_id, count(*) AS inserted FROM {table}"""
+            for kind, table in (("search", "searches"), ("click", "clicks"), ("conversion", "conversions"))
+        ),
+    ),
+)
+def ingest_run(spark, sf_dir):
+    """The three feeds into empty raw tables, with the counts as logged."""
+    catalog = Catalog(spark, scratch_path(spark, "ingest-run"))
+    feeds = {kind: _jsonl(spark, sf_dir, (kind,)) for kind in inputs.KINDS}
+    log = flow.run_ingest(catalog, feeds, "batch-1", AS_OF)
+    return log.select("feed", "lines_read", "malformed", "without_id", "inserted")

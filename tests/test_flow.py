@@ -42,3 +42,36 @@ def test_runs_are_logged_with_their_outcome(spark, tmp_path):
     rows = {r["dag_id"]: r for r in spark.read.schema(RUN_LOG_SCHEMA).parquet(log).collect()}
     assert rows["ingest"]["rows_processed"] == 7 and rows["ingest"]["status"] == "success"
     assert rows["broken"]["status"] == "failed" and "division" in rows["broken"]["error_message"]
+
+
+def test_ingest_models_and_syncs_compose(spark, tmp_path):
+    import json
+
+    documents = [search(f"s{i}", "2024-01-04T10:00:00Z", user=f"u{i}", session=f"x{i}") for i in range(5)]
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "a.jsonl").write_text("\n".join([*map(json.dumps, documents), json.dumps(documents[0]), "broken", "{}"]))
+    catalog = Catalog(spark, str(tmp_path / "warehouse"))
+    feeds = {"search": str(feed), "click": str(tmp_path / "none"), "conversion": str(tmp_path / "none")}
+    for again in (False, True):
+        log = {r["feed"]: r for r in flow.run_ingest(catalog, feeds, f"batch-{again}", "2024-01-05 00:00:00").collect()}
+        assert log["search"]["lines_read"] == 8 and log["search"]["malformed"] == 1 and log["search"]["without_id"] == 1
+        assert log["search"]["inserted"] == (0 if again else 5)
+    assert catalog.read(flow.RAW["search"]).count() == 5
+    assert catalog.read(flow.RAW["search"] + "_rejects").filter("batch_id = 'batch-False'").count() == 2
+    flow.run_models(catalog, "2024-01-05 00:00:00")
+    fresh = {r["model"]: r["status"] for r in flow.run_freshness(catalog, "2024-01-05 02:00:00").collect()}
+    assert fresh == {"raw_search_events": "warn", "raw_click_events": "fail", "raw_conversion_events": "fail"}
+    assert flow.store_failures(catalog, flow.run_rules(catalog)) == []
+    dry = flow.run_named_syncs(catalog, as_of="2024-01-05 00:00:00", dry_run=True)
+    assert dry["segments"]["rows_upserted"] == 5 and dry["emails"]["rows_upserted"] == 5
+    assert not catalog.exists("crm.user_segments")
+    assert set(flow.run_named_syncs(catalog, as_of="2024-01-05 00:00:00").values()) == {"success"}
+    assert catalog.read("crm.user_segments").count() == 5 and catalog.read("crm.email_queue").count() == 5
+    again = flow.run_named_syncs(catalog, ("segments", "emails"), as_of="2024-01-05 00:00:00", dry_run=True)
+    assert again["segments"]["rows_extracted"] == 0 and again["emails"]["rows_upserted"] == 0
+    try:
+        flow.run_named_syncs(catalog, ("no such",))
+        raise AssertionError
+    except ValueError:
+        pass

@@ -7,15 +7,17 @@ import uuid
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripfunnel.operators import quality, reporting, staging
+from tripfunnel.operators import activation, quality, reporting, staging
 from tripfunnel.operators.activation import RUN_LOG_SCHEMA, SYNC_LOG_SCHEMA, log_run
 from tripfunnel.operators.journeys import user_journeys
 from tripfunnel.operators.sessions import search_sessions
 from tripfunnel.plans import marts, recommendations
-from tripfunnel.plans.rules import RULES
+from tripfunnel.plans.rules import FRESHNESS_HOURS, RULES
+from tripfunnel.sources import raw
 from tripfunnel.sources.catalog import Catalog
 
 RAW = {
@@ -41,6 +43,50 @@ MODELS = {
 }
 
 
+RAW_SCHEMA = (
+    "event_id string, payload string, ingested_at timestamp, source_file string, batch_id string"
+)
+QUEUE_SCHEMA = (
+    "user_id string, email_template string, payload string, priority int, status string, "
+    "created_at timestamp, processed_at timestamp"
+)
+INGEST_LOG = "ops.ingest_log"
+
+
+def stored_model(catalog: Catalog, model: str) -> DataFrame:
+    """A stored model; a raw table that no ingest has written yet is empty."""
+    name = MODELS[model]
+    return catalog.read_or_empty(name, RAW_SCHEMA) if name in RAW.values() else catalog.read(name)
+
+
+def run_ingest(
+    catalog: Catalog, feeds: Mapping[str, str], batch_id: str, as_of=None
+) -> DataFrame:
+    """Appends what is new in each feed (JSON lines by kind) to its raw table, stores what is
+    no event under ``<table>_rejects`` and logs the counts; returns the log rows of this batch.
+
+    A batch may be run again: known ids are not appended twice, and its rejects and log rows
+    replace those of the first run.
+    """
+    def keep(df: DataFrame, name: str) -> None:
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch_id").parquet(catalog.resolve(name))
+
+    counts = None
+    for kind, path in feeds.items():
+        table = RAW[kind]
+        lines = raw.read_jsonl(catalog.spark, path)
+        result = raw.ingest_incremental(lines, catalog.read_or_empty(table, RAW_SCHEMA), batch_id, as_of)
+        # Counted before the rows are appended: afterwards none of them would be new.
+        row = result.metrics.withColumn("feed", F.lit(kind)).first()
+        counted = catalog.spark.createDataFrame([row], result.metrics.withColumn("feed", F.lit(kind)).schema)
+        counts = counted if counts is None else counts.unionByName(counted)
+        keep(result.rejects, f"{table}_rejects")
+        raw.write_raw_by_day(result.new_rows, catalog.resolve(table))
+    keep(counts, INGEST_LOG)
+    return catalog.read(INGEST_LOG).filter(F.col("batch_id") == batch_id)
+
+
 def run_models(catalog: Catalog, as_of=None) -> dict[str, DataFrame]:
     """Builds and stores every model from the stored raw tables.
 
@@ -53,7 +99,7 @@ def run_models(catalog: Catalog, as_of=None) -> dict[str, DataFrame]:
         return catalog.materialize(df, MODELS[model], partition_by)
 
     searches, clicks, conversions = (
-        store(staging.stage(catalog.read(RAW[kind]), kind), f"stg_{kind}_events") for kind in RAW
+        store(staging.stage(stored_model(catalog, f"raw_{kind}_events"), kind), f"stg_{kind}_events") for kind in RAW
     )
     sessions = store(search_sessions(searches, clicks, conversions), "int_search_sessions")
     users = store(marts.user_dimension(sessions, as_of), "dim_users")
@@ -74,10 +120,32 @@ def run_models(catalog: Catalog, as_of=None) -> dict[str, DataFrame]:
     }
 
 
+def run_freshness(catalog: Catalog, as_of=None) -> DataFrame:
+    """Age of every raw table against its limits."""
+    parts = [
+        quality.freshness(stored_model(catalog, model), model, "ingested_at", *hours, as_of=as_of)
+        for model, hours in FRESHNESS_HOURS.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def store_failures(catalog: Catalog, results: DataFrame) -> list[str]:
+    """Stores the rows behind every rule that did not pass; returns the names they have."""
+    broken = {(r["model"], r["test_name"]) for r in results.filter("status <> 'pass'").collect()}
+    names = []
+    for model, rules in RULES.items():
+        for i, rule in enumerate(rules):
+            if (model, rule.name) in broken:
+                names.append(f"ops.failures.{model}.rule_{i}")
+                rows = quality.failing_rows(stored_model(catalog, model), rule)
+                catalog.materialize(rows.withColumn("test_name", F.lit(rule.name)), names[-1])
+    return names
+
+
 def run_rules(catalog: Catalog) -> DataFrame:
     """All table rules over the stored models."""
     parts = [
-        quality.run_quality(catalog.read(MODELS[model]), model, rules)
+        quality.run_quality(stored_model(catalog, model), model, rules)
         for model, rules in RULES.items()
     ]
     result = parts[0]
@@ -88,7 +156,83 @@ def run_rules(catalog: Catalog) -> DataFrame:
 
 def verify(catalog: Catalog) -> DataFrame:
     """Row counts of all stored models."""
-    return reporting.record_counts({m: catalog.read(path) for m, path in MODELS.items()})
+    return reporting.record_counts({m: stored_model(catalog, m) for m in MODELS})
+
+
+def high_water_mark(spark: SparkSession, log_path: str, sync_type: str):
+    """Start of the newest sync of this type that succeeded; None before the first."""
+    try:
+        log = spark.read.schema(SYNC_LOG_SCHEMA).parquet(log_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    good = log.filter((F.col("sync_type") == sync_type) & F.col("error_message").isNull())
+    return good.agg(F.max("started_at")).first()[0]
+
+
+def _counts(source: str, destination: str, extracted: int, upserted: int, unchanged: int = 0) -> dict:
+    return {
+        "source_table": source, "destination": destination, "rows_extracted": extracted,
+        "rows_upserted": upserted, "rows_unchanged": unchanged,
+    }
+
+
+def sync_segments(catalog: Catalog, as_of=None, since=None, dry_run: bool = False) -> dict:
+    """Segments changed since the last sync, merged into the CRM snapshot."""
+    source, destination = MODELS["mart_user_segments"], "crm.user_segments"
+    changed = activation.changed_since(catalog.read(source), "segmented_at", since)
+    current = catalog.read_or_empty(destination, activation.CRM_SCHEMA)
+    n = activation.merge_metrics(current, changed).first()
+    if not dry_run:
+        catalog.replace(activation.merge_segments(current, changed, as_of), destination)
+    return _counts(source, destination, n["rows_extracted"], n["rows_upserted"], n["rows_unchanged"])
+
+
+def sync_recommendations(catalog: Catalog, as_of=None, since=None, dry_run: bool = False) -> dict:
+    """The whole key-value export: an entry lives for some days, so all are written anew."""
+    source, destination = MODELS["mart_recommendations"], "kv.recommendations"
+    recommended = catalog.read(source)
+    entries = activation.export_reco_kv(recommended, as_of=as_of)
+    n = _counts(source, destination, recommended.count(), entries.count())
+    if not dry_run:
+        activation.write_kv(entries, catalog.resolve(destination))
+    return n
+
+
+def sync_emails(catalog: Catalog, as_of=None, since=None, dry_run: bool = False) -> dict:
+    """Mails for abandoned searches, appended to the queue."""
+    source, destination = MODELS["stg_search_events"], "crm.email_queue"
+    found = activation.abandoned_searches(
+        catalog.read(source), catalog.read(MODELS["stg_conversion_events"]), as_of
+    )
+    queue = catalog.read_or_empty(destination, QUEUE_SCHEMA)
+    mails = activation.queue_emails(found, queue, as_of)
+    n = _counts(source, destination, found.count(), mails.count())
+    if not dry_run:
+        catalog.replace(queue.unionByName(mails), destination)
+    return n
+
+
+SYNCS = {"segments": sync_segments, "recommendations": sync_recommendations, "emails": sync_emails}
+
+
+def run_named_syncs(
+    catalog: Catalog, names: tuple[str, ...] = tuple(SYNCS), as_of=None,
+    log_path: str | None = None, dry_run: bool = False,
+) -> dict[str, dict | str]:
+    """Runs some of ``SYNCS`` from their high-water marks on and logs them; returns their status.
+
+    A dry run writes and logs nothing and returns the counts instead.
+    """
+    if unknown := set(names) - set(SYNCS):
+        raise ValueError(f"no such sync: {', '.join(sorted(unknown))}")
+    log_path = log_path or catalog.resolve("ops.sync_log")
+    since = {name: high_water_mark(catalog.spark, log_path, name) for name in names}
+    if dry_run:
+        return {name: SYNCS[name](catalog, as_of, since[name], dry_run=True) for name in names}
+    jobs = {name: lambda name=name: SYNCS[name](catalog, as_of, since[name]) for name in names}
+    return run_syncs(catalog.spark, jobs, log_path)
 
 
 def run_syncs(

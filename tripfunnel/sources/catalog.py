@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tripfunnel.session import scratch_path
+
 
 @dataclass
 class Catalog:
@@ -26,6 +29,24 @@ class Catalog:
         target = self.resolve(name)
         return self.spark.read.parquet(target) if "/" in target else self.spark.table(target)
 
+    def exists(self, name: str) -> bool:
+        try:
+            self.read(name)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"):
+                return False
+            raise
+        return True
+
+    def read_or_empty(self, name: str, schema: str) -> DataFrame:
+        return self.read(name) if self.exists(name) else self.spark.createDataFrame([], schema)
+
+    def replace(self, df: DataFrame, name: str) -> DataFrame:
+        """Full refresh from rows that may come from the table itself: they are stored first."""
+        path = scratch_path(self.spark, name.replace(".", "-"))
+        df.write.parquet(path)
+        return self.materialize(self.spark.read.schema(df.schema).parquet(path), name)
+
     def materialize(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Full refresh of a model; returns the stored table."""
         writer = df.write.mode("overwrite").partitionBy(*partition_by)
