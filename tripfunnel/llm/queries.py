@@ -11,8 +11,25 @@ from tripfunnel.llm import fertility, language, lm_score, packing, pieces, pu_qu
 from tripfunnel.llm.common import documents, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: No operator here can be said in SQL as a whole; tests compare them with direct versions.
-ORACLE: dict[str, str] = {}
+#: What SQL can say as a whole; tests compare the other queries with direct versions.
+ORACLE: dict[str, str] = {
+    "op3_vector_dedup": """
+    WITH RECURSIVE vectors AS (
+      SELECT row_number() OVER () AS n, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+    sound AS (
+      SELECT n, label, v, list_dot_product(v, v) AS square FROM vectors
+      WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT a.n AS a, b.n AS b FROM sound a JOIN sound b ON a.label = b.label AND a.n <> b.n AND len(a.v) = len(b.v)
+      WHERE list_dot_product(a.v, b.v) / (sqrt(a.square) * sqrt(b.square)) >= 0.98::DOUBLE),
+    reach AS (
+      SELECT n AS a, n AS b FROM vectors UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    named AS (SELECT r.a, min(v.vec_id) AS component_id FROM reach r JOIN vectors v ON v.n = r.b GROUP BY r.a)
+    SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.n) AS n_links, named.component_id,
+      v.vec_id IS NOT DISTINCT FROM named.component_id AS kept
+    FROM vectors v JOIN named ON named.a = v.n""",
+}
 
 #: Score from which a text counts as class 1.
 LEAST = 0.7
