@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,15 +82,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def annotate(df: DataFrame, text: str, work: Callable[[list[str | None]], list], name: str, kind: T.DataType) -> DataFrame:
-    """``df`` with one more column, made by ``work`` from a batch's texts; all other columns pass through."""
+def slices(batch: pa.RecordBatch, text: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``most`` bytes of text, so that memory does not grow with long texts."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0)
+    for start, end in spans(lengths.to_pylist(), most):
+        yield batch.slice(start, end - start)
+
+
+def annotate(df: DataFrame, text: str, work: Callable[[], Callable], name: str, kind: T.DataType) -> DataFrame:
+    """``df`` with one more column; all others pass through. ``work`` gives, once per task, the function
+    that turns a list of texts into values.
+    """
     schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
     def run(batches):
         make = work()
         for batch in batches:
-            made = pa.array(make(texts_of(batch, text)), type=arrow_type(kind))
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
+            for part in slices(batch, text):
+                made = pa.array(make(texts_of(part, text)), type=arrow_type(kind))
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
 
     return df.mapInArrow(run, schema)
 

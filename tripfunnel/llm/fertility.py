@@ -98,7 +98,7 @@ class Meter:
 
     def __call__(self, texts: list[str | None]) -> list[dict]:
         out = []
-        for start, end in spans([len(t or "") for t in texts], 2_000_000):
+        for start, end in spans([len(t or "") for t in texts], 500_000):
             part = [t or "" for t in texts[start:end]]
             split = [t.encode().split() for t in part]
             for text, words, n, n_bytes, entropy in zip(part, split, *map(np.ndarray.tolist, self.token_measures(split))):

@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripfunnel.llm.common import spans, texts_of
+from tripfunnel.llm.common import slices, texts_of
 from tripfunnel.llm.words import Remembered
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -168,9 +168,8 @@ def encode(docs: DataFrame, text: str = "text", id_column: str = "doc_id", vocab
     def run(batches):
         codec = Codec(Pieces.read(model))
         for batch in batches:
-            texts = texts_of(batch, text)
-            for start, end in spans([len(t or "") for t in texts], 1_000_000):
-                part = texts[start:end]
+            for rows in slices(batch, text, 500_000):
+                part = texts_of(rows, text)
                 ids, sizes, many = codec.encode(part)
                 stops = np.cumsum(sizes)
                 same = [
@@ -179,7 +178,7 @@ def encode(docs: DataFrame, text: str = "text", id_column: str = "doc_id", vocab
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(start, end - start), pa.array(many, pa.int64()), pa.array(sizes),
+                        rows.column(0), pa.array(many, pa.int64()), pa.array(sizes),
                         _list_array(ids, sizes, [t is None for t in part]), pa.array(same, pa.bool_()),
                     ],
                     names=schema.names,

@@ -32,7 +32,7 @@ CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "01234567
            ".,;:'\"-?", "!", "#*$%&", "|", "<>=/\\{}[]()@_+~^`")
 OTHER, BEYOND = len(CLASSES), len(CLASSES) + 1
 KINDS = len(CLASSES) + 2
-CLASS_OF = np.full(256, OTHER, dtype=np.int64)
+CLASS_OF = np.full(256, OTHER, dtype=np.int32)
 for _number, _chars in enumerate(CLASSES):
     CLASS_OF[list(_chars.encode())] = _number
 CLASS_OF[128:] = BEYOND
@@ -66,10 +66,10 @@ def features(texts: list[str | None]) -> np.ndarray:
     """A row for each text: shares of class pairs and classes, square roots, then ``repetition``."""
     raw = [(t or "").encode() for t in texts]
     out = np.zeros((len(texts), SIZE), dtype=np.float32)
-    for start, end in spans([len(b) for b in raw], 4_000_000):
+    for start, end in spans([len(b) for b in raw], 1_000_000):
         lengths = np.array([len(b) for b in raw[start:end]])
         classes = CLASS_OF[np.frombuffer(b"".join(raw[start:end]), dtype=np.uint8)]
-        text = np.repeat(np.arange(end - start), lengths)
+        text = np.repeat(np.arange(end - start, dtype=np.int32), lengths)
         single = np.bincount(text * KINDS + classes, minlength=(end - start) * KINDS)
         inside = text[1:] == text[:-1]
         code = (text[1:] * KINDS + classes[:-1]) * KINDS + classes[1:]

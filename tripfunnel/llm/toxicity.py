@@ -65,7 +65,7 @@ class Difference:
         """Two columns: evidence per word of the whole text, and of the ``share`` of words that tells most."""
         out = np.zeros((len(texts), 2))
         unknown = len(self.number)
-        for start, end in spans([len(t or "") for t in texts], 2_000_000):
+        for start, end in spans([len(t or "") for t in texts], 500_000):
             split = [words(t) for t in texts[start:end]]
             ids: list[int] = []
             for w in split:

@@ -12,7 +12,7 @@ import numpy as np
 class Remembered:
     """Numbers words and keeps the tokens of each in one array; forgets all beyond ``most`` words."""
 
-    def __init__(self, encode: Callable[[list], list[list[int]]], most: int = 600_000):
+    def __init__(self, encode: Callable[[list], list[list[int]]], most: int = 300_000):
         self.encode, self.most = encode, most
         self.forget()
 
