@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfunnel.llm import fertility, language, lm_score, packing, pieces, pu_quality, sharding, simhash, toxicity, vector_dedup
+from tripfunnel.llm import fertility, language, packing, pieces, pu_quality, sharding, simhash, toxicity, vector_dedup, word_score
 from tripfunnel.llm.common import documents, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,7 +49,7 @@ def op1_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the passages of ``benchmark``; background: all documents."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    scored, losses = lm_score.score(docs, target, docs)
+    scored, losses = word_score.score(docs, target, docs)
     return scored.select("doc_id", f"{losses}.*")
 
 
