@@ -4,6 +4,9 @@ Two bigram models, one of toxic and one of ordinary text, interpolate in three s
 of the class, the word count of the class, and a distribution that both classes share, built from the
 pooled continuation counts (in how many different contexts a word follows). An expression too rare for
 either class falls back on the same shared probability in both, so it hardly speaks for one of them.
+A pair counts once for each text that has it, so repetition inside one text carries no weight, with modified
+Kneser-Ney discounts for one, two and more texts. How many texts a pair needs is read from the data: of the
+powers of two, the smallest whose log loss on unseen halves lies within one standard error of the least.
 
 A text is judged by the difference of the two log-likelihoods per word: over the whole text, and over
 the ``telling`` share of its words (two at least) that speak most for toxic text, since a long text
@@ -63,50 +66,83 @@ class Difference:
 
     def measures(self, texts: list[str | None], share: float) -> np.ndarray:
         """Two columns: evidence per word of the whole text, and of the ``share`` of words that tells most."""
-        out = np.zeros((len(texts), 2))
-        unknown = len(self.number)
+        out = [np.zeros((0, 2))]
         for start, end in spans([len(t or "") for t in texts], 500_000):
-            split = [words(t) for t in texts[start:end]]
-            ids: list[int] = []
-            for w in split:
-                ids.append(-1)
-                ids.extend([self.number.get(x, unknown) for x in w])
-            value = self.evidence(np.array(ids, dtype=np.int64))
-            at = 1
-            for i, w in enumerate(split, start):
-                n = len(w)
-                if n:
-                    own = value[at : at + n]
-                    many = min(n, max(2, int(n * share)))
-                    out[i] = own.mean(), np.partition(own, n - many)[n - many :].mean()
-                at += n + 1
+            out.append(self.measures_of(numbered(texts[start:end], self.number), share))
+        return np.concatenate(out)
+
+    def measures_of(self, split: list[np.ndarray], share: float) -> np.ndarray:
+        """The same of texts whose words are numbered."""
+        out = np.zeros((len(split), 2))
+        sizes = [len(w) for w in split]
+        value = self.evidence(np.concatenate([x for w in split for x in (START, w)])) if split else np.zeros(0)
+        at = 1
+        for i, n in enumerate(sizes):
+            if n:
+                own = value[at : at + n]
+                many = min(n, max(2, int(n * share)))
+                out[i] = own.mean(), np.partition(own, n - many)[n - many :].mean()
+            at += n + 1
         return out
 
 
-def learn(toxic: list[str | None], ordinary: list[str | None], least_word: int = 4, least_pair: int = 300) -> Difference:
+START = np.array([-1], dtype=np.int64)
+
+
+def numbered(texts: list[str | None], number: dict[str, int]) -> list[np.ndarray]:
+    """The numbers of each text's words; unknown ones get the number after the last."""
+    unknown = len(number)
+    return [np.array([number.get(x, unknown) for x in words(t)], dtype=np.int64) for t in texts]
+
+
+@dataclass(frozen=True)
+class Counts:
+    """In how many texts of either class each pair (context << 32) + word occurs; context 0 is the start."""
+
+    number: dict[str, int]
+    pairs: np.ndarray
+    table: np.ndarray
+
+    @staticmethod
+    def of(toxic: list[str | None], ordinary: list[str | None]) -> Counts:
+        number: dict[str, int] = {}
+        found = []
+        for kind in (toxic, ordinary):
+            keys = [np.zeros(0, dtype=np.int64)]
+            for t in kind:
+                ids = np.array([-1, *[number.setdefault(w, len(number)) for w in words(t)]], dtype=np.int64)
+                keys.append(np.unique((ids[:-1] + 1) << 32 | ids[1:]))
+            found.append(np.unique(np.concatenate(keys), return_counts=True))
+        pairs = np.unique(np.concatenate([keys for keys, _ in found]))
+        table = np.zeros((len(pairs), 2))
+        for c, (keys, n) in enumerate(found):
+            table[np.searchsorted(pairs, keys), c] = n
+        return Counts(number, pairs, table)
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """What modified Kneser-Ney takes from counts of 0, 1, 2 and more; ``DISCOUNT`` where too few counts tell."""
+    n = np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:5].astype(float)
+    if not n.all():
+        return np.array([0.0, DISCOUNT, DISCOUNT, DISCOUNT])
+    y = n[0] / (n[0] + 2 * n[1])
+    return np.array([0.0, *[np.clip(k - (k + 1) * y * n[k] / n[k - 1], 0.1, k) for k in (1, 2, 3)]])
+
+
+def learn(toxic: list[str | None], ordinary: list[str | None], least_word: int = 4, least_pair: int = 1) -> Difference:
+    """Both models of the texts of either class."""
+    return models(Counts.of(toxic, ordinary), least_word, least_pair)
+
+
+def models(counts: Counts, least_word: int = 4, least_pair: int = 1) -> Difference:
     """Both models.
 
-    As in Kneser-Ney smoothing, the word step counts contexts (different previous words), so one text
-    that repeats a word, or copies of one text, count once. What is rarer than ``least_word`` contexts
-    or ``least_pair`` occurrences in both classes together leaves its mass to the step below.
+    As in Kneser-Ney smoothing, the word step counts contexts (different previous words). What is rarer
+    than ``least_word`` contexts or ``least_pair`` texts in both classes together leaves its mass to the
+    step below.
     """
-    number: dict[str, int] = {}
-    keys, counts, occurring = [], [], []
-    for kind in (toxic, ordinary):
-        ids: list[int] = []
-        for t in kind:
-            ids.append(-1)
-            ids.extend([number.setdefault(w, len(number)) for w in words(t)])
-        joined = np.array(ids, dtype=np.int64)
-        a, b = joined[:-1], joined[1:]
-        key, count = np.unique((a[b >= 0] + 1) << 32 | b[b >= 0], return_counts=True)  # context 0: the start
-        keys.append(key)
-        counts.append(count)
-    size = len(number) + 1
-    pairs = np.unique(np.concatenate(keys))
-    table = np.zeros((len(pairs), 2))
-    for c in range(2):
-        table[np.searchsorted(pairs, keys[c]), c] = counts[c]
+    pairs, table = counts.pairs, counts.table
+    size = len(counts.number) + 1
     context, follower = pairs >> 32, pairs & 0xFFFFFFFF
     single = np.stack([np.bincount(follower, weights=table[:, c] > 0, minlength=size) for c in range(2)], axis=1)
     seen = np.stack([np.bincount(context, weights=table[:, c], minlength=size + 1) for c in range(2)], axis=1)
@@ -117,11 +153,12 @@ def learn(toxic: list[str | None], ordinary: list[str | None], least_word: int =
     single[contexts < least_word] = 0.0
     kept = np.maximum(single - DISCOUNT, 0) / total
     word = kept + (1.0 - kept.sum(axis=0)) * shared[:, None]
+    taken_off = np.stack([discounts(table[:, c])[np.minimum(table[:, c], 3).astype(np.int64)] for c in range(2)], axis=1)
     held = table.sum(axis=1) >= least_pair
-    pairs, table, context = pairs[held], table[held], context[held]
-    direct = np.maximum(table - DISCOUNT, 0) / np.maximum(seen[context], 1)
+    pairs, table, context, taken_off = pairs[held], table[held], context[held], taken_off[held]
+    direct = np.maximum(table - taken_off, 0) / np.maximum(seen[context], 1)
     taken = np.stack([np.bincount(context, weights=direct[:, c], minlength=size + 1) for c in range(2)], axis=1)
-    return Difference(number, word, 1.0 - taken, pairs, direct)
+    return Difference(counts.number, word, 1.0 - taken, pairs, direct)
 
 
 @dataclass(frozen=True)
@@ -157,19 +194,25 @@ def fit_texts(toxic: list[str | None], ordinary: list[str | None], share: float,
         empty = learn([], [])
         logit = float(np.log(share / (1 - share))) if 0 < share < 1 else 0.0
         return Model(empty, np.zeros(2), logit, telling)
-    rows, marks = [], []
+    halves = []
     for out in (0, 1):
-        a = [t for i, t in enumerate(toxic) if i % 2 != out] or toxic
-        b = [t for i, t in enumerate(ordinary) if i % 2 != out] or ordinary
-        half = learn(a, b)
-        for mark, kind in ((1.0, toxic), (0.0, ordinary)):
-            rows.append(half.measures(kind[out::2], telling))
-            marks.append(np.full(len(rows[-1]), mark))
-    measures, marks = np.concatenate(rows), np.concatenate(marks)
+        counts = Counts.of([t for i, t in enumerate(toxic) if i % 2 != out] or toxic, [t for i, t in enumerate(ordinary) if i % 2 != out] or ordinary)
+        halves.append((counts, numbered(toxic[out::2] + ordinary[out::2], counts.number)))
+    marks = np.concatenate([np.repeat([1.0, 0.0], [len(toxic[out::2]), len(ordinary[out::2])]) for out in (0, 1)])
     share = min(max(share, 1e-3), 1 - 1e-3)
     weight = np.where(marks == 1, share / marks.sum(), (1 - share) / (1 - marks).sum())
-    weights, bias = calibrate(measures, marks, weight)
-    return Model(learn(toxic, ordinary), weights, bias, telling)
+    tried = []
+    most = max(counts.table.sum(axis=1).max(initial=1) for counts, _ in halves)
+    for least_pair in 2 ** np.arange(int(np.log2(most)) + 2):  # the last keeps no pair of the halves
+        measures = np.concatenate([models(counts, least_pair=least_pair).measures_of(split, telling) for counts, split in halves])
+        weights, bias = calibrate(measures, marks, weight)
+        z = measures @ weights + bias
+        loss = np.logaddexp(0.0, np.where(marks == 1, -z, z))
+        mean = weight @ loss
+        tried.append((mean, float(np.sqrt(weight**2 @ (loss - mean) ** 2)), int(least_pair), weights, bias))
+    best = min(tried, key=lambda x: x[0])
+    _, _, least_pair, weights, bias = next(x for x in tried if x[0] <= best[0] + best[1])
+    return Model(learn(toxic, ordinary, least_pair=least_pair), weights, bias, telling)
 
 
 def fit(
