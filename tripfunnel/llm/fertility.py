@@ -5,8 +5,12 @@ word-start mark. Three ratios follow per text:
 
 * ``chars_per_token``: code points in words per token; low for text unlike what the vocabulary knows
 * ``byte_share``: share of tokens that are single bytes; high for unknown scripts and broken text
-* ``entropy``: Shannon entropy of the text's token distribution, divided by the logarithm of the
-  token count (0 for one token over and over, 1 when no token repeats)
+* ``window_entropy``: Shannon entropy of the tokens in a window of ``WINDOW`` tokens, divided by the logarithm
+  of that number (0 for one token over and over, 1 when no token repeats), the mean over windows that
+  cover the whole text. Texts of any length are compared at the same length: every text that passes
+  the base rule has a window.
+
+``entropy``, the same for the whole text at once, is reported, but falls with length and rejects nothing.
 
 Rejection bands are per language, or per script: all texts of one group form a band between the median
 minus and plus ``width`` interquartile ranges. Groups with fewer than ``least`` texts share the band
@@ -33,6 +37,7 @@ from tripfunnel.llm.words import Remembered
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
+WINDOW = 50
 #: A script is recognised by the code points of its first letters; plain Latin is the rest.
 SCRIPTS = {
     "Greek": "Ͱ-Ͽ", "Cyrillic": "Ѐ-ԯ", "Hebrew": "֐-׿", "Arabic": "؀-ۿ",
@@ -49,6 +54,7 @@ FIELDS = T.StructType(
         T.StructField("n_tokens", T.LongType()),
         T.StructField("n_bytes", T.LongType()),
         T.StructField("entropy", T.DoubleType()),
+        T.StructField("window_entropy", T.DoubleType()),
     ]
 )
 
@@ -81,27 +87,39 @@ class Meter:
         self.is_byte = np.array([self.encoder.is_byte(i) for i in range(self.size)])
         self.words = Remembered(lambda words: self.encoder.encode([w.decode() for w in words], num_threads=1))
 
-    def token_measures(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each text: tokens, byte tokens, entropy over the logarithm of the token count."""
+    def entropies(self, of: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Entropy over the logarithm of the token count of each of ``len(n)`` groups of ``n`` tokens."""
+        pairs = np.sort(of * self.size + ids)
+        edges = np.flatnonzero(np.diff(pairs, prepend=-1, append=-1))
+        times = np.diff(edges)
+        spent = np.bincount(pairs[edges[:-1]] // self.size, weights=times * np.log(times), minlength=len(n))
+        some = np.maximum(n, 2)
+        return np.where(n > 1, (np.log(some) - spent / some) / np.log(some), np.where(n == 1, 1.0, 0.0))
+
+    def token_measures(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: tokens, byte tokens, entropy over the logarithm of the token count, mean of windows."""
         texts = len(split)
         ids, length = self.words.tokens_of([w for words in split for w in words])
         text = np.repeat(np.repeat(np.arange(texts), [len(words) for words in split]), length)
         n = np.bincount(text, minlength=texts)
         n_bytes = np.bincount(text[self.is_byte[ids]], minlength=texts)
-        pairs = np.sort(text * self.size + ids)
-        edges = np.flatnonzero(np.diff(pairs, prepend=-1, append=-1))
-        times = np.diff(edges)
-        spent = np.bincount(pairs[edges[:-1]] // self.size, weights=times * np.log(times), minlength=texts)
-        some = np.maximum(n, 2)
-        entropy = np.where(n > 1, (np.log(some) - spent / some) / np.log(some), np.where(n == 1, 1.0, 0.0))
-        return n, n_bytes, np.round(entropy, 9)
+        # Windows are spread evenly from the first token to the last and overlap where they must.
+        windows = np.maximum(-(-n // WINDOW), 1)
+        owner = np.repeat(np.arange(texts), windows)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        size = np.minimum(n, WINDOW)[owner]
+        first = (np.cumsum(n) - n)[owner] + nth * (n[owner] - size) // np.maximum(windows[owner] - 1, 1)
+        at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        each = self.entropies(np.repeat(np.arange(len(owner)), size), ids[at], size)
+        mean = np.bincount(owner, weights=each, minlength=texts) / windows
+        return n, n_bytes, np.round(self.entropies(text, ids, n), 9), np.round(mean, 9)
 
     def __call__(self, texts: list[str | None]) -> list[dict]:
         out = []
         for start, end in spans([len(t or "") for t in texts], 500_000):
             part = [t or "" for t in texts[start:end]]
             split = [t.encode().split() for t in part]
-            for text, words, n, n_bytes, entropy in zip(part, split, *map(np.ndarray.tolist, self.token_measures(split))):
+            for text, words, n, n_bytes, entropy, mean in zip(part, split, *map(np.ndarray.tolist, self.token_measures(split))):
                 out.append(
                     {
                         "n_words": len(words),
@@ -112,6 +130,7 @@ class Meter:
                         "n_tokens": n,
                         "n_bytes": n_bytes,
                         "entropy": entropy,
+                        "window_entropy": mean,
                     }
                 )
         return out
@@ -149,15 +168,15 @@ def ratios(measures: Column) -> list[Column]:
     return [
         (measures["word_chars"] / F.nullif(n, F.lit(0))).alias("chars_per_token"),
         (measures["n_bytes"] / F.nullif(n, F.lit(0))).alias("byte_share"),
-        F.when(n > 0, measures["entropy"]).alias("entropy"),
+        F.when(n > 0, measures["window_entropy"]).alias("window_entropy"),
     ]
 
 
-RATIOS = ("chars_per_token", "byte_share", "entropy")
+RATIOS = ("chars_per_token", "byte_share", "window_entropy")
 #: Which ends of a band reject: text is not rejected for few byte tokens or for high entropy.
-ENDS = {"chars_per_token": "both", "byte_share": "high", "entropy": "low"}
+ENDS = {"chars_per_token": "both", "byte_share": "high", "window_entropy": "low"}
 #: Least half width of a band, so that a group of near-equal texts does not reject small differences.
-SLACK = {"chars_per_token": 0.25, "byte_share": 0.02, "entropy": 0.05}
+SLACK = {"chars_per_token": 0.25, "byte_share": 0.02, "window_entropy": 0.15}
 
 
 def fit_bands(ratios_by_group: DataFrame, width: float = 4.0, least: int = 200) -> DataFrame:
@@ -211,7 +230,8 @@ def judge(
             within = within & ~F.coalesce(outside, F.lit(False))
     failed = base_failed(F.col(m))
     verdict = F.struct(
-        *[F.col(m)[f.name].alias(f.name) for f in FIELDS if f.name != "entropy"], *ratios(F.col(m)),
+        *[F.col(m)[f.name].alias(f.name) for f in FIELDS if f.name not in ("entropy", *RATIOS)], *ratios(F.col(m)),
+        F.when(F.col(m)["n_tokens"] > 0, F.col(m)["entropy"]).alias("entropy"),
         failed.alias("base_failed"), (~failed & within).alias("kept"),
     )
     name = free_name(docs, "verdict")
