@@ -29,3 +29,18 @@ def test_windows_cover_the_text():
     assert found[1] < 0.7 * found[0] and abs(found[1] - found[2]) < 0.05
     assert found[3:] == [0.0, 1.0, 0.0]
     assert [m["window_entropy"] for m in meter(texts[:1])] == found[:1]
+
+
+def test_small_groups_of_another_script_stay(spark):
+    """Thirty clean Georgian texts among English ones, and a language of one broken text."""
+    georgian = "სახლი მდინარის პირას ძველია და მწვანე წყალი მიედინება ქვებზე როცა ხალხი ღამით შინ მიდის".split()
+    for n in (30, 199, 200):
+        rows = [(i, t, "en") for i, t in enumerate(sentences(PLAIN, 300, 1))]
+        rows += [(1000 + i, t, "ka") for i, t in enumerate(sentences(georgian, n, 4))]
+        rows += [(5000, " ".join(f"க{k}ꙮ" for k in range(80)), "xx")]
+        kept = {r["doc_id"] for r in fertility.keep(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert kept == set(range(300)) | {1000 + i for i in range(n)}
+
+
+def test_script_of_most_letters():
+    assert [fertility.script_of(t) for t in ("", "a µ-wave is α", "ქვა a", "日本の山", "é 12")] == ["LATIN", "LATIN", "GEORGIAN", "CJK", "LATIN"]

@@ -13,8 +13,11 @@ word-start mark. Three ratios follow per text:
 ``entropy``, the same for the whole text at once, is reported, but falls with length and rejects nothing.
 
 Rejection bands are per language, or per script: all texts of one group form a band between the median
-minus and plus ``width`` interquartile ranges. Groups with fewer than ``least`` texts share the band
-of all texts.
+minus and plus ``width`` interquartile ranges. Median and range of a group are drawn towards those of its
+most frequent script, and those of a script towards those of all texts, with the weight ``prior / (n + prior)``
+for ``n`` texts. What lies between both medians widens the band, as it does the spread of a mixture:
+by ``sqrt(w * (1 - w))`` times their distance. Nothing switches at any number of texts, and from ``prior``
+texts on a group's own median is always inside.
 
 Defined cases: a null or blank text has no words and fails the base rule; a null language is the group
 ``und``; equal rows get equal results and all stay; an empty table gives an empty result. Columns that
@@ -24,7 +27,9 @@ the operator does not name pass through ``annotate``; a clash of names is avoide
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import sentencepiece
@@ -38,12 +43,6 @@ from tripfunnel.llm.words import Remembered
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 50
-#: A script is recognised by the code points of its first letters; plain Latin is the rest.
-SCRIPTS = {
-    "Greek": "Ͱ-Ͽ", "Cyrillic": "Ѐ-ԯ", "Hebrew": "֐-׿", "Arabic": "؀-ۿ",
-    "Devanagari": "ऀ-ॿ", "Thai": "฀-๿", "Kana": "぀-ヿ", "Han": "一-鿿",
-    "Hangul": "가-힯",
-}
 FIELDS = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -55,6 +54,7 @@ FIELDS = T.StructType(
         T.StructField("n_bytes", T.LongType()),
         T.StructField("entropy", T.DoubleType()),
         T.StructField("window_entropy", T.DoubleType()),
+        T.StructField("script", T.StringType()),
     ]
 )
 
@@ -78,6 +78,23 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+@cache
+def script_of_letter(letter: str) -> str:
+    """The first word of a letter's Unicode name, such as LATIN, THAI, CJK; empty for what is no letter."""
+    return unicodedata.name(letter, "").split(" ")[0].split("-")[0] if letter.isalpha() else ""
+
+
+def script_of(text: str) -> str:
+    """The script of most letters of a text, ``LATIN`` without letters."""
+    if text.isascii():
+        return "LATIN"
+    found: Counter = Counter()
+    for letter, n in Counter(text).items():
+        found[script_of_letter(letter)] += n
+    del found[""]
+    return max(found, key=lambda k: (found[k], k), default="LATIN")
+
+
 class Meter:
     """Measures texts."""
 
@@ -131,20 +148,12 @@ class Meter:
                         "n_bytes": n_bytes,
                         "entropy": entropy,
                         "window_entropy": mean,
+                        "script": script_of(text),
                     }
                 )
         return out
 
 
-def script_of(text: Column) -> Column:
-    """Script of the first letter outside Latin that ``SCRIPTS`` lists, else ``Latin``."""
-    first = F.regexp_extract(text, "[" + "".join(SCRIPTS.values()) + "]", 0)
-    out = F.lit("Latin")
-    for name, chars in SCRIPTS.items():
-        out = F.when(first.rlike(f"[{chars}]"), F.lit(name)).otherwise(out)
-    return F.when(text.isNull(), F.lit("und")).otherwise(out)
-
-
 def measure(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> tuple[DataFrame, str]:
     """``docs`` with one struct column of the measures (``FIELDS``), and that column's name.
 
@@ -179,29 +188,52 @@ ENDS = {"chars_per_token": "both", "byte_share": "high", "window_entropy": "low"
 SLACK = {"chars_per_token": 0.25, "byte_share": 0.02, "window_entropy": 0.15}
 
 
-def fit_bands(ratios_by_group: DataFrame, width: float = 4.0, least: int = 200) -> DataFrame:
+def drawn(own: Column, parent: Column, n: Column, prior: float) -> Column:
+    """Median, range and widening of each ratio: ``own`` quartiles of ``n`` texts, drawn towards ``parent``."""
+    w = n / (n + F.lit(prior))
+    out = []
+    for r in RATIOS:
+        mid, spread = own[r][1], own[r][2] - own[r][0]
+        above = parent[r]
+        out.append(
+            F.struct(
+                (w * mid + (1 - w) * above["mid"]).alias("mid"),
+                (w * spread + (1 - w) * above["spread"]).alias("spread"),
+                ((1 - w) * above["more"] + F.sqrt(w * (1 - w)) * F.abs(mid - above["mid"])).alias("more"),
+            ).alias(r)
+        )
+    return F.struct(*out)
+
+
+def fit_bands(ratios_by_group: DataFrame, width: float = 4.0, prior: float = 20.0) -> DataFrame:
     """Low and high end of each ratio per ``group``, from all texts that pass the base rule.
 
     The quantiles are sketches that each task builds over its own rows, so a group with a third of
-    all rows costs no more than any other. One further row, with ``group`` null, holds all texts.
+    all rows costs no more than any other.
     """
-    quantiles = [F.percentile_approx(r, [0.25, 0.5, 0.75], 10000).alias(r) for r in RATIOS]
-    by_group = ratios_by_group.groupBy("group").agg(F.count("*").alias("n"), *quantiles)
-    whole = ratios_by_group.agg(F.count("*").alias("n"), *quantiles).select(
-        F.lit(None).cast("string").alias("group"), "n", *RATIOS
+    quartiles = F.struct(*[F.percentile_approx(r, [0.25, 0.5, 0.75], 10000).alias(r) for r in RATIOS]).alias("own")
+    mid_of = [F.struct(F.col("own")[r][1].alias("mid"), (F.col("own")[r][2] - F.col("own")[r][0]).alias("spread"), F.lit(0.0).alias("more")).alias(r) for r in RATIOS]
+    whole = ratios_by_group.agg(quartiles).select(F.struct(*mid_of).alias("parent"))  # one row
+    scripts = ratios_by_group.groupBy("script").agg(F.count("*").alias("n"), quartiles).crossJoin(F.broadcast(whole))
+    scripts = scripts.select("script", drawn(F.col("own"), F.col("parent"), F.col("n"), prior).alias("parent"))
+    main = ratios_by_group.groupBy("group", "script").agg(F.count("*").alias("n")).groupBy("group").agg(
+        F.max_by("script", F.struct("n", "script")).alias("script")
     )
-    bands = by_group.filter(F.col("n") >= least).unionByName(whole)
+    by_group = ratios_by_group.groupBy("group").agg(F.count("*").alias("n"), quartiles)
+    # Scripts are a closed list of Unicode, a few hundred.
+    bands = by_group.join(main, "group").join(F.broadcast(scripts), "script")
+    bands = bands.select("group", drawn(F.col("own"), F.col("parent"), F.col("n"), prior).alias("b"))
     for r in RATIOS:
-        reach = F.greatest((F.col(r)[2] - F.col(r)[0]) * width, F.lit(SLACK[r]))
-        low = F.col(r)[1] - reach if ENDS[r] in ("both", "low") else F.lit(None).cast("double")
-        high = F.col(r)[1] + reach if ENDS[r] in ("both", "high") else F.lit(None).cast("double")
+        reach = F.greatest(F.col("b")[r]["spread"] * width, F.lit(SLACK[r])) + F.col("b")[r]["more"]
+        low = F.col("b")[r]["mid"] - reach if ENDS[r] in ("both", "low") else F.lit(None).cast("double")
+        high = F.col("b")[r]["mid"] + reach if ENDS[r] in ("both", "high") else F.lit(None).cast("double")
         bands = bands.withColumn(f"{r}_low", low).withColumn(f"{r}_high", high)
     return bands.select("group", *[f"{r}_{end}" for r in RATIOS for end in ("low", "high")])
 
 
 def judge(
     docs: DataFrame, text: str = "text", language: str | None = "lang", vocabulary: str = VOCABULARY,
-    width: float = 4.0, least: int = 200,
+    width: float = 4.0, prior: float = 20.0,
 ) -> tuple[DataFrame, str]:
     """``docs`` with one struct column ``verdict``: the measures, ratios, ``base_failed`` and ``kept``.
 
@@ -211,26 +243,21 @@ def judge(
     """
     measured, m = measure(docs, text, vocabulary)
     group = free_name(measured, "group")
-    by = F.coalesce(F.col(language).cast("string"), F.lit("und")) if language else script_of(F.col(text))
+    by = F.coalesce(F.col(language).cast("string"), F.lit("und")) if language else F.col(m)["script"]
     measured = stored(measured.withColumn(group, by), "fertility")
-    passed = measured.filter(~base_failed(F.col(m))).select(F.col(group).alias("group"), *ratios(F.col(m)))
-    bands = stored(fit_bands(passed, width, least), "bands")  # a row for each language
+    passed = measured.filter(~base_failed(F.col(m))).select(F.col(group).alias("group"), F.col(m)["script"].alias("script"), *ratios(F.col(m)))
+    bands = stored(fit_bands(passed, width, prior), "bands")  # a row for each language
     ends = [c for c in bands.columns if c != "group"]
-    shared = bands.filter(F.col("group").isNull()).first()  # one row
-    own = bands.filter(F.col("group").isNotNull()).select(F.col("group").alias("__group"), F.struct(*ends).alias("__band"))
+    own = bands.select(F.col("group").alias("__group"), F.struct(*ends).alias("__band"))
     joined = measured.join(own, F.col(group) == F.col("__group"), "left")
 
-    def end_of(name: str) -> Column:
-        whole = F.lit(shared[name]).cast("double")
-        return F.when(F.col("__group").isNull(), whole).otherwise(F.col("__band")[name])
-
     within = F.lit(True)
     for value, r in zip(ratios(F.col(m)), RATIOS):
-        for outside in (value < end_of(f"{r}_low"), value > end_of(f"{r}_high")):
+        for outside in (value < F.col("__band")[f"{r}_low"], value > F.col("__band")[f"{r}_high"]):
             within = within & ~F.coalesce(outside, F.lit(False))
     failed = base_failed(F.col(m))
     verdict = F.struct(
-        *[F.col(m)[f.name].alias(f.name) for f in FIELDS if f.name not in ("entropy", *RATIOS)], *ratios(F.col(m)),
+        *[F.col(m)[f.name].alias(f.name) for f in FIELDS if f.name not in ("entropy", "script", *RATIOS)], *ratios(F.col(m)),
         F.when(F.col(m)["n_tokens"] > 0, F.col(m)["entropy"]).alias("entropy"),
         failed.alias("base_failed"), (~failed & within).alias("kept"),
     )
