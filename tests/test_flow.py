@@ -1,4 +1,4 @@
-from conftest import click, conversion, raw_table, search
+from builders import click, conversion, raw_table, search
 
 from tripfunnel.operators.activation import RUN_LOG_SCHEMA
 from tripfunnel.plans import flow

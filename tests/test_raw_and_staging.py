@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import raw_table, search
+from builders import raw_table, search
 from pyspark.sql import functions as F
 
 from tripfunnel.operators import staging

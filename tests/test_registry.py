@@ -1,6 +1,8 @@
 """Registered queries against their SQL twins on the smallest data."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -34,3 +36,13 @@ def test_no_operator_depends_on_arrow_for_the_driver(spark):
             assert QUERIES[name](spark, SF_DIR).count() > 0
     finally:
         spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+
+
+def test_all_modules_are_collected():
+    """In one run and with each folder alone, whatever the order."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    found = subprocess.run(
+        [sys.executable, "-m", "pytest", "--collect-only", "-q", "-p", "no:cacheprovider", here],
+        capture_output=True, text=True, timeout=300, cwd=os.path.dirname(here),
+    )
+    assert found.returncode == 0, found.stdout[-2000:]

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import click, conversion, search, stage_all
+from builders import click, conversion, search, stage_all
 from pyspark.sql import functions as F
 
 from tripfunnel.operators.journeys import attribute, user_journeys
