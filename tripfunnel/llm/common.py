@@ -116,6 +116,12 @@ def sample_by_hash(df: DataFrame, id_column: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(id_column).cast("string")), F.col(id_column)).limit(rows)
 
 
+def finite_vector(vector: Column) -> Column:
+    """Whether the list is there and none of its components is null, NaN or infinite."""
+    number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return F.coalesce(vector.isNotNull() & F.forall(vector, number), F.lit(False))
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 

@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfunnel.llm import fertility, language, packing, pieces, pu_quality, sharding, simhash, toxicity, vector_dedup, word_score
+from tripfunnel.llm import (
+    centroids,
+    fertility,
+    hard_negatives,
+    language,
+    line_dedup,
+    packing,
+    pieces,
+    pu_quality,
+    sharding,
+    simhash,
+    toxicity,
+    vector_dedup,
+    word_score,
+)
 from tripfunnel.llm.common import documents, held_out
+from tripfunnel.llm.twins import TWINS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: What SQL can say as a whole; tests compare the other queries with direct versions.
@@ -31,6 +46,8 @@ ORACLE: dict[str, str] = {
     FROM vectors v JOIN named ON named.a = v.n""",
 }
 
+ORACLE |= TWINS
+
 #: Score from which a text counts as class 1.
 LEAST = 0.7
 
@@ -117,3 +134,20 @@ def op7_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir))
+
+
+@register
+def op11_threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(*centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+@register
+def op12_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(documents(spark, sf_dir))
+
+
+@register
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row's label is moved by one first, as its contract has it."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label=label)
