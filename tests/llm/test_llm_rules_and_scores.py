@@ -1,4 +1,4 @@
-"""Fertility rules, cross-entropy difference and SentencePiece codec against direct versions."""
+"""Fertility rules and SentencePiece codec against direct versions."""
 
 import math
 import random
@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripfunnel.llm import fertility, lm_score, pieces
+from tripfunnel.llm import fertility, pieces
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,61 +75,6 @@ def test_fertility_passes_other_columns(clashing, none):
     assert fertility.keep(none).count() == 0
 
 
-def witten_bell(texts):
-    """P(c | a b) by the recursive definition, from plain dictionaries."""
-    tri = Counter()
-    for t in texts:
-        s = b"\0\0" + (t or "").encode() + b"\0"
-        tri.update(s[i : i + 3] for i in range(len(s) - 2))
-    grams = [Counter(), Counter(), Counter()]
-    for g, n in tri.items():
-        for k in range(3):
-            grams[k][g[2 - k :]] += n
-    kinds = [Counter(), Counter(), Counter()]
-    totals = [Counter(), Counter(), Counter()]
-    for k in range(3):
-        for g, n in grams[k].items():
-            kinds[k][g[:-1]] += 1
-            totals[k][g[:-1]] += n
-
-    def p(g):
-        if not g:
-            return 1 / 256
-        k, context = len(g) - 1, g[:-1]
-        if not totals[k][context]:
-            return p(g[1:])
-        left = kinds[k][context]
-        return (grams[k][g] + left * p(g[1:])) / (totals[k][context] + left)
-
-    return p
-
-
-def test_cross_entropy_difference_equals_definition(spark, odd):
-    docs = odd.filter("doc_id is null or doc_id <> 4")
-    target = spark.createDataFrame([("a mark of the end",), ("日本",), (None,)], "text string")
-    scored, name = lm_score.score(docs, target, docs)
-    a = witten_bell([r["text"] for r in target.collect()])
-    b = witten_bell([r["text"] for r in docs.collect()])
-    for r in scored.select("text", f"{name}.*").collect():
-        s = b"\0\0" + (r["text"] or "").encode() + b"\0"
-        tokens = [s[i : i + 3] for i in range(len(s) - 2)]
-        assert r["n_tokens"] == len(tokens)
-        for p, loss in ((a, r["target_loss"]), (b, r["background_loss"])):
-            assert loss == pytest.approx(sum(-math.log(p(g)) for g in tokens) / len(tokens), abs=1e-5)
-        assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"], abs=2e-6)
-
-
-def test_cross_entropy_prefers_the_target(spark, clashing, none):
-    english = spark.createDataFrame([("the house by the river " * 9,)], "text string")
-    french = spark.createDataFrame([("la maison sur la rive du fleuve " * 9,)], "text string")
-    docs = spark.createDataFrame([(1, "by the house the river by the house"), (2, "sur la maison du fleuve la rive")], "doc_id long, text string")
-    scored, name = lm_score.score(docs, english, english.unionByName(french))
-    score = {r["doc_id"]: r["score"] for r in scored.select("doc_id", f"{name}.score").collect()}
-    assert score[1] < 0 < score[2]
-    assert lm_score.score(clashing, none, none)[0].count() == clashing.count()
-    assert lm_score.score(none, english, french)[0].count() == 0
-
-
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.Pieces.read(pieces._read(pieces.VOCABULARY))

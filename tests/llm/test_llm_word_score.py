@@ -1,6 +1,7 @@
 """Word-bigram cross-entropy difference against a direct version."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -10,10 +11,13 @@ from tripfunnel.llm import queries, word_score
 PLAIN = "the house by a river is old and green water runs over stones while people walk home at night".split()
 
 
-def direct(target, background):
-    """-log P(word | before) of both models by the recursive definition, from plain dictionaries."""
+def direct(target, background, texts):
+    """-log P(word | before) of both models by the recursive definition, from plain dictionaries.
+
+    The vocabulary is that of all ``texts``.
+    """
     split = lambda t: word_score.TOKEN.findall(t or "")
-    often = Counter(w for t in target + background for w in split(t))
+    often = Counter(w for t in texts for w in split(t))
     known = {w for w, n in often.items() if n > 1}
     size = len(known) + 2
     bigrams = lambda t: list(zip(*[(s := ["<>", *[w if w in known else "?" for w in split(t)], "<>"])[:-1], s[1:]]))
@@ -36,18 +40,27 @@ def direct(target, background):
     return bigrams, model(target), model(background)
 
 
-@pytest.mark.parametrize("hot", [1 << 20, 3])
-def test_word_score_equals_definition(spark, odd, small, monkeypatch, hot):
-    monkeypatch.setattr(word_score, "HOT", hot)
+@pytest.mark.parametrize("limits", [{}, {"HOT": 20, "BUCKET": 50, "SLICE": 300}])
+@pytest.mark.parametrize("own", [True, False])
+def test_word_score_equals_definition(spark, odd, small, monkeypatch, limits, own):
+    """With the documents as background each is judged by a model of the others."""
+    for name, value in limits.items():
+        monkeypatch.setattr(word_score, name, value)
     docs = odd.unionByName(small.limit(30))
     target = spark.createDataFrame([("a mark of the end",), ("the same end",), ("日本",), (None,)], "text string")
+    background = None if own else small.limit(50)
     told = docs.withColumn("own", docs["text"])
     rows = [r["text"] for r in docs.collect()]
-    bigrams, a, b = direct([r["text"] for r in target.collect()], rows)
-    scored, name = word_score.score(told, target, docs)
+    targets = [r["text"] for r in target.collect()]
+    scored, name = word_score.score(told, target, background)
     found = scored.select("own", f"{name}.*").collect()
-    assert len(found) == len(rows)
+    assert sorted(map(str, (r["own"] for r in found))) == sorted(map(str, rows))
+    whole = rows if own else [r["text"] for r in background.collect()]
     for r in found:
+        others = list(whole)
+        if own:
+            others.remove(r["own"])
+        bigrams, a, b = direct(targets, others, targets + whole)
         tokens = bigrams(r["own"])
         assert r["n_tokens"] == len(tokens)
         for p, loss in ((a, r["target_loss"]), (b, r["background_loss"])):
@@ -55,6 +68,16 @@ def test_word_score_equals_definition(spark, odd, small, monkeypatch, hot):
         assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"], abs=2e-6)
 
 
+def test_a_copy_vouches_for_its_twin(spark):
+    pick = random.Random(1)
+    once = [" ".join(pick.choice(PLAIN) + str(pick.randrange(50)) for _ in range(60)) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(once + once[:5])), "doc_id long, text string")
+    scored, name = word_score.score(docs, docs.limit(0))
+    loss = {r["doc_id"]: r["loss"] for r in scored.select("doc_id", f"{name}.background_loss").withColumnRenamed("background_loss", "loss").collect()}
+    twins = [*range(5), *range(30, 35)]
+    assert max(loss[i] for i in twins) + 1 < min(loss[i] for i in loss if i not in twins)
+
+
 def test_word_order_tells_the_target(spark, tmp_path):
     """The same words in another order: nearly the same byte trigrams, other bigrams."""
     one, other = " ".join(PLAIN), " ".join(PLAIN[::-1])
@@ -71,3 +94,6 @@ def test_word_score_of_odd_tables(spark, clashing, none):
     assert scored.count() == clashing.count() and name not in clashing.columns
     assert scored.columns == [c for c in clashing.columns if c != "text"] + [name]
     assert word_score.score(none, clashing, clashing)[0].count() == 0
+    assert word_score.score(none, none)[0].count() == 0
+    only, name = word_score.score(clashing.select("text"), clashing)
+    assert only.columns == [name] and only.count() == clashing.count()

@@ -63,10 +63,9 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op1_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target: the passages of ``benchmark``; background: all documents."""
+    """Target: the passages of ``benchmark``; background of a document: all other documents."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    scored, losses = word_score.score(docs, target, docs)
+    scored, losses = word_score.score(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return scored.select("doc_id", f"{losses}.*")
 
 

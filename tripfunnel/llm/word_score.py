@@ -1,50 +1,66 @@
 """Cross-entropy difference of two matched word-bigram models.
 
 Tokens are words: runs of letters and digits, single characters of scripts that write no blanks, and runs
-of marks. Both models share one vocabulary, the words that occur twice or more in both corpora together
-(at most ``WORDS`` of them, the most frequent), one unknown token and one mark before and after a text.
-They are matched: same order, vocabulary and smoothing (interpolated Witten-Bell; below the single word
-lies the uniform distribution). A text's tokens are its words and the end mark; the score is the mean over
-tokens of ``loss(target) - loss(background)`` in nats: negative for text more like the target.
-
-All bigrams of both corpora are counted, whatever their number, and stay in Spark: they are dealt out to
-buckets by code, as packed blocks of one slice of texts each. Bigrams that are frequent enough to be in the
-largest ``HOT`` travel to the texts. All others are looked up in their bucket, once for each text
-they occur in, and only sums for each text come back. Buckets grow in number with the words counted, so
-none grows with the input.
+of marks. Both models share one vocabulary, all words that occur twice or more in both corpora together,
+one unknown token for the others, and one mark before and after a text. They are matched: same order,
+vocabulary and smoothing (interpolated Witten-Bell; below the single word lies the uniform distribution).
+A text's tokens are its words and the end mark; the score is the mean over tokens of
+``loss(target) - loss(background)`` in nats: negative for text more like the target.
+
+Where the documents themselves are the background, each is scored by the model of all *other* documents:
+what it adds to counts, kinds and totals is taken off exactly. Otherwise a text would vouch for itself, and
+the more so the rarer its words are. The vocabulary is that of all texts.
+
+Texts are split into words once. They are kept as slices of about ``SLICE`` bytes of text: numbers of the
+slice's own words, and the hashes (64 bits) and counts of those. Slices then ask twice, with packed blocks:
+
+* words, dealt out by hash: what number a word has, and how often it occurs in either corpus;
+* bigrams, dealt out by the word before: how often each occurs, and how many different words follow.
+
+A bucket sums what all slices sent and answers every slice in its own order, so that all that a text's losses
+need comes back to its slice. Nothing is broadcast but the few words so frequent (more than ``HOT`` times)
+that the bigrams behind one are spread over buckets, and the number of their followers. Neither words nor
+bigrams are bounded. Buckets grow in number with what is counted, so none grows with the input.
 
 Defined cases: a null text is like an empty one: its only token is the end mark; equal rows get equal
-scores and are counted as often as they occur; models of empty tables are uniform; an empty table of
-documents gives an empty result.
+scores and are counted as often as they occur (so they vouch for each other); models of empty tables are
+uniform; an empty table of documents gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfunnel.llm.common import free_name, slices, stored, texts_of
-from tripfunnel.llm.lm_score import LOSSES
 
 #: Thai to Myanmar, Khmer, Kana, Han: each character is a word.
-SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
+SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
 TOKEN = re.compile(rf"[{SINGLE}]|[^\W{SINGLE}]+|[^\w\s]+")
-BITS = 20
-WORDS = (1 << BITS) - 2  # besides the unknown token and the mark
-HOT = 1 << 20
 UNKNOWN, MARK = 0, 1
-DOC_BITS = 23  # of a text's number in its slice, below the 40 bits of a bigram
-SLICE = 4_000_000
-BUCKET_WORDS = 4_000_000
+#: Bytes and rows of text in a slice.
+SLICE, SLICE_ROWS = 16_000_000, 200_000
+#: Words or bigrams that all slices together send to one bucket, about.
+BUCKET = 4_000_000
+#: Occurrences from which the bigrams behind a word are spread over buckets.
+HOT = 1_000_000
+TARGET, BACKGROUND, ASKS_ONLY = 0, 1, 2
+
+LOSSES = T.StructType(
+    [T.StructField("n_tokens", T.LongType()), *[T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "score")]]
+)
+_SLICE = "slice long, side int, head binary, sizes binary, tokens binary, texts int, words int, n_tokens long"
 
 
 def parts_of(text: str | None, most: int = 1_000_000) -> Iterator[list[str]]:
@@ -60,296 +76,384 @@ def parts_of(text: str | None, most: int = 1_000_000) -> Iterator[list[str]]:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Integers with like bytes side by side, compressed."""
-    wide = np.ascontiguousarray(values, dtype=np.int64)
-    return pa.compress(wide.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
-
-
-def unpack(raw: bytes, n: int) -> np.ndarray:
-    got = pa.decompress(raw, n * 8, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(got, dtype=np.uint8).reshape(8, n).T).view(np.int64).reshape(-1)
-
-
-def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    """Integers with like bytes side by side, compressed; their number and width go ahead."""
+    values = np.asarray(values, dtype=np.int64)
+    if not len(values):
+        return b""
+    wide = values.astype(np.int32) if -(2**31) <= values.min() and values.max() < 2**31 else values
+    size = wide.dtype.itemsize
+    body = pa.compress(np.ascontiguousarray(wide.view(np.uint8).reshape(-1, size).T).tobytes(), codec="zstd", asbytes=True)
+    return np.array([len(values), size], dtype=np.int64).tobytes() + body
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, dtype=np.int64)
+    n, size = np.frombuffer(raw[:16], dtype=np.int64).tolist()
+    planes = np.frombuffer(pa.decompress(raw[16:], n * size, codec="zstd", asbytes=True), dtype=np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(np.int32 if size == 4 else np.int64).reshape(-1).astype(np.int64)
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int16 if buckets < 1 << 15 else np.int32)
 
 
-def by_bucket(codes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each bucket that occurs, and the places of its codes in their order."""
-    bucket = bucket_of(codes, buckets)
+def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that occurs, and the places of its keys in their order."""
+    bucket = bucket_of(keys, buckets)
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
         yield int(bucket[order[start]]), order[start:end]
 
 
-def bigrams(texts: list[str | None], number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all bigrams of the texts, and how many each text has."""
-    found, sizes = [np.array([MARK])], []
-    for text in texts:
-        size = 1
-        for words in parts_of(text):
-            found.append(np.fromiter((number.get(w, UNKNOWN) for w in words), np.int64, len(words)))
-            size += len(words)
-        found.append(np.array([MARK]))
-        sizes.append(size)
-    ids = np.concatenate(found).astype(np.int64)
-    return ids[:-1] << BITS | ids[1:], np.array(sizes)
+def rows_of(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def arrow_schema(spec: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in spec.split(", "))])
+
 
+# ---- slices ----------------------------------------------------------------------------------------------
 
-def vocabulary(corpora: DataFrame, text: str) -> tuple[list[str], int]:
-    """The shared vocabulary, most frequent words first, and the number of words in all."""
+
+def _read(text: str, side: int, asked: bool):
+    schema = arrow_schema(f"{_SLICE}, hashes binary, counts binary")
 
     def run(batches):
-        total: Counter = Counter()
+        at = (side << 60) + (TaskContext.get().partitionId() << 28)
+        number: dict = defaultdict(count().__next__)
+        heads, sizes, tokens, length = [], [], [], 0
+
+        def made():
+            nonlocal at, number, heads, sizes, tokens, length
+            ids = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int32)
+            hashes = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in number], dtype=np.uint64)
+            head = None
+            if asked:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, heads[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    for h in heads:
+                        writer.write_batch(h)
+                head = sink.getvalue().to_pybytes()
+            counts = pack(np.bincount(ids, minlength=len(number)))
+            row = (at, side, head, pack(sizes), pack(ids), len(sizes), len(number), len(ids) + len(sizes), pack(hashes.view(np.int64)), counts)
+            at += 1
+            number, heads, sizes, tokens, length = defaultdict(count().__next__), [], [], [], 0
+            return rows_of(schema, [row])
+
         for batch in batches:
             for part in slices(batch, text):
                 for t in texts_of(part, text):
+                    size = 0
                     for words in parts_of(t):
-                        total.update(words)
-                if len(total) > 500_000:
-                    yield from sent(total)
-                    total = Counter()
-        yield from sent(total)
-
-    def sent(total):
-        items = list(total.items())
-        for start in range(0, len(items), 50_000):
-            some = items[start : start + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())], names=["word", "n"]
-            )
-
-    counted = stored(corpora.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    # How many words occur 2**k times or more gives a bound that at most a few times WORDS reach.
-    level = F.floor(F.log2("n"))
-    levels = {int(r["k"]): r["m"] for r in counted.filter("n > 1").groupBy(level.alias("k")).agg(F.count("*").alias("m")).collect()}
-    reached, least = 0, 2
-    for k in sorted(levels, reverse=True):
-        reached += levels[k]
-        if reached > WORDS:
-            least = 2**k
-            break
-    often = counted.filter(F.col("n") >= least)
-    if reached > WORDS:
-        often = often.orderBy(F.desc("n"), "word").limit(WORDS)
-    table = often.toArrow()
-    order = sorted(zip(table.column("n").to_pylist(), table.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
-    return [w for _, w in order], total
+                        tokens.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+                        size += len(words)
+                    sizes.append(size)
+                    length += len(t or "")
+                if asked:
+                    heads.append(part.drop_columns([text]))
+                if length >= SLICE or len(sizes) >= SLICE_ROWS:
+                    yield made()
+        if sizes:
+            yield made()
 
+    return run
 
-def numbers(words: list[str]) -> dict[str, int]:
-    return {w: i for i, w in enumerate(words, MARK + 1)}
 
+def read(texts: DataFrame, text: str, side: int, asked: bool) -> DataFrame:
+    """One row per slice: its words by number, their hashes and counts, and the other columns of its texts."""
+    return texts.mapInArrow(_read(text, side, asked), f"{_SLICE}, hashes binary, counts binary")
 
-def count(corpora: DataFrame, text: str, words, buckets: int) -> DataFrame:
-    """Blocks of ``bucket``, ``size`` and the packed codes and counts (target, background) of all bigrams.
 
-    ``corpora`` has the texts and ``side``: 0 for the target, 1 for the background.
-    """
-    schema = "bucket int, side int, size int, codes binary, counts binary"
+# ---- words -----------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Corpora:
+    """What holds for both corpora as wholes; pairs are target, background."""
+
+    size: int  # of the vocabulary, the unknown token and the mark included
+    total: tuple[int, int]  # tokens
+    kinds: tuple[int, int]  # different tokens
+    unknown: tuple[int, int]
+    texts: tuple[int, int]
+    hot: np.ndarray  # numbers of the hot words, in order
+
+
+_TOLD = "slice long, bucket int, ids binary, a binary, b binary"
+
+
+def _ask_words(buckets: int):
+    schema = arrow_schema("bucket int, slice long, side int, hashes binary, counts binary")
 
     def run(batches):
-        number = numbers(words.value)
         for batch in batches:
-            sides = batch.column(batch.schema.get_field_index("side")).to_numpy()
-            for side in np.unique(sides).tolist():
-                for part in slices(batch.filter(pa.array(sides == side)), text, SLICE):
-                    codes, n = np.unique(bigrams(texts_of(part, text), number)[0], return_counts=True)
-                    rows = [(b, side, len(at), pack(np.diff(codes[at], prepend=0)), pack(n[at])) for b, at in by_bucket(codes, buckets)]
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=kinds)
+            for row in batch.to_pylist():
+                hashes, counts = unpack(row["hashes"]), unpack(row["counts"])
+                yield rows_of(schema, [
+                    (b, row["slice"], row["side"], pack(hashes[at]), pack(counts[at])) for b, at in by_bucket(hashes, buckets)
+                ])
 
-    names = ("bucket", "side", "size", "codes", "counts")
-    kinds = pa.schema([(n, pa.int32()) for n in names[:3]] + [(n, pa.binary()) for n in names[3:]])
+    return run
 
-    def merge(table: pa.Table) -> pa.Table:
+
+def _tell_words(buckets: int, hot: int):
+    """A bucket's answers to all slices, and two rows on itself: sums (slice -1), hot words (slice -2).
+
+    The k-th most frequent word of a bucket gets a number that no other bucket gives, smaller the more frequent.
+    """
+    schema = arrow_schema(_TOLD)
+
+    def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        parts = [np.cumsum(unpack(r["codes"], r["size"])) for r in rows]
-        codes, place = np.unique(np.concatenate(parts), return_inverse=True)
-        side = np.repeat([r["side"] for r in rows], [r["size"] for r in rows])
-        n = np.zeros(2 * len(codes), dtype=np.int64)
-        np.add.at(n, 2 * place + side, np.concatenate([unpack(r["counts"], r["size"]) for r in rows]))
-        return pa.table(
-            {
-                "bucket": pa.array([rows[0]["bucket"]], pa.int32()), "size": pa.array([len(codes)], pa.int32()),
-                "codes": [pack(np.diff(codes, prepend=0))], "target": [pack(n[::2])], "background": [pack(n[1::2])],
-            }
-        )
+        hashes = [unpack(r["hashes"]) for r in rows]
+        lengths = [len(h) for h in hashes]
+        known, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        side = np.repeat([r["side"] for r in rows], lengths)
+        counts = np.concatenate([unpack(r["counts"]) for r in rows])
+        n = [np.bincount(place[side == s], weights=counts[side == s], minlength=len(known)).astype(np.int64) for s in (TARGET, BACKGROUND)]
+        both = n[0] + n[1]
+        often = both > 1
+        order = np.argsort(-both, kind="stable")
+        ids = np.empty(len(known), dtype=np.int64)
+        ids[order] = np.arange(len(known)) * buckets + rows[0]["bucket"] + MARK + 1
+        ids[~often] = UNKNOWN
+        sums = [often.sum(), *[(often & (x > 0)).sum() for x in n], *[x[~often].sum() for x in n], *[x.sum() for x in n]]
+        out = [(-1, rows[0]["bucket"], pack(sums), None, None)]
+        if (both > hot).any():
+            out.append((-2, rows[0]["bucket"], pack(np.sort(ids[both > hot])), None, None))
+        ends = np.cumsum(lengths)
+        for row, start, end in zip(rows, ends - lengths, ends):
+            at = place[start:end]
+            out.append((row["slice"], row["bucket"], pack(ids[at]), pack(n[0][at]), pack(n[1][at])))
+        return pa.Table.from_batches([rows_of(schema, out)])
+
+    return run
+
+
+def corpora_of(told: DataFrame, texts: dict[int, int], hot: int) -> Corpora:
+    """From the buckets' rows on themselves: a few numbers each."""
+    sums, often = np.zeros(7, dtype=np.int64), [np.zeros(0, dtype=np.int64)]
+    for row in told.filter("slice < 0").select("slice", "ids").toLocalIterator():
+        if row["slice"] == -1:
+            sums += unpack(row["ids"])
+        else:
+            often.append(unpack(row["ids"]))
+    known, kinds, unknown, words = int(sums[0]), sums[1:3], sums[3:5], sums[5:7]
+    marks = np.array([texts.get(TARGET, 0), texts.get(BACKGROUND, 0)])
+    special = [i for i, n in ((UNKNOWN, unknown.sum()), (MARK, marks.sum())) if n > hot]
+    pair = lambda x: tuple(map(int, x))
+    return Corpora(
+        known + MARK + 1, pair(words + marks), pair(kinds + (unknown > 0) + (marks > 0)), pair(unknown), pair(marks),
+        np.sort(np.concatenate([*often, np.array(special, dtype=np.int64)])),
+    )
 
-    made = corpora.mapInArrow(run, schema).groupBy("bucket")
-    return made.applyInArrow(merge, "bucket int, size int, codes binary, target binary, background binary")
 
+_NUMBERED = f"{_SLICE}, ids binary, a binary, b binary"
 
-def block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes and both counts of a counted block."""
-    size = row["size"]
-    return np.cumsum(unpack(row["codes"], size)), unpack(row["target"], size), unpack(row["background"], size)
 
+def _number(buckets: int):
+    """Puts the answers on a slice's words into the order of its words."""
+    schema = arrow_schema(_NUMBERED)
 
-@dataclass(frozen=True)
-class Model:
-    """What both models know of words: for the target, then for the background."""
-
-    single: np.ndarray  # P(word)
-    follows: np.ndarray  # of each context, its occurrences
-    kinds: np.ndarray  # of each context, the different words that follow
-
-    @staticmethod
-    def of(sums: dict[int, tuple], size: int) -> Model:
-        table = np.zeros((size, 6))
-        for i, row in sums.items():
-            table[i] = row
-        follows, kinds, n = (table[:, k : k + 2].T for k in (0, 2, 4))
-        some, total = (n > 0).sum(axis=1, keepdims=True), n.sum(axis=1, keepdims=True)
-        single = np.where(total > 0, (n + some / size) / np.maximum(total + some, 1), 1 / size)
-        return Model(single, follows, kinds)
-
-    def losses(self, codes: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-        """-log P(word | word before) of each bigram in either model."""
-        context, word = codes >> BITS, codes & ((1 << BITS) - 1)
-        out = []
-        for side in (0, 1):
-            kinds, single = self.kinds[side][context], self.single[side][word]
-            seen = self.follows[side][context] + kinds
-            out.append(-np.log(np.where(seen > 0, (counts[side] + kinds * single) / np.maximum(seen, 1), single)))
-        return out
-
-
-def statistics(counted: DataFrame, size: int) -> tuple[Model, int]:
-    """The words' sums, and the least count of bigrams that ``HOT`` at most reach."""
+    def run(own: pa.Table, told: pa.Table) -> pa.Table:
+        (row,) = own.to_pylist()
+        hashes = unpack(row["hashes"])
+        found = np.zeros((3, len(hashes)), dtype=np.int64)
+        places = dict(by_bucket(hashes, buckets))
+        for answer in told.to_pylist():
+            found[:, places[answer["bucket"]]] = [unpack(answer[c]) for c in ("ids", "a", "b")]
+        return pa.Table.from_batches([rows_of(schema, [tuple(row[c] for c in schema.names[:8]) + tuple(map(pack, found))])])
 
-    def run(batches):
-        table, levels = np.zeros((size, 6), dtype=np.int64), np.zeros(64, dtype=np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                codes, *counts = block(row)
-                context, word = codes >> BITS, codes & ((1 << BITS) - 1)
-                for side, n in enumerate(counts):
-                    np.add.at(table[:, side], context, n)
-                    np.add.at(table[:, 2 + side], context, n > 0)
-                    np.add.at(table[:, 4 + side], word, n)
-                levels += np.bincount(np.log2(counts[0] + counts[1]).astype(np.int64), minlength=64)
-        found = np.flatnonzero(table.any(axis=1))
-        ids = np.concatenate([found, -1 - np.arange(64)])
-        rows = np.concatenate([table[found], np.column_stack([levels, np.zeros((64, 5), dtype=np.int64)])])
-        yield pa.RecordBatch.from_arrays([pa.array(ids), *[pa.array(np.ascontiguousarray(c)) for c in rows.T]], names=["id", *"abcdef"])
-
-    made = counted.mapInArrow(run, "id long, " + ", ".join(f"{c} long" for c in "abcdef"))
-    table = made.groupBy("id").agg(*[F.sum(c).alias(c) for c in "abcdef"]).toArrow()
-    rows = dict(zip(table.column("id").to_pylist(), zip(*[table.column(c).to_pylist() for c in "abcdef"])))
-    reached, least = 0, 1 << 62
-    for k in range(63, -1, -1):
-        reached += rows.get(-1 - k, (0,))[0]
-        if reached > HOT:
-            break
-        least = 2**k
-    return Model.of({i: r for i, r in rows.items() if i >= 0}, size), least
+    return run
+
+
+# ---- bigrams ---------------------------------------------------------------------------------------------
+
+
+class Bigrams:
+    """The bigrams of one slice: their codes in order, where each stands, and the bucket each is dealt to."""
+
+    def __init__(self, row: dict, corpora: Corpora, buckets: int):
+        ids, self.sizes = unpack(row["ids"]), unpack(row["sizes"])
+        ends = np.cumsum(self.sizes)
+        text = np.insert(ids[unpack(row["tokens"])] if len(ids) else ids, np.concatenate([[0], ends]), MARK)
+        place = text[:-1] << 32 | text[1:]
+        self.codes, self.place, self.counts = np.unique(place, return_inverse=True, return_counts=True)
+        context = self.codes >> 32
+        hot = np.isin(context, corpora.hot)
+        self.key = np.where(hot, self.codes, context << 32)
+        self.buckets = buckets
+
+    def dealt(self) -> Iterator[tuple[int, np.ndarray]]:
+        return by_bucket(self.key ^ (self.key >> 31), self.buckets)
 
 
-def frequent(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes, in order, and both counts of the bigrams that occur ``least`` times or more."""
+def _ask_bigrams(corpora: Corpora, buckets: int, asked_side: int):
+    schema = arrow_schema("bucket int, slice long, side int, asks boolean, codes binary, counts binary")
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                codes, *counts = block(row)
-                held = counts[0] + counts[1] >= least
-                yield pa.RecordBatch.from_arrays([pa.array(x[held]) for x in (codes, *counts)], names=["code", "a", "b"])
+                own, asks = Bigrams(row, corpora, buckets), row["side"] == asked_side
+                rows = []
+                for b, at in own.dealt():
+                    rows.append((b, row["slice"], row["side"], asks, pack(np.diff(own.codes[at], prepend=0)), pack(own.counts[at])))
+                yield rows_of(schema, rows)
 
-    table = counted.mapInArrow(run, "code long, a long, b long").toArrow()
-    codes, a, b = (table.column(c).to_numpy() for c in ("code", "a", "b"))
-    order = np.argsort(codes)
-    return codes[order], a[order], b[order]
+    return run
 
 
-def place_of(codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each wanted code stands among the ordered ``codes``, and whether it is there."""
-    if not len(codes):
-        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
-    at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-    return at, codes[at] == wanted
+_ANSWERS = "slice long, bucket int, a binary, b binary, ka binary, kb binary"
 
 
-def score(docs: DataFrame, target: DataFrame, background: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """The columns of ``docs`` without the text, a struct of token count, losses and score, and its name.
+def _tell_bigrams(hot: np.ndarray):
+    """To every slice that asks: counts of its bigrams, and for each word before (in order) how many follow it.
 
-    ``target`` and ``background`` are tables with a ``text`` column; all their texts are counted.
+    For hot words that is a part; the parts of all buckets are in one more row (slice -1).
     """
-    spark = docs.sparkSession
-    corpora = target.select(text, F.lit(0).alias("side")).unionByName(background.select(text, F.lit(1).alias("side")))
-    words, total = vocabulary(corpora, text)
-    size = len(words) + MARK + 1
-    buckets = max(12, -(-total // BUCKET_WORDS))
-    shipped = spark.sparkContext.broadcast(words)
-    counted = stored(count(corpora, text, shipped, buckets), "bigrams")
-    model, least = statistics(counted, size)
-    codes, *counts = frequent(counted, least)
-    known = spark.sparkContext.broadcast((model, codes, np.array(model.losses(codes, tuple(counts)))))
+    schema = arrow_schema(_ANSWERS)
 
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        parts = [np.cumsum(unpack(r["codes"])) for r in rows]
+        lengths = [len(p) for p in parts]
+        codes, place = np.unique(np.concatenate(parts), return_inverse=True)
+        side = np.repeat([r["side"] for r in rows], lengths)
+        counts = np.concatenate([unpack(r["counts"]) for r in rows])
+        n = [np.bincount(place[side == s], weights=counts[side == s], minlength=len(codes)).astype(np.int64) for s in (TARGET, BACKGROUND)]
+        context, of = np.unique(codes >> 32, return_inverse=True)
+        kinds = [np.bincount(of[x > 0], minlength=len(context)) for x in n]
+        bucket, out = rows[0]["bucket"], []
+        spread = np.isin(context, hot)
+        if spread.any():
+            out.append((-1, bucket, pack(context[spread]), None, *[pack(k[spread]) for k in kinds]))
+        ends = np.cumsum(lengths)
+        for row, start, end in zip(rows, ends - lengths, ends):
+            if row["asks"]:
+                at = place[start:end]
+                before = np.unique(of[at])
+                out.append((row["slice"], bucket, pack(n[0][at]), pack(n[1][at]), *[pack(k[before]) for k in kinds]))
+        return pa.Table.from_batches([rows_of(schema, out)])
+
+    return run
+
+
+def hot_kinds(answers: DataFrame, hot: np.ndarray) -> np.ndarray:
+    """How many different words follow each hot word, in either corpus; one row a bucket holds some of them."""
+    kinds = np.zeros((2, len(hot)), dtype=np.int64)
+    for row in answers.filter("slice = -1").toLocalIterator():
+        at = np.searchsorted(hot, unpack(row["a"]))
+        kinds[0, at] += unpack(row["ka"])
+        kinds[1, at] += unpack(row["kb"])
+    return kinds
+
+
+# ---- losses ----------------------------------------------------------------------------------------------
+
+
+def loss(n, follows, kinds, single) -> np.ndarray:
+    """-log P(word | word before): Witten-Bell between the bigram's share and the single word's."""
+    seen = follows + kinds
+    return -np.log(np.where(seen > 0, (n + kinds * single) / np.maximum(seen, 1), single))
+
+
+def single(n, total, kinds, size) -> np.ndarray:
+    """P(word), drawn towards the uniform distribution."""
+    return np.where(total > 0, (n + kinds / size) / np.maximum(total + kinds, 1), 1 / size)
+
+
+def _finish(corpora: Corpora, kinds_of_hot: np.ndarray, buckets: int, own_background: bool, name: str):
+    def run(numbered: pa.Table, answers: pa.Table) -> pa.Table:
+        (row,) = numbered.to_pylist()
+        head = pa.ipc.open_stream(row["head"]).read_all()
+        own = Bigrams(row, corpora, buckets)
+        context, word = own.codes >> 32, own.codes & 0xFFFFFFFF
+        places = dict(own.dealt())
+        n, kinds = np.zeros((2, len(context)), dtype=np.int64), np.zeros((2, len(context)), dtype=np.int64)
+        for answer in answers.to_pylist():
+            at = places[answer["bucket"]]
+            n[:, at] = unpack(answer["a"]), unpack(answer["b"])
+            _, of = np.unique(context[at], return_inverse=True)
+            kinds[:, at] = unpack(answer["ka"])[of], unpack(answer["kb"])[of]
+        if len(corpora.hot):
+            spread = np.isin(context, corpora.hot)
+            kinds[:, spread] = kinds_of_hot[:, np.searchsorted(corpora.hot, context[spread])]
+        # How often each token of the slice occurs in the corpora.
+        ids, first = np.unique(np.concatenate([[UNKNOWN, MARK], unpack(row["ids"])]), return_index=True)
+        often = [np.concatenate([[corpora.unknown[s], corpora.texts[s]], unpack(row[c])])[first] for s, c in enumerate("ab")]
+        before, after = np.searchsorted(ids, context), np.searchsorted(ids, word)
+
+        docs = len(own.sizes)
+        doc = np.repeat(np.arange(docs), own.sizes + 1)
+        pair, times = np.unique(own.place * docs + doc, return_counts=True)
+        code, doc = np.divmod(pair, docs)
+        a, b, w = before[code], after[code], own.sizes + 1
+        follows, kind, here = [x[a] for x in often], [k[code] for k in kinds], [x[code] for x in n]
+        alone, total, some = [x[b] for x in often], list(corpora.total), list(corpora.kinds)
+        if own_background:  # take off what the text itself has added
+            token, of = np.unique(a * docs + doc, return_inverse=True)
+            mine = np.bincount(of, weights=times).astype(np.int64)  # occurrences of a token in a text
+            gone = np.bincount(of, weights=here[1] == times).astype(np.int64)  # followers that only the text has
+            last = often[1][token // docs] == mine
+            total[1] = total[1] - w[doc]
+            some[1] = some[1] - np.bincount(token[last] % docs, minlength=docs)[doc]
+            here[1], follows[1], kind[1] = here[1] - times, follows[1] - mine[of], kind[1] - gone[of]
+            alone[1] = alone[1] - mine[np.searchsorted(token, b * docs + doc)]
+        sums = []
+        for s in (TARGET, BACKGROUND):
+            lost = loss(here[s], follows[s], kind[s], single(alone[s], np.asarray(total[s]), some[s], corpora.size))
+            sums.append(np.bincount(doc, weights=times * lost, minlength=docs) / w)
+        made = [pa.array(w), *[pa.array(np.round(x, 6)) for x in (*sums, sums[0] - sums[1])]]
+        return pa.Table.from_arrays([*head.columns, pa.StructArray.from_arrays(made, names=LOSSES.names)], names=[*head.column_names, name])
+
+    return run
+
+
+def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = None, text: str = "text") -> tuple[DataFrame, str]:
+    """The columns of ``docs`` without the text, a struct of token count, losses and score, and its name.
+
+    ``target`` and ``background`` are tables with a ``text`` column; all their texts are counted. Without a
+    ``background``, the documents are it, each scored by the others.
+    """
     name = free_name(docs, "losses")
-    others = [f for f in docs.schema.fields if f.name != text]
-    out = T.StructType([*others, T.StructField(name, LOSSES)])
-    kinds = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("size", pa.int32()), *[(c, pa.binary()) for c in ("head", "codes", "counts")]])
+    asked_side = BACKGROUND if background is None else ASKS_ONLY
+    parts = [read(target.select(text), text, TARGET, False), read(docs, text, asked_side, True)]
+    if background is not None:
+        parts.append(read(background.select(text), text, BACKGROUND, False))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    kept = stored(whole, "slices")
+    sums = kept.groupBy("side").agg(*[F.sum(c).alias(c) for c in ("texts", "words", "n_tokens")]).collect()
+    buckets = max(12, -(-sum(r["words"] for r in sums) // BUCKET))
+
+    hot = HOT
+    asked = kept.select("slice", "side", "hashes", "counts").mapInArrow(
+        _ask_words(buckets), "bucket int, slice long, side int, hashes binary, counts binary"
+    )
+    told = stored(asked.groupBy("bucket").applyInArrow(_tell_words(buckets, hot), _TOLD), "words")
+    corpora = corpora_of(told, {r["side"]: r["texts"] for r in sums}, hot)
+    numbered = stored(
+        kept.groupBy("slice").cogroup(told.filter("slice >= 0").groupBy("slice")).applyInArrow(_number(buckets), _NUMBERED), "numbered"
+    )
 
-    def ask(batches):
-        number, (_, hot, losses) = numbers(shipped.value), known.value
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for part in slices(batch, text, SLICE):
-                found, sizes = bigrams(texts_of(part, text), number)
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                at, there = place_of(hot, found)
-                sums = [np.bincount(doc[there], weights=x[at[there]], minlength=len(sizes)).astype(np.float64) for x in losses]
-                head = part.drop_columns([text]).append_column("__n", pa.array(sizes))
-                for side in (0, 1):
-                    head = head.append_column(f"__{side}", pa.array(sums[side]))
-                pairs, n = np.unique(found[~there] << DOC_BITS | doc[~there], return_counts=True)
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, head.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                    writer.write_batch(head)
-                rows = [(chunk % buckets, chunk, 0, sink.getvalue().to_pybytes(), None, None)]
-                for b, at in by_bucket(pairs >> DOC_BITS, buckets):
-                    rows.append((b, chunk, len(at), None, pack(np.diff(pairs[at], prepend=0)), pack(n[at])))
-                yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in rows], schema=kinds)
-                chunk += 1
-
-    back = pa.schema([("chunk", pa.int64()), ("head", pa.binary()), ("docs", pa.binary()), ("size", pa.int32()), ("sums", pa.binary())])
-
-    def answer(asked: pa.Table, there: pa.Table) -> pa.Table:
-        own = [block(r) for r in there.to_pylist()]
-        codes, *counts = own[0] if own else [np.zeros(0, dtype=np.int64)] * 3
-        made = []
-        for row in asked.to_pylist():
-            if row["head"] is not None:
-                made.append((row["chunk"], row["head"], None, 0, None))
-                continue
-            pairs, n = np.cumsum(unpack(row["codes"], row["size"])), unpack(row["counts"], row["size"])
-            wanted = pairs >> DOC_BITS
-            at, hit = place_of(codes, wanted)
-            seen = tuple(np.where(hit, c[at], 0) if len(c) else np.zeros(len(wanted)) for c in counts)
-            doc, place = np.unique(pairs & ((1 << DOC_BITS) - 1), return_inverse=True)
-            sums = [np.bincount(place, weights=n * x, minlength=len(doc)).astype(np.float64) for x in known.value[0].losses(wanted, seen)]
-            made.append((row["chunk"], None, pack(doc), len(doc), np.concatenate(sums).tobytes()))
-        return pa.Table.from_pylist([dict(zip(back.names, r)) for r in made], schema=back)
-
-    def finish(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("docs").to_pylist()
-        head = pa.ipc.open_stream(next(r["head"] for r in rows if r["head"] is not None)).read_all()
-        n, *losses = (head.column(c).to_numpy().astype(np.float64) for c in ("__n", "__0", "__1"))
-        for row in rows:
-            if row["head"] is None:
-                doc = unpack(row["docs"], row["size"])
-                for side, sums in enumerate(np.frombuffer(row["sums"]).reshape(2, -1)):
-                    losses[side][doc] += sums
-        a, b = losses[0] / n, losses[1] / n
-        made = [pa.array(n.astype(np.int64)), *[pa.array(np.round(x, 6)) for x in (a, b, a - b)]]
-        struct = pa.StructArray.from_arrays(made, names=LOSSES.names)
-        return head.drop_columns(["__n", "__0", "__1"]).append_column(name, struct)
-
-    asked = docs.mapInArrow(ask, "bucket int, chunk long, size int, head binary, codes binary, counts binary")
-    answered = asked.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(
-        answer, "chunk long, head binary, docs binary, size int, sums binary"
+    buckets = max(12, -(-sum(r["n_tokens"] for r in sums) // BUCKET))
+    sent = numbered.drop("head").mapInArrow(
+        _ask_bigrams(corpora, buckets, asked_side), "bucket int, slice long, side int, asks boolean, codes binary, counts binary"
+    )
+    answers = stored(sent.groupBy("bucket").applyInArrow(_tell_bigrams(corpora.hot), _ANSWERS), "answers")
+    kinds = hot_kinds(answers, corpora.hot)
+
+    others = [f for f in docs.schema.fields if f.name != text]
+    finish = _finish(corpora, kinds, buckets, background is None, name)
+    asking = numbered.filter(F.col("side") == asked_side).groupBy("slice")
+    found = asking.cogroup(answers.filter("slice >= 0").groupBy("slice")).applyInArrow(
+        finish, T.StructType([*others, T.StructField(name, LOSSES)])
     )
-    return answered.groupBy("chunk").applyInArrow(finish, out), name
+    return found, name
