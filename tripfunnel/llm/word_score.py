@@ -43,18 +43,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripfunnel.llm.common import free_name, slices, stored, texts_of
+from tripfunnel.llm.common import free_name, slices, spans, stored, texts_of
 
 #: Thai to Myanmar, Khmer, Kana, Han: each character is a word.
 SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
 TOKEN = re.compile(rf"[{SINGLE}]|[^\W{SINGLE}]+|[^\w\s]+")
 UNKNOWN, MARK = 0, 1
 #: Bytes and rows of text in a slice.
-SLICE, SLICE_ROWS = 16_000_000, 200_000
+SLICE, SLICE_ROWS = 8_000_000, 200_000
 #: Words or bigrams that all slices together send to one bucket, about.
 BUCKET = 4_000_000
 #: Occurrences from which the bigrams behind a word are spread over buckets.
 HOT = 1_000_000
+#: Tokens whose losses are worked out together.
+TOKENS = 400_000
 TARGET, BACKGROUND, ASKS_ONLY = 0, 1, 2
 
 LOSSES = T.StructType(
@@ -277,21 +279,28 @@ def _number(buckets: int):
 
 
 class Bigrams:
-    """The bigrams of one slice: their codes in order, where each stands, and the bucket each is dealt to."""
+    """The bigrams of one slice: their codes in order, and the bucket each is dealt to."""
 
     def __init__(self, row: dict, corpora: Corpora, buckets: int):
-        ids, self.sizes = unpack(row["ids"]), unpack(row["sizes"])
-        ends = np.cumsum(self.sizes)
-        text = np.insert(ids[unpack(row["tokens"])] if len(ids) else ids, np.concatenate([[0], ends]), MARK)
-        place = text[:-1] << 32 | text[1:]
-        self.codes, self.place, self.counts = np.unique(place, return_inverse=True, return_counts=True)
+        self.row, self.buckets = row, buckets
+        self.codes, self.counts = np.unique(self.read(), return_counts=True)
         context = self.codes >> 32
-        hot = np.isin(context, corpora.hot)
-        self.key = np.where(hot, self.codes, context << 32)
-        self.buckets = buckets
+        key = np.where(np.isin(context, corpora.hot), self.codes, context << 32)
+        self.key = key ^ (key >> 31)
+
+    def read(self) -> np.ndarray:
+        """The bigrams as they stand in the texts, with a mark before and after each text."""
+        ids = unpack(self.row["ids"])
+        self.sizes = unpack(self.row["sizes"])
+        ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        tokens = unpack(self.row["tokens"])
+        text = np.insert(ids[tokens] if len(ids) else tokens, ends, MARK)
+        place = text[:-1] << 32
+        place |= text[1:]
+        return place
 
     def dealt(self) -> Iterator[tuple[int, np.ndarray]]:
-        return by_bucket(self.key ^ (self.key >> 31), self.buckets)
+        return by_bucket(self.key, self.buckets)
 
 
 def _ask_bigrams(corpora: Corpora, buckets: int, asked_side: int):
@@ -369,18 +378,19 @@ def single(n, total, kinds, size) -> np.ndarray:
 
 
 def _finish(corpora: Corpora, kinds_of_hot: np.ndarray, buckets: int, own_background: bool, name: str):
+    """Losses of the texts of a slice, some texts at a time."""
+
     def run(numbered: pa.Table, answers: pa.Table) -> pa.Table:
         (row,) = numbered.to_pylist()
-        head = pa.ipc.open_stream(row["head"]).read_all()
         own = Bigrams(row, corpora, buckets)
         context, word = own.codes >> 32, own.codes & 0xFFFFFFFF
         places = dict(own.dealt())
         n, kinds = np.zeros((2, len(context)), dtype=np.int64), np.zeros((2, len(context)), dtype=np.int64)
         for answer in answers.to_pylist():
-            at = places[answer["bucket"]]
-            n[:, at] = unpack(answer["a"]), unpack(answer["b"])
+            at = places.pop(answer["bucket"])
+            n[0, at], n[1, at] = unpack(answer["a"]), unpack(answer["b"])
             _, of = np.unique(context[at], return_inverse=True)
-            kinds[:, at] = unpack(answer["ka"])[of], unpack(answer["kb"])[of]
+            kinds[0, at], kinds[1, at] = unpack(answer["ka"])[of], unpack(answer["kb"])[of]
         if len(corpora.hot):
             spread = np.isin(context, corpora.hot)
             kinds[:, spread] = kinds_of_hot[:, np.searchsorted(corpora.hot, context[spread])]
@@ -388,28 +398,39 @@ def _finish(corpora: Corpora, kinds_of_hot: np.ndarray, buckets: int, own_backgr
         ids, first = np.unique(np.concatenate([[UNKNOWN, MARK], unpack(row["ids"])]), return_index=True)
         often = [np.concatenate([[corpora.unknown[s], corpora.texts[s]], unpack(row[c])])[first] for s, c in enumerate("ab")]
         before, after = np.searchsorted(ids, context), np.searchsorted(ids, word)
-
-        docs = len(own.sizes)
-        doc = np.repeat(np.arange(docs), own.sizes + 1)
-        pair, times = np.unique(own.place * docs + doc, return_counts=True)
-        code, doc = np.divmod(pair, docs)
-        a, b, w = before[code], after[code], own.sizes + 1
-        follows, kind, here = [x[a] for x in often], [k[code] for k in kinds], [x[code] for x in n]
-        alone, total, some = [x[b] for x in often], list(corpora.total), list(corpora.kinds)
-        if own_background:  # take off what the text itself has added
-            token, of = np.unique(a * docs + doc, return_inverse=True)
-            mine = np.bincount(of, weights=times).astype(np.int64)  # occurrences of a token in a text
-            gone = np.bincount(of, weights=here[1] == times).astype(np.int64)  # followers that only the text has
-            last = often[1][token // docs] == mine
-            total[1] = total[1] - w[doc]
-            some[1] = some[1] - np.bincount(token[last] % docs, minlength=docs)[doc]
-            here[1], follows[1], kind[1] = here[1] - times, follows[1] - mine[of], kind[1] - gone[of]
-            alone[1] = alone[1] - mine[np.searchsorted(token, b * docs + doc)]
-        sums = []
-        for s in (TARGET, BACKGROUND):
-            lost = loss(here[s], follows[s], kind[s], single(alone[s], np.asarray(total[s]), some[s], corpora.size))
-            sums.append(np.bincount(doc, weights=times * lost, minlength=docs) / w)
-        made = [pa.array(w), *[pa.array(np.round(x, 6)) for x in (*sums, sums[0] - sums[1])]]
+        place, weight = own.read(), own.sizes + 1
+        edges = np.concatenate([[0], np.cumsum(weight)])
+
+        def sums(start: int, end: int) -> list[np.ndarray]:
+            """Both losses of texts ``start`` to ``end``, summed over their tokens."""
+            docs, w = end - start, weight[start:end]
+            found, of = np.unique(place[edges[start] : edges[end]], return_inverse=True)
+            pair, times = np.unique(of * docs + np.repeat(np.arange(docs), w), return_counts=True)
+            code, doc = np.divmod(pair, docs)
+            code = np.searchsorted(own.codes, found)[code]
+            a, b = before[code], after[code]
+            follows, kind, here = [x[a] for x in often], [k[code] for k in kinds], [x[code] for x in n]
+            alone, total, some = [x[b] for x in often], list(corpora.total), list(corpora.kinds)
+            if own_background:  # take off what the text itself has added
+                token, of = np.unique(a * docs + doc, return_inverse=True)
+                mine = np.bincount(of, weights=times).astype(np.int64)  # occurrences of a token in a text
+                gone = np.bincount(of, weights=here[1] == times).astype(np.int64)  # followers that only the text has
+                last = often[1][token // docs] == mine
+                total[1] = total[1] - w[doc]
+                some[1] = some[1] - np.bincount(token[last] % docs, minlength=docs)[doc]
+                here[1], follows[1], kind[1] = here[1] - times, follows[1] - mine[of], kind[1] - gone[of]
+                alone[1] = alone[1] - mine[np.searchsorted(token, b * docs + doc)]
+            return [
+                np.bincount(doc, weights=times * loss(
+                    here[s], follows[s], kind[s], single(alone[s], np.asarray(total[s]), some[s], corpora.size)
+                ), minlength=docs)
+                for s in (TARGET, BACKGROUND)
+            ]
+
+        parts = [sums(start, end) for start, end in spans(weight.tolist(), TOKENS)]
+        a, b = (np.concatenate(x) / weight for x in zip(*parts))
+        made = [pa.array(weight), *[pa.array(np.round(x, 6)) for x in (a, b, a - b)]]
+        head = pa.ipc.open_stream(row["head"]).read_all()
         return pa.Table.from_arrays([*head.columns, pa.StructArray.from_arrays(made, names=LOSSES.names)], names=[*head.column_names, name])
 
     return run
