@@ -1048,7 +1048,7 @@ def stream_journeys(spark, sf_dir):
     return _drain(spark, streaming.stream_journeys(feeds["search"], feeds["click"], feeds["conversion"]))
 
 
-from registry.queries import CRM, TWO_SYNCS, _merged_sql  # noqa: E402
+from registry.queries import _DIFFERS, CRM, TWO_SYNCS, _merged_sql  # noqa: E402
 
 
 @register(
@@ -1095,3 +1095,26 @@ def ingest_run(spark, sf_dir):
     feeds = {kind: _jsonl(spark, sf_dir, (kind,)) for kind in inputs.KINDS}
     log = flow.run_ingest(catalog, feeds, "batch-1", AS_OF)
     return log.select("feed", "lines_read", "malformed", "without_id", "inserted")
+
+
+@register(
+    "sync_twice",
+    sql.query(
+        *TWO_SYNCS,
+        final=f"""SELECT strftime({sql.ts(EARLIER)}, '%Y-%m-%d %H:%M:%S.%f') AS high_water_mark, count(*) AS rows_extracted,
+          count(*) AS rows_upserted, CAST(0 AS BIGINT) AS rows_unchanged FROM old
+        UNION ALL SELECT strftime({sql.ts(AS_OF)}, '%Y-%m-%d %H:%M:%S.%f'), count(*),
+          count(*) FILTER (WHERE o.user_id IS NULL OR {_DIFFERS}),
+          count(*) FILTER (WHERE o.user_id IS NOT NULL AND NOT ({_DIFFERS})) FROM new n LEFT JOIN old o ON o.user_id = n.user_id
+        UNION ALL SELECT strftime({sql.ts(AS_OF)}, '%Y-%m-%d %H:%M:%S.%f'), 0, 0, 0""",
+    ),
+)
+def sync_twice(spark, sf_dir):
+    """Two builds of the segments, each synced with its own clock in the past, and a sync with nothing new: the log."""
+    catalog = Catalog(spark, scratch_path(spark, "sync-twice"))
+    for at in (EARLIER, AS_OF, None):
+        if at:
+            catalog.materialize(_segments(spark, sf_dir, at), "marketing.mart_user_segments")
+        flow.run_named_syncs(catalog, ("segments",), as_of=at or AS_OF)
+    log = spark.read.schema(activation.SYNC_LOG_SCHEMA).parquet(catalog.resolve("ops.sync_log"))
+    return log.select("high_water_mark", "rows_extracted", "rows_upserted", "rows_unchanged")

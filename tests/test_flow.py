@@ -75,3 +75,51 @@ def test_ingest_models_and_syncs_compose(spark, tmp_path):
         raise AssertionError
     except ValueError:
         pass
+
+
+def test_a_sync_reads_on_where_the_last_one_stopped(spark, tmp_path):
+    """Marks come from the rows: neither a clock in the past nor a slow writer loses an update."""
+    catalog = Catalog(spark, str(tmp_path))
+    schema = (
+        "user_id string, segment string, engagement_score int, lifetime_revenue double, lifetime_conversions int, "
+        "primary_platform string, primary_country string, first_seen_at timestamp, last_seen_at timestamp, segmented_at string"
+    )
+
+    def build(segment, at):
+        rows = [(u, segment, 1, 1.0, 1, "web", "CA", None, None, at) for u in ("a", "b")]
+        built = spark.createDataFrame(rows, schema)
+        catalog.materialize(built.withColumn("segmented_at", built["segmented_at"].cast("timestamp")), "marketing.mart_user_segments")
+
+    def sync(at):
+        assert flow.run_named_syncs(catalog, ("segments",), as_of=at) == {"segments": "success"}
+        return {r["segment"] for r in catalog.read("crm.user_segments").collect()}
+
+    def mark():
+        return str(flow.high_water_mark(spark, catalog.resolve("ops.sync_log"), "segments"))
+
+    build("regular", "2024-01-30 00:00:00")
+    assert sync("2024-01-31 00:00:00") == {"regular"} and mark() == "2024-01-30 00:00:00"
+    # Built before that sync, stored after it.
+    build("high_value", "2024-01-30 12:00:00")
+    assert sync("2024-02-01 00:00:00") == {"high_value"} and mark() == "2024-01-30 12:00:00"
+    again = flow.run_named_syncs(catalog, ("segments",), dry_run=True)["segments"]
+    assert again["rows_extracted"] == 0 and str(again["high_water_mark"]) == mark()
+    assert sync("2024-02-02 00:00:00") == {"high_value"} and mark() == "2024-01-30 12:00:00"
+    build("dormant", "2024-01-31 00:00:00")
+    assert sync("2024-02-03 00:00:00") == {"dormant"}
+    assert {r["previous_segment"] for r in catalog.read("crm.user_segments").collect()} == {"high_value"}
+
+
+def test_the_mail_queue_only_grows(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path))
+    for kind, name in flow.RAW.items():
+        docs = [search("s", "2024-01-04T10:00:00Z")] if kind == "search" else [conversion("v", "2023-01-01T00:00:00Z", "c", user="other")]
+        write_raw_by_day(raw_table(spark, docs if kind != "click" else [click("c", "2023-01-01T00:00:00Z", "x", user="other")]), catalog.resolve(name))
+    flow.run_models(catalog, "2024-01-05 00:00:00")
+    files = set()
+    for at in ("2024-01-05 00:00:00", "2024-01-05 01:00:00", "2024-01-06 06:00:00"):
+        flow.run_named_syncs(catalog, ("emails",), as_of=at)
+        now = {f.name for f in (tmp_path / "crm" / "email_queue").glob("*.parquet")}
+        assert files <= now
+        files = now
+    assert catalog.read("crm.email_queue").count() == 1

@@ -8,6 +8,7 @@ from tripfunnel.operators.journeys import attribute, user_journeys
 from tripfunnel.operators.rows import left_join_many, search_text
 from tripfunnel.operators import sessions
 from tripfunnel.operators.sessions import search_sessions
+from tripfunnel.operators import timeline
 from tripfunnel.operators.timeline import carry_forward, sessionize
 
 
@@ -157,3 +158,36 @@ def test_search_without_a_time_does_not_open_the_session(spark):
     ]
     rows = sessions.session_searches(stage_all(spark, documents)[0]).select("session_id", "_context.platform").collect()
     assert {r["session_id"]: r["platform"] for r in rows} == {"s1": "first", "s2": "only"}
+
+
+def test_equal_conversions_keep_their_rows(spark):
+    at = "2024-01-01 10:00:00"
+    moment = lambda df: df.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    touches = moment(spark.createDataFrame([("t1", "u", at), ("t2", "u", at)], "event_id string, user_id string, event_timestamp string"))
+    rows = [("v", "u", at, 5), ("v", "u", at, 5), ("w", "other", at, 1), ("x", None, at, 1), ("x", None, at, 1)]
+    bookings = moment(spark.createDataFrame(rows, "event_id string, user_id string, event_timestamp string, value int"))
+    found = attribute(bookings, touches, model="any")
+    assert sorted((r["event_id"], r["touch_count"]) for r in found.collect()) == [("v", 2), ("v", 2), ("w", 0), ("x", 0), ("x", 0)]
+    assert attribute(bookings, touches, model="last").count() == 5
+
+
+def test_a_burst_is_cut_and_attributed_exactly(spark):
+    """A third of all rows are one user's, in one minute; many at the same instant."""
+    rng = random.Random(8)
+    spread = lambda: (f"u{rng.randint(0, 9)}", float(rng.randint(0, 86400)))
+    burst = lambda: ("hot", float(rng.randint(43200, 43259)))
+    touches = [(*(burst() if i % 3 == 0 else spread()), f"t{i:04d}") for i in range(900)]
+    bookings = [(*(burst() if i % 3 == 0 else spread()), f"v{i:04d}") for i in range(300)]
+    t, v = events_df(spark, touches), events_df(spark, bookings)
+    hours = 20 / 3600
+    options = {"window_hours": hours, "burst_rows": 40}
+    last, first, every = (by(attribute(v, t, model=m, **options), "event_id") for m in ("last", "first", "any"))
+    for user, secs, event in bookings:
+        hits = sorted((s, e) for u, s, e in touches if u == user and secs - 20 <= s <= secs)
+        assert last[event]["touch_event_id"] == (hits[-1][1] if hits else None)
+        assert first[event]["touch_event_id"] == (max(e for s, e in hits if s == hits[0][0]) if hits else None)
+        assert every[event]["touch_count"] == len(hits)
+    bucketed = t.withColumn(timeline.BUCKET, timeline._bucket("event_timestamp", 300))
+    cut = timeline.spread_bursts(bucketed, "user_id", "event_timestamp", ["event_id"], 40)
+    sizes = [r["count"] for r in cut.groupBy("user_id", timeline.BUCKET, timeline.PART).count().collect()]
+    assert sum(sizes) == 900 and max(sizes) < 160

@@ -310,7 +310,7 @@ def materialize_incremental(
 SYNC_LOG_SCHEMA = (
     "sync_id string, sync_type string, source_table string, destination string, "
     "started_at timestamp, completed_at timestamp, rows_extracted long, rows_upserted long, "
-    "rows_unchanged long, error_message string"
+    "rows_unchanged long, error_message string, high_water_mark timestamp"
 )
 RUN_LOG_SCHEMA = (
     "run_id string, dag_id string, run_type string, started_at timestamp, "

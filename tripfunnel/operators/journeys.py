@@ -145,6 +145,7 @@ def attribute(
     model: str = "last",
     key: str = "user_id",
     bucket_seconds: int = 300,
+    burst_rows: int = 200_000,
 ) -> DataFrame:
     """Credits conversions with touches of the same user in the hours before.
 
@@ -152,16 +153,16 @@ def attribute(
     nearest and the earliest touch in ``[conversion - window, conversion]``; ``any``
     adds ``touch_count``. Among touches at the same instant the largest id counts. None
     of them builds conversion-touch pairs: a user with a third of all events costs as much
-    per event as everybody else.
+    per event as everybody else, also if all of them fall into one minute.
     """
     window = F.make_dt_interval(secs=F.lit(window_hours * 3600))
     converted_at = F.col("event_timestamp")
     if model == "any":
-        return _attribute_any(conversions, touches, window, key, bucket_seconds)
+        return _attribute_any(conversions, touches, window, key, bucket_seconds, burst_rows)
     if model == "last":
         timeline = _timeline(conversions, touches, key, converted_at, converted_at)
         chosen = carry_forward(
-            timeline, "_key", "_at", ["_probe", "_id"], {"_hit": F.col("_touch")}, bucket_seconds
+            timeline, "_key", "_at", ["_probe", "_id"], {"_hit": F.col("_touch")}, bucket_seconds, burst_rows
         )
         inside = F.col("_hit.touch_timestamp") >= F.col("_row.event_timestamp") - window
     elif model == "first":
@@ -169,7 +170,7 @@ def attribute(
             conversions, touches, key, _mirrored(converted_at - window), _mirrored(converted_at)
         )
         chosen = carry_forward(
-            timeline, "_key", "_at", ["_probe", "_id"], {"_hit": F.col("_touch")}, bucket_seconds
+            timeline, "_key", "_at", ["_probe", "_id"], {"_hit": F.col("_touch")}, bucket_seconds, burst_rows
         )
         inside = F.col("_hit.touch_timestamp") <= F.col("_row.event_timestamp")
     else:
@@ -181,7 +182,7 @@ def attribute(
     )
 
 
-def _attribute_any(conversions, touches, window, key, bucket_seconds) -> DataFrame:
+def _attribute_any(conversions, touches, window, key, bucket_seconds, burst_rows) -> DataFrame:
     at_end = _timeline(conversions, touches, key, F.col("event_timestamp"), F.col("event_timestamp"))
     # Touches exactly at the start of the window count: this probe stands just before it.
     before_start = F.col("event_timestamp") - window - F.make_dt_interval(secs=F.lit(0.000001))
@@ -200,11 +201,15 @@ def _attribute_any(conversions, touches, window, key, bucket_seconds) -> DataFra
         F.col("_touch").isNotNull(),
         "_seen",
         bucket_seconds,
+        burst_rows,
     )
     signed = F.when(F.col("_probe") == 1, F.col("_seen")).otherwise(-F.col("_seen"))
+    # Equal conversions see the same touches: they are added up together and given out one by one.
+    copies = F.count_if(F.col("_probe") == 1)
     return (
         counted.filter(F.col("_probe") > 0)
         .groupBy("_row")
-        .agg(F.coalesce(F.sum(signed), F.lit(0)).alias("touch_count"))
+        .agg(F.coalesce(F.sum(signed), F.lit(0)).alias("_sum"), copies.alias("_copies"))
+        .select("_row", F.expr("_sum div _copies").alias("touch_count"), F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
         .select("_row.*", "touch_count")
     )

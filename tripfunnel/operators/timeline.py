@@ -2,7 +2,8 @@
 
 A window over ``partitionBy(key)`` puts a hot key into a single task. Here each key
 is cut into time buckets: work inside a bucket is spread over the cluster, and only
-one summary row per (key, bucket) is ordered per key.
+one summary row per (key, bucket) is ordered per key. A bucket that holds a burst is cut
+again, at quantiles of its rows' order, so that no task gets a burst as a whole.
 """
 
 from __future__ import annotations
@@ -12,7 +13,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripfunnel.session import scratch_path
+
 BUCKET = "_bucket"
+PART = "_part"
+#: Sampled rows that make up one part of a burst.
+DRAWS = 32
 
 
 def _bucket(ts: str, seconds: int) -> Column:
@@ -21,6 +27,35 @@ def _bucket(ts: str, seconds: int) -> Column:
     return micros - F.pmod(micros, F.lit(seconds * 1_000_000))
 
 
+def spread_bursts(marked: DataFrame, key: str, ts: str, order: Sequence[str], burst_rows: int) -> DataFrame:
+    """Adds ``PART``: 0, or the range of ``(ts, *order)`` that a row of a burst lies in.
+
+    A burst is a key and bucket of more than ``burst_rows`` rows. Its rows are sampled, and every
+    ``DRAWS``-th of the sample in order is a cut. Rows of equal order stay in one part; staged events have
+    distinct ids. Counting is one pass with a map-side combine. There are at most 10,000 bursts, since the
+    limit rises with the rows; their cuts are stored and broadcast.
+    """
+    counts = marked.filter(F.col(key).isNotNull()).groupBy(key, BUCKET).agg(F.count("*").alias("_n"))
+    total, peak = counts.agg(F.sum("_n"), F.max("_n")).first()
+    limit = max(burst_rows, (total or 0) // 10_000)
+    if not peak or peak <= limit:
+        return marked.withColumn(PART, F.lit(0))
+    moment = F.struct(F.col(ts), *[F.col(c) for c in order])
+    bursts = counts.filter(F.col("_n") > limit).select(key, BUCKET)
+    drawn = marked.select(key, BUCKET, moment.alias("_moment")).filter(F.rand(7) < DRAWS / limit)
+    cuts = (
+        drawn.join(F.broadcast(bursts), [key, BUCKET])
+        .groupBy(key, BUCKET)
+        .agg(F.sort_array(F.collect_list("_moment")).alias("_cuts"))
+        .withColumn("_cuts", F.filter("_cuts", lambda _, i: i % DRAWS == DRAWS - 1))
+    )
+    path = scratch_path(marked.sparkSession, "cuts")
+    cuts.write.parquet(path)  # drawn once: both uses of the timeline must be cut alike
+    cuts = marked.sparkSession.read.schema(cuts.schema).parquet(path)
+    part = F.size(F.filter("_cuts", lambda cut: cut <= moment))
+    return marked.join(F.broadcast(cuts), [key, BUCKET], "left").withColumn(PART, F.greatest(part, F.lit(0))).drop("_cuts")
+
+
 def sessionize(
     events: DataFrame,
     user: str = "user_id",
@@ -65,21 +100,21 @@ def carry_forward(
     order: Sequence[str],
     carried: Mapping[str, Column],
     bucket_seconds: int = 300,
+    burst_rows: int = 200_000,
 ) -> DataFrame:
     """Adds, per name, the last non-null value seen so far (own row included) within
     the key, in ``(ts, *order)`` order. Rows without key carry nothing over.
     """
     moment = F.struct(F.col(ts), *[F.col(c) for c in order])
-    marked = timeline.withColumn(BUCKET, _bucket(ts, bucket_seconds)).withColumns(
-        {f"_set_{name}": value for name, value in carried.items()}
-    )
+    marked = spread_bursts(timeline.withColumn(BUCKET, _bucket(ts, bucket_seconds)), key, ts, order, burst_rows)
+    marked = marked.withColumns({f"_set_{name}": value for name, value in carried.items()})
     in_bucket = (
-        Window.partitionBy(key, BUCKET).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(key, BUCKET, PART).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
     )
-    earlier = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
     ends = (
         marked.filter(F.col(key).isNotNull())
-        .groupBy(key, BUCKET)
+        .groupBy(key, BUCKET, PART)
         .agg(
             *[
                 F.max_by(f"_set_{name}", F.when(F.col(f"_set_{name}").isNotNull(), moment)).alias(
@@ -92,6 +127,7 @@ def carry_forward(
     starts = ends.select(
         key,
         BUCKET,
+        PART,
         *[
             F.last(f"_end_{name}", ignorenulls=True).over(earlier).alias(f"_start_{name}")
             for name in carried
@@ -104,7 +140,7 @@ def carry_forward(
         }
     )
     return (
-        local.join(starts, [key, BUCKET], "left")
+        local.join(starts, [key, BUCKET, PART], "left")
         .withColumns(
             {
                 name: F.when(
@@ -113,7 +149,7 @@ def carry_forward(
                 for name in carried
             }
         )
-        .drop(BUCKET, *[f"_set_{n}" for n in carried], *[f"_start_{n}" for n in carried])
+        .drop(BUCKET, PART, *[f"_set_{n}" for n in carried], *[f"_start_{n}" for n in carried])
     )
 
 
@@ -125,24 +161,24 @@ def running_count(
     counted: Column,
     name: str,
     bucket_seconds: int = 300,
+    burst_rows: int = 200_000,
 ) -> DataFrame:
     """Adds how many rows satisfying ``counted`` the key has had so far."""
-    marked = timeline.withColumn(BUCKET, _bucket(ts, bucket_seconds)).withColumn(
-        "_one", F.when(counted, 1).otherwise(0).cast("long")
-    )
+    marked = spread_bursts(timeline.withColumn(BUCKET, _bucket(ts, bucket_seconds)), key, ts, order, burst_rows)
+    marked = marked.withColumn("_one", F.when(counted, 1).otherwise(0).cast("long"))
     in_bucket = (
-        Window.partitionBy(key, BUCKET).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(key, BUCKET, PART).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
     )
-    earlier = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
     before = (
         marked.filter(F.col(key).isNotNull())
-        .groupBy(key, BUCKET)
+        .groupBy(key, BUCKET, PART)
         .agg(F.sum("_one").alias("_sum"))
-        .select(key, BUCKET, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+        .select(key, BUCKET, PART, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     )
     return (
         marked.withColumn(name, F.sum("_one").over(in_bucket))
-        .join(before, [key, BUCKET], "left")
+        .join(before, [key, BUCKET, PART], "left")
         .withColumn(name, F.col(name) + F.col("_before"))
-        .drop(BUCKET, "_one", "_before")
+        .drop(BUCKET, PART, "_one", "_before")
     )

@@ -160,7 +160,11 @@ def verify(catalog: Catalog) -> DataFrame:
 
 
 def high_water_mark(spark: SparkSession, log_path: str, sync_type: str):
-    """Start of the newest sync of this type that succeeded; None before the first."""
+    """The newest source row that a sync of this type has read and stored; None before the first.
+
+    It comes from the rows and not from a clock: a table built for an earlier ``as_of``, or stored while
+    a sync was running, is newer than what the sync has read, whenever that was.
+    """
     try:
         log = spark.read.schema(SYNC_LOG_SCHEMA).parquet(log_path)
     except AnalysisException as error:
@@ -168,7 +172,7 @@ def high_water_mark(spark: SparkSession, log_path: str, sync_type: str):
             raise
         return None
     good = log.filter((F.col("sync_type") == sync_type) & F.col("error_message").isNull())
-    return good.agg(F.max("started_at")).first()[0]
+    return good.agg(F.max("high_water_mark")).first()[0]
 
 
 def _counts(source: str, destination: str, extracted: int, upserted: int, unchanged: int = 0) -> dict:
@@ -181,12 +185,14 @@ def _counts(source: str, destination: str, extracted: int, upserted: int, unchan
 def sync_segments(catalog: Catalog, as_of=None, since=None, dry_run: bool = False) -> dict:
     """Segments changed since the last sync, merged into the CRM snapshot."""
     source, destination = MODELS["mart_user_segments"], "crm.user_segments"
-    changed = activation.changed_since(catalog.read(source), "segmented_at", since)
+    changed = catalog.staged(activation.changed_since(catalog.read(source), "segmented_at", since), destination)
     current = catalog.read_or_empty(destination, activation.CRM_SCHEMA)
     n = activation.merge_metrics(current, changed).first()
+    newest = changed.agg(F.max("segmented_at")).first()[0]
     if not dry_run:
         catalog.replace(activation.merge_segments(current, changed, as_of), destination)
-    return _counts(source, destination, n["rows_extracted"], n["rows_upserted"], n["rows_unchanged"])
+    counts = _counts(source, destination, n["rows_extracted"], n["rows_upserted"], n["rows_unchanged"])
+    return {**counts, "high_water_mark": newest or since}
 
 
 def sync_recommendations(catalog: Catalog, as_of=None, since=None, dry_run: bool = False) -> dict:
@@ -194,24 +200,22 @@ def sync_recommendations(catalog: Catalog, as_of=None, since=None, dry_run: bool
     source, destination = MODELS["mart_recommendations"], "kv.recommendations"
     recommended = catalog.read(source)
     entries = activation.export_reco_kv(recommended, as_of=as_of)
-    n = _counts(source, destination, recommended.count(), entries.count())
     if not dry_run:
         activation.write_kv(entries, catalog.resolve(destination))
-    return n
+        entries = catalog.read(destination)
+    return _counts(source, destination, recommended.count(), entries.count())
 
 
 def sync_emails(catalog: Catalog, as_of=None, since=None, dry_run: bool = False) -> dict:
     """Mails for abandoned searches, appended to the queue."""
     source, destination = MODELS["stg_search_events"], "crm.email_queue"
-    found = activation.abandoned_searches(
-        catalog.read(source), catalog.read(MODELS["stg_conversion_events"]), as_of
+    found = catalog.staged(
+        activation.abandoned_searches(catalog.read(source), catalog.read(MODELS["stg_conversion_events"]), as_of), destination
     )
-    queue = catalog.read_or_empty(destination, QUEUE_SCHEMA)
-    mails = activation.queue_emails(found, queue, as_of)
-    n = _counts(source, destination, found.count(), mails.count())
+    mails = catalog.staged(activation.queue_emails(found, catalog.read_or_empty(destination, QUEUE_SCHEMA), as_of), destination)
     if not dry_run:
-        catalog.replace(queue.unionByName(mails), destination)
-    return n
+        catalog.append(mails, destination)
+    return _counts(source, destination, found.count(), mails.count())
 
 
 SYNCS = {"segments": sync_segments, "recommendations": sync_recommendations, "emails": sync_emails}
@@ -240,8 +244,8 @@ def run_syncs(
 ) -> dict[str, str]:
     """Runs the syncs one by one; a failing one is logged and does not stop the others.
 
-    A sync returns the counts for its log row: ``rows_extracted``, ``rows_upserted``,
-    ``rows_unchanged``, ``source_table``, ``destination`` as far as it has them.
+    A sync returns the fields of its log row: ``rows_extracted``, ``rows_upserted``, ``rows_unchanged``,
+    ``source_table``, ``destination`` and ``high_water_mark`` as far as it has them.
     """
     status: dict[str, str] = {}
     for name, sync in syncs.items():

@@ -41,11 +41,23 @@ class Catalog:
     def read_or_empty(self, name: str, schema: str) -> DataFrame:
         return self.read(name) if self.exists(name) else self.spark.createDataFrame([], schema)
 
-    def replace(self, df: DataFrame, name: str) -> DataFrame:
-        """Full refresh from rows that may come from the table itself: they are stored first."""
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows meant for a table, computed once and stored in the shared scratch folder."""
         path = scratch_path(self.spark, name.replace(".", "-"))
         df.write.parquet(path)
-        return self.materialize(self.spark.read.schema(df.schema).parquet(path), name)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def replace(self, df: DataFrame, name: str) -> DataFrame:
+        """Full refresh from rows that may come from the table itself: they are stored first."""
+        return self.materialize(self.staged(df, name), name)
+
+    def append(self, df: DataFrame, name: str) -> None:
+        """More rows for a table; what it has stays as it is."""
+        target = self.resolve(name)
+        if "/" in target:
+            df.write.mode("append").parquet(target)
+        else:
+            df.write.mode("append").saveAsTable(target)
 
     def materialize(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Full refresh of a model; returns the stored table."""
