@@ -48,6 +48,8 @@ from tripfunnel.session import scratch_path
 from tripfunnel.sources.catalog import Catalog
 from tripfunnel.sources.streams import stream_events
 from tripfunnel.streaming import events as streaming
+from tripfunnel.streaming import late
+from tripfunnel.streaming.snapshots import Snapshot
 
 # ---------------------------------------------------------------- reporting
 
@@ -1064,18 +1066,16 @@ def stream_merge_segments(spark, sf_dir):
 
     def merge(current, batch):
         # The snapshot's own clock is the clock of its sync.
-        at = batch.select(F.max("segmented_at")).scalar()
-        if current is None:
-            current = batch.sparkSession.createDataFrame([], activation.CRM_SCHEMA)
-        return activation.merge_segments(current, batch, at)
+        return activation.merge_segments(current, batch, batch.select(F.max("segmented_at")).scalar())
+
+    crm = Snapshot(spark, root, activation.CRM_SCHEMA)
 
     for arriving in (None, AS_OF):
         if arriving:
             _segments(spark, sf_dir, arriving).write.mode("append").parquet(inbox)
         feed = spark.readStream.schema(schema).parquet(inbox)
-        apply = streaming.versioned_merge(spark, root, merge)
-        streaming.merge_stream(feed, apply, state, mode="append").awaitTermination()
-    return streaming.latest_version(spark, root)
+        streaming.merge_stream(feed, crm.merging(merge), state, mode="append").awaitTermination()
+    return crm.latest()
 
 
 @register(
@@ -1118,3 +1118,30 @@ def sync_twice(spark, sf_dir):
         flow.run_named_syncs(catalog, ("segments",), as_of=at or AS_OF)
     log = spark.read.schema(activation.SYNC_LOG_SCHEMA).parquet(catalog.resolve("ops.sync_log"))
     return log.select("high_water_mark", "rows_extracted", "rows_upserted", "rows_unchanged")
+
+
+_THIRD = "CAST('0x' || substr(md5(event_id), 1, 8) AS BIGINT) % 3"
+
+
+@register(
+    "stream_late_rows",
+    sql.query(
+        EV, _ALL.replace("event_type, event_timestamp", "event_id, event_type, event_timestamp"),
+        f"mark AS (SELECT max(epoch_us(event_timestamp)) // 1000 - 24 * 3600000 AS ms FROM everything WHERE {_THIRD} = 0)",
+        final=f"""SELECT event_id, event_type, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS event_timestamp,
+        strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S.%f') AS missed_watermark,
+        round((ms * 1000 - epoch_us(event_timestamp)) / 1000000.0::DOUBLE, 6) AS late_by_seconds
+        FROM everything, mark WHERE {_THIRD} = 2 AND epoch_us(event_timestamp) <= ms * 1000""",
+    ),
+)
+def stream_late_rows(spark, sf_dir):
+    """The events arrive in three batches: what of the third one is behind the mark of the first."""
+    inbox, root, state = (scratch_path(spark, n) for n in ("inbox", "split", "state"))
+    events = [inputs.staged(spark, sf_dir, kind).select("event_id", "event_type", "event_timestamp") for kind in inputs.KINDS]
+    events = events[0].unionByName(events[1]).unionByName(events[2])
+    third = F.conv(F.substring(F.md5("event_id"), 1, 8), 16, 10).cast("long") % 3
+    for arriving in range(3):
+        events.filter(third == arriving).write.mode("append").parquet(inbox)
+        feed = spark.readStream.schema(events.schema).parquet(inbox)
+        late.split_stream(feed, root, state).awaitTermination()
+    return late.late_rows(spark, root, events.schema).drop("batch")

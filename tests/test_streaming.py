@@ -8,6 +8,8 @@ from tripfunnel.operators import activation
 from tripfunnel.operators.journeys import user_journeys
 from tripfunnel.sources.streams import stream_events
 from tripfunnel.streaming import events as streaming
+from tripfunnel.streaming import late
+from tripfunnel.streaming.snapshots import Snapshot
 
 
 def feed(spark, folder, *batches):
@@ -80,23 +82,69 @@ def test_stream_journeys_equal_batch_journeys(spark, tmp_path):
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
 
 
-def test_snapshot_merge_survives_a_repeated_batch(spark, tmp_path):
-    def snapshot(segment):
-        return spark.createDataFrame([("u", segment)], "user_id string, segment string").select(
-            "user_id", "segment", F.lit(1).alias("engagement_score"), F.lit(1.0).alias("lifetime_revenue"),
-            F.lit(1).alias("lifetime_conversions"), F.lit("web").alias("primary_platform"),
-            F.lit("CA").alias("primary_country"), F.lit(None).cast("timestamp").alias("first_seen_at"),
-            F.lit(None).cast("timestamp").alias("last_seen_at"),
-        )
+def segments(spark, *rows):
+    return spark.createDataFrame(list(rows), "user_id string, segment string").select(
+        "user_id", "segment", F.lit(1).alias("engagement_score"), F.lit(1.0).alias("lifetime_revenue"),
+        F.lit(1).alias("lifetime_conversions"), F.lit("web").alias("primary_platform"),
+        F.lit("CA").alias("primary_country"), F.lit(None).cast("timestamp").alias("first_seen_at"),
+        F.lit(None).cast("timestamp").alias("last_seen_at"),
+    )
+
+
+def merge(current, batch):
+    return activation.merge_segments(current, batch, "2024-01-01 00:00:00")
 
-    def merge(current, batch):
-        current = spark.createDataFrame([], activation.CRM_SCHEMA) if current is None else current
-        return activation.merge_segments(current, batch, "2024-01-01 00:00:00")
 
-    root = str(tmp_path / "crm")
-    apply = streaming.versioned_merge(spark, root, merge)
-    apply(snapshot("regular"), 0)
-    apply(snapshot("high_value"), 1)
-    apply(snapshot("high_value"), 1)
-    row = streaming.latest_version(spark, root).first()
+def test_snapshot_merge_survives_a_repeated_batch(spark, tmp_path):
+    crm = Snapshot(spark, str(tmp_path / "crm"), activation.CRM_SCHEMA, buckets=4)
+    apply = crm.merging(merge)
+    apply(segments(spark, ("u", "regular")), 0)
+    apply(segments(spark, ("u", "high_value")), 1)
+    apply(segments(spark, ("u", "high_value")), 1)
+    row = crm.latest().first()
     assert (row["segment"], row["previous_segment"]) == ("high_value", "regular")
+
+
+def test_a_batch_rewrites_only_its_buckets_and_old_versions_go(spark, tmp_path):
+    crm = Snapshot(spark, str(tmp_path / "crm"), activation.CRM_SCHEMA, buckets=8)
+    assert crm.latest().count() == 0
+    users = [(f"u{i}", "regular") for i in range(100)]
+    assert crm.upsert(merge, segments(spark, *users), 0) == list(range(8))
+    files = lambda: {str(f.relative_to(tmp_path)) for f in tmp_path.rglob("*.parquet")}
+    data = lambda: {f for f in files() if "/data/" in f}
+    first = data()
+    for version in range(1, 6):
+        (bucket,) = crm.upsert(merge, segments(spark, ("u7", f"s{version}")), version)
+        assert len({f.split("/")[2:4][0] + f.split("/")[3] for f in data() - first if f"version={version}/" in f}) == 1
+    kept = {f for f in data() if "version=0/" in f}
+    assert kept == {f for f in first if f"bucket={bucket}/" not in f}
+    assert {f.split("/")[2] for f in data()} == {"version=0", "version=4", "version=5"}
+    assert {f.split("/")[2] for f in files() if "/pointers/" in f} == {"version=4", "version=5"}
+    found = {r["user_id"]: r["segment"] for r in crm.latest().collect()}
+    assert found == {**dict(users), "u7": "s5"}
+    assert crm.upsert(merge, segments(spark), 6) == []
+    assert crm.latest().count() == 100
+
+
+def test_late_rows_are_those_the_watermark_drops(spark, tmp_path):
+    batches = [
+        [search("a", "2024-01-03T12:00:00Z"), search("first", "2023-12-01T00:00:00Z")],
+        [search("b", "2024-01-03T13:00:00Z"), search("edge", "2024-01-02T12:00:00Z"), search("in", "2024-01-02T12:00:00.001Z")],
+        [search("late", "2024-01-02T11:00:00Z"), search("end", "2024-01-10T00:00:00Z"), search("at the mark", "2024-01-02T12:00:00Z")],
+        [search("in time", "2024-01-09T00:00:01Z")],
+    ]
+    staged = streaming.stream_staging(feed(spark, tmp_path / "in", *batches), "search")
+    root = str(tmp_path / "split")
+    query = late.split_stream(staged, root, str(tmp_path / "split-state"))
+    query.awaitTermination()
+    kept = late.late_rows(spark, root, staged.schema)
+    found = {r["event_id"]: (r["batch"], round(r["late_by_seconds"])) for r in kept.collect()}
+    assert found == {"late": (2, 3600), "at the mark": (2, 0)}
+    _, dedupe = drain(spark, streaming.stream_dedupe(staged), tmp_path, "dedupe")
+    assert streaming.dropped_by_watermark(dedupe) == len(found)
+    on_time, after = drain(spark, streaming.stream_dedupe(late.on_time_rows(spark, root, staged.schema)), tmp_path, "in-time")
+    assert {r["event_id"] for r in on_time.collect()} == {"a", "first", "b", "edge", "in", "end", "in time"}
+    # The same batch once more replaces its rows and changes no mark.
+    rows = spark.read.schema(staged.schema).parquet(f"{root}/late/batch=2").unionByName(spark.read.schema(staged.schema).parquet(f"{root}/on_time/batch=2"))
+    late.split_late(spark, spark.createDataFrame(rows.collect(), staged.schema), 2, root, "event_timestamp", "24 hours")
+    assert late.late_rows(spark, root, staged.schema).count() == 2

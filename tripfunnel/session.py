@@ -56,3 +56,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tripfunnel-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path in its terms: whatever store Spark itself reads from."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``; none if it is not there."""
+    files, where = _file_system(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(where) if f.isDirectory()] if files.exists(where) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of the library's own with all it has."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)

@@ -202,39 +202,3 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
         for progress in query.recentProgress
         for state in progress["stateOperators"]
     )
-
-
-def versioned_merge(spark, root: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
-    """A ``foreachBatch`` function that keeps a snapshot table under ``root``.
-
-    Batch ``n`` reads the newest earlier version and writes ``version=n``, so a repeated
-    batch rewrites its own version and never the one it reads.
-    """
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        current = None
-        for version in range(batch_id - 1, -1, -1):
-            path = f"{root}/version={version}"
-            if _exists(spark, path):
-                current = spark.read.parquet(path)
-                break
-        merge(current, batch).write.mode("overwrite").parquet(f"{root}/version={batch_id}")
-
-    return apply
-
-
-def latest_version(spark, root: str) -> DataFrame:
-    """The newest snapshot that ``versioned_merge`` wrote."""
-    versions = spark.read.option("basePath", root).parquet(root)
-    newest = versions.select(F.max("version")).scalar()
-    return versions.filter(F.col("version") == newest).drop("version")
-
-
-def _exists(spark, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
