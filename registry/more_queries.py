@@ -639,10 +639,27 @@ def user_history(spark, sf_dir):
     return recommender.user_history(_interactions(spark, sf_dir))
 
 
-@register("svd_recommend")
+RATED = (
+    INTERACTIONS,
+    "rated AS (SELECT user_id, item_id, max(rating) AS rating FROM interactions GROUP BY ALL)",
+    "people AS (SELECT DISTINCT user_id FROM rated)",
+)
+
+
+@register(
+    "svd_recommend",
+    sql.query(
+        EV, *RATED,
+        final="""SELECT user_id, item_id, round(coalesce(rating, 0), 6) AS score,
+        CAST(row_number() OVER (PARTITION BY user_id ORDER BY coalesce(rating, 0) DESC, item_id) AS INTEGER) AS rank
+        FROM people CROSS JOIN (SELECT DISTINCT item_id FROM rated) LEFT JOIN rated USING (user_id, item_id)
+        QUALIFY rank <= 10""",
+    ),
+)
 def svd_recommend(spark, sf_dir):
+    """With 50 factors for fewer items the product is the matrix itself, which is what SQL can say."""
     rated = recommender.ratings(_interactions(spark, sf_dir))
-    return recommender.SvdRecommender(k=10).fit(rated).recommend(rated, 10)
+    return recommender.SvdRecommender(k=50).fit(rated).recommend(rated, 10)
 
 
 @register("als_recommend")
@@ -656,10 +673,11 @@ def _item_features(spark, sf_dir) -> DataFrame:
     _, clicks, conversions = inputs.all_staged(spark, sf_dir)
     booked = conversions.select(F.col("click_event_id").alias("event_id"), F.lit(1).alias("_booked"))
     return (
-        clicks.join(booked.filter(F.col("event_id").isNotNull()).distinct(), "event_id", "left")
+        clicks.filter(F.col("result_destination").isNotNull())
+        .join(booked.filter(F.col("event_id").isNotNull()).distinct(), "event_id", "left")
         .groupBy(F.col("result_destination").alias("item_id"))
         .agg(
-            F.avg("result_price").cast("double").alias("price_level"),
+            F.avg(F.col("result_price").cast("double")).alias("price_level"),
             F.count(F.lit(1)).cast("double").alias("popularity"),
             F.avg(F.coalesce("_booked", F.lit(0))).alias("booking_share"),
         )
@@ -669,10 +687,36 @@ def _item_features(spark, sf_dir) -> DataFrame:
 FEATURES = ("price_level", "popularity", "booking_share")
 
 
-@register("hybrid_recommend")
+_TASTE = (
+    """features AS (
+  SELECT result_destination AS item_id, avg(result_price::DOUBLE) AS price_level, count(*)::DOUBLE AS popularity,
+    avg(CASE WHEN event_id IN (SELECT click_event_id FROM conversions WHERE click_event_id IS NOT NULL) THEN 1.0::DOUBLE ELSE 0.0 END)
+      AS booking_share
+  FROM clicks WHERE result_destination IS NOT NULL GROUP BY ALL)""",
+    "long AS (UNPIVOT features ON price_level, popularity, booking_share INTO NAME d VALUE x)",
+    """scaled AS (SELECT item_id, d, (x - avg(x) OVER (PARTITION BY d))
+    / coalesce(nullif(stddev_pop(x) OVER (PARTITION BY d), 0), 1) AS z FROM long)""",
+    "unit AS (SELECT item_id, d, z / sqrt(sum(z * z) OVER (PARTITION BY item_id)) AS u FROM scaled)",
+    "taste AS (SELECT user_id, d, avg(u) AS m FROM rated JOIN unit USING (item_id) GROUP BY ALL)",
+    """content AS (SELECT t.user_id, unit.item_id, sum(t.m * unit.u) AS score FROM taste t JOIN unit ON unit.d = t.d GROUP BY ALL)""",
+    """whole AS (SELECT user_id, item_id, round(0.6::DOUBLE * coalesce(rating, 0) + 0.4::DOUBLE * CASE
+      WHEN rating IS NOT NULL AND item_id IN (SELECT item_id FROM features) THEN -1.0::DOUBLE ELSE coalesce(content.score, 0) END, 9) AS score
+    FROM people CROSS JOIN (SELECT item_id FROM rated UNION SELECT item_id FROM features)
+    LEFT JOIN rated USING (user_id, item_id) LEFT JOIN content USING (user_id, item_id))""",
+)
+
+
+@register(
+    "hybrid_recommend",
+    sql.query(
+        EV, *RATED, *_TASTE,
+        final="""SELECT user_id, item_id, round(score, 6) AS score,
+        CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM whole QUALIFY rank <= 10""",
+    ),
+)
 def hybrid_recommend(spark, sf_dir):
     rated = recommender.ratings(_interactions(spark, sf_dir))
-    model = recommender.HybridRecommender(FEATURES, k=10).fit(rated, _item_features(spark, sf_dir))
+    model = recommender.HybridRecommender(FEATURES, k=50).fit(rated, _item_features(spark, sf_dir))
     return model.recommend(rated, 10)
 
 

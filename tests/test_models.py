@@ -42,6 +42,33 @@ def test_svd_scores_equal_the_rank_k_reconstruction(spark, tmp_path):
     assert model.singular_values == pytest.approx(s[:3])
 
 
+def test_svd_at_full_width_gives_the_ratings_back(spark):
+    df, rows = rating_rows(spark, seed=5, users=9, items=8)
+    model = recommender.SvdRecommender(k=50).fit(df)
+    ratings = {(u, i): x for u, i, x in rows}
+    best = {}
+    for r in model.recommend(df, 4).collect():
+        assert r["score"] == ratings.get((r["user_id"], r["item_id"]), 0.0)
+        best.setdefault(r["user_id"], []).append((-r["score"], r["item_id"]))
+    for user, found in best.items():
+        items = {i for _, i, _ in rows}
+        assert sorted(found) == sorted((-ratings.get((user, i), 0.0), i) for i in items)[:4]
+    empty = recommender.SvdRecommender(k=3).fit(df.limit(0))
+    assert empty.recommend(df.limit(0)).count() == 0
+
+
+def test_svd_finds_the_leading_space_of_a_larger_matrix(spark):
+    pick = np.random.default_rng(2)
+    m = pick.normal(size=(80, 4)) @ pick.normal(size=(4, 60)) + 0.05 * pick.normal(size=(80, 60))
+    rows = [(f"u{u:02d}", f"i{i:02d}", float(m[u, i])) for u in range(80) for i in range(60)]
+    model = recommender.SvdRecommender(k=4, oversample=4, iterations=4).fit(spark.createDataFrame(rows, "user_id string, item_id string, rating double"))
+    _, s, vt = np.linalg.svd(m)
+    assert model.singular_values == pytest.approx(s[:4], rel=1e-6)
+    v = np.array([r["v"] for r in model.factors.orderBy("item_id").collect()])
+    assert v.T @ v == pytest.approx(np.eye(4), abs=1e-9)
+    assert v @ v.T == pytest.approx(vt[:4].T @ vt[:4], abs=1e-4)
+
+
 def test_als_ranks_what_similar_users_took(spark):
     rows = [(f"a{u}", f"x{i}", 5.0) for u in range(8) for i in range(5) if (u + i) % 5]
     rows += [(f"b{u}", f"y{i}", 5.0) for u in range(8) for i in range(5) if (u + i) % 5]
@@ -94,8 +121,12 @@ def test_block_size_does_not_change_the_winners(spark):
 
 def test_hybrid_blends_and_survives_saving(spark, tmp_path):
     df, _ = rating_rows(spark)
-    items, _ = item_table(spark)
+    items, _ = item_table(spark, 8)  # two that nobody rated
+    items = items.filter("item_id <> 'i2'")  # and one without features
     model = recommender.HybridRecommender(FEATURES, k=3).fit(df, items)
+    whole = recommender.blend(model.svd.recommend(df, 99), model.content.recommend(df, 99), 4).collect()
+    blended = lambda rows: sorted((r["user_id"], r["rank"], r["item_id"], round(r["score"], 6)) for r in rows)
+    assert blended(model.recommend(df, 4).collect()) == blended(whole)
     cf = {(r["user_id"], r["item_id"]): r["score"] for r in model.svd.recommend(df, 99).collect()}
     content = {(r["user_id"], r["item_id"]): r["score"] for r in model.content.recommend(df, 99).collect()}
     got = {(r["user_id"], r["item_id"]): r["score"] for r in model.recommend(df, 2).collect()}

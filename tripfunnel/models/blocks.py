@@ -14,6 +14,8 @@ from tripfunnel.operators.rows import top_n_per_group
 
 #: Doubles of item vectors that are sent to every executor at most (128 MB).
 MOST_BROADCAST = 16_000_000
+#: Decimals of a score.
+DIGITS = 9
 
 
 def _best(users: pd.DataFrame, names: np.ndarray, matrix: np.ndarray, k: int) -> pd.DataFrame:
@@ -21,7 +23,8 @@ def _best(users: pd.DataFrame, names: np.ndarray, matrix: np.ndarray, k: int) ->
     parts = []
     for start in range(0, len(users), 256):
         some = users.iloc[start : start + 256]
-        scores = np.stack(some["user_vector"].to_numpy()) @ matrix
+        # Rounded, so that equal items tie in whatever order their products were added up.
+        scores = np.round(np.stack(some["user_vector"].to_numpy()) @ matrix, DIGITS) + 0.0
         for line, user, extra in zip(scores, some["user_id"], some["extra"]):
             take = min(k + int(extra), len(names))
             cut = -np.partition(-line, take - 1)[take - 1]
@@ -87,8 +90,8 @@ def top_items(
     """``(user_id, item_id, score, rank)``: the ``k`` items with the largest dot product.
 
     ``users`` has ``user_id`` and ``user_vector``, ``items`` has ``item_id`` and
-    ``item_vector``. The items in ``liked (user_id, item_id)`` score ``masked_score``: with
-    it, ``users`` has ``extra``, the number of a user's liked items. So many more are kept
+    ``item_vector``. The items in ``liked (user_id, item_id)`` score ``masked_score``, or what
+    a column ``score`` of it says: with it, ``users`` has ``extra``, the number of a user's liked items. So many more are kept
     per user, and the liked ones are taken out by a join, so no user carries a list.
 
     Item vectors of at most ``most`` numbers are broadcast and users are not shuffled;
@@ -104,10 +107,9 @@ def top_items(
     else:
         won = _in_blocks(asking, offered, k, schema, math.ceil(n / block), block)
     if liked is not None:
-        masked = liked.select("user_id", "item_id").join(offered.select("item_id"), "item_id")
-        won = won.join(masked, ["user_id", "item_id"], "left_anti").unionByName(
-            masked.withColumn("score", F.lit(masked_score))
-        )
+        score = F.round("score", DIGITS) if "score" in liked.columns else F.lit(masked_score)
+        masked = liked.select("user_id", "item_id", score.alias("score")).join(offered.select("item_id"), "item_id")
+        won = won.join(masked, ["user_id", "item_id"], "left_anti").unionByName(masked)
     return top_n_per_group(
         won, ["user_id"], [F.col("score").desc_nulls_last(), F.col("item_id").asc()], k
     )

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.stat import Summarizer
-from pyspark.mllib.linalg import SparseVector, VectorUDT
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripfunnel.models.blocks import top_items
 from tripfunnel.operators.rows import top_n_per_group
+from tripfunnel.session import scratch_path
 
 # Implicit ratings per event kind.
 SEARCH_RATING, CLICK_RATING, CONVERSION_RATING = 1.0, 3.0, 5.0
@@ -61,91 +61,111 @@ def user_history(interaction_rows: DataFrame) -> DataFrame:
     return interaction_rows.select("user_id", "item_id").distinct()
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _weighted_sums(rating_rows: DataFrame, vectors: DataFrame, given: str, wanted: str) -> DataFrame:
+    """Per ``wanted`` id the sum of rating times vector over its ``given`` ids."""
+    scaled = F.transform("v", lambda x: x * F.col("rating"))
+    summed = rating_rows.join(vectors, given).groupBy(wanted).agg(Summarizer.sum(array_to_vector(scaled)).alias("v"))
+    return summed.select(wanted, vector_to_array("v").alias("v"))
+
+
+def _gram(vectors: DataFrame) -> np.ndarray:
+    """Sum of the vectors' outer products: width times width numbers, added up in Spark."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            rows = np.array(batch.column(0).to_pylist(), dtype=float)
+            if len(rows):
+                total = rows.T @ rows + (0 if total is None else total)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()])], names=["g"])
+
+    parts = vectors.select("v").mapInArrow(partial, "g array<double>")
+    sums = parts.select(F.posexplode("g").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()
+    flat = np.array([r["x"] for r in sorted(sums, key=lambda r: r["at"])])
+    return flat.reshape(math.isqrt(len(flat)), -1)
+
+
+def _turned(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
+    """Every vector times a small matrix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array(batch.column(1).to_pylist(), dtype=float).reshape(batch.num_rows, matrix.shape[0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((rows @ matrix).tolist(), pa.list_(pa.float64()))], names=[key, "v"])
+
+    return vectors.select(key, "v").mapInArrow(run, f"{key} string, v array<double>")
+
+
+def _orthonormal(vectors: DataFrame, key: str) -> DataFrame:
+    """The vectors' columns made orthonormal, dependent ones left out; twice, for accuracy."""
+    for _ in range(2):
+        values, basis = np.linalg.eigh(_gram(vectors))
+        some = values > 1e-14 * values.max(initial=0.0)
+        vectors = _stored(_turned(vectors, key, basis[:, some] / np.sqrt(values[some])), "basis")
+    return vectors
+
+
 class SvdRecommender:
     """Truncated SVD of the user × item matrix (missing = 0); seen items stay in.
 
-    The factorisation is Spark's distributed one. The driver holds ``items * k`` doubles
-    of item factors, so a catalogue of millions wants ``AlsRecommender``, whose factors stay
-    distributed.
+    Randomised subspace iteration on the rating rows: a random basis of ``k + oversample`` columns over the
+    items is multiplied by the matrix and its transpose, each a join and a sum, and made orthonormal by
+    its Gram matrix. Ids stay as they are, and only matrices of that small width pass through the driver.
+    With as many columns as items the basis is complete and the result exact without iterating.
     """
 
-    def __init__(self, k: int = 50):
-        self.k = k
-        self.items: list[str] = []
-        self.factors = np.zeros((0, 0))
+    def __init__(self, k: int = 50, oversample: int = 10, iterations: int = 8):
+        self.k, self.oversample, self.iterations = k, oversample, iterations
+        self.factors: DataFrame | None = None  # item_id and v, one column of V per number
         self.singular_values = np.zeros(0)
 
     def fit(self, rating_rows: DataFrame) -> SvdRecommender:
-        self.items = sorted(row[0] for row in rating_rows.select("item_id").distinct().collect())
-        rows = self._rows(rating_rows)
-        size = len(self.items)
-
-        @F.udf(VectorUDT())
-        def sparse(indices, values):
-            return SparseVector(size, indices, values)
-
-        matrix = RowMatrix(rows.select(sparse("indices", "values").alias("v")), 0, size)
-        svd = matrix.computeSVD(min(self.k, size), computeU=False)
-        self.factors = svd.V.toArray()
-        self.singular_values = svd.s.toArray()
+        rows = _stored(rating_rows.select(F.col("user_id"), F.col("item_id").cast("string").alias("item_id"), "rating"), "ratings")
+        items = _stored(rows.select("item_id").distinct(), "items")
+        n = items.count()
+        width = min(self.k + self.oversample, n)
+        hashed = lambda j: F.pmod(F.xxhash64("item_id", j), F.lit(1 << 52)) / float(1 << 51) - 1.0
+        basis = items.withColumn("v", F.transform(F.sequence(F.lit(1), F.lit(max(1, width))), hashed))
+        if n:
+            basis = _orthonormal(basis, "item_id")
+            for _ in range(self.iterations if width < n else 0):
+                by_user = _weighted_sums(rows, basis, "item_id", "user_id")
+                basis = _orthonormal(_stored(_weighted_sums(rows, by_user, "user_id", "item_id"), "basis"), "item_id")
+            values, turn = np.linalg.eigh(_gram(_weighted_sums(rows, basis, "item_id", "user_id")))
+            best = np.argsort(-values)[: self.k]
+            self.singular_values = np.sqrt(np.maximum(values[best], 0.0))
+            basis = _stored(_turned(basis, "item_id", turn[:, best]), "factors")
+        self.factors = basis
         return self
 
-    def _index(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            [(name, i) for i, name in enumerate(self.items)], "item_id string, index int"
-        )
-
-    def _rows(self, rating_rows: DataFrame) -> DataFrame:
-        """Sparse rows of the matrix: sorted indices and values per user."""
-        entries = F.array_sort(F.collect_list(F.struct("index", "rating")))
-        return (
-            rating_rows.join(self._index(rating_rows.sparkSession), "item_id")
-            .groupBy("user_id")
-            .agg(entries.alias("_entries"))
-            .select(
-                "user_id",
-                F.col("_entries.index").alias("indices"),
-                F.col("_entries.rating").alias("values"),
-            )
-        )
-
-    def item_factors(self, spark: SparkSession) -> DataFrame:
-        rows = list(zip(self.items, self.factors.tolist()))
-        return spark.createDataFrame(rows, "item_id string, item_vector array<double>")
+    def item_factors(self) -> DataFrame:
+        return self.factors.select("item_id", F.col("v").alias("item_vector"))
 
     def user_factors(self, rating_rows: DataFrame) -> DataFrame:
-        """Each user's row times V; V has ``items * k`` doubles."""
-        shared = rating_rows.sparkSession.sparkContext.broadcast(self.factors)
-
-        @F.pandas_udf("array<double>")
-        def project(indices: pd.Series, values: pd.Series) -> pd.Series:
-            v = shared.value
-            return pd.Series([(x @ v[i]).tolist() for i, x in zip(indices, values)])
-
-        return self._rows(rating_rows).select(
-            "user_id", project("indices", "values").alias("user_vector")
-        )
+        """Each user's row times V."""
+        summed = _weighted_sums(rating_rows, self.factors, "item_id", "user_id")
+        return summed.select("user_id", F.col("v").alias("user_vector"))
 
     def recommend(self, rating_rows: DataFrame, top_n: int = 10) -> DataFrame:
-        users = self.user_factors(rating_rows)
-        return top_items(users, self.item_factors(rating_rows.sparkSession), top_n)
+        return top_items(self.user_factors(rating_rows), self.item_factors(), top_n)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        factors = self.item_factors(spark)
-        factors.withColumn("k", F.lit(self.k)).write.mode("overwrite").parquet(f"{path}/items")
-        meta = json.dumps(
-            {"k": self.k, "s": self.singular_values.tolist()}
-        )
+        self.factors.write.mode("overwrite").parquet(f"{path}/items")
+        meta = json.dumps({"k": self.k, "s": self.singular_values.tolist()})
         spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").json(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SvdRecommender:
         meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()[0])
         model = cls(meta["k"])
-        rows = spark.read.parquet(f"{path}/items").orderBy("item_id").collect()
-        model.items = sorted(r["item_id"] for r in rows)
-        by_name = {r["item_id"]: r["item_vector"] for r in rows}
-        model.factors = np.array([by_name[name] for name in model.items])
+        model.factors = spark.read.parquet(f"{path}/items")
         model.singular_values = np.array(meta["s"])
         return model
 
@@ -226,17 +246,22 @@ class ContentRecommender:
         self.vectors = unit.select("item_id", "unit")
         return self
 
-    def recommend(self, likes: DataFrame, top_n: int = 10) -> DataFrame:
-        """Top items for every user in ``likes (user_id, item_id)``; liked items score -1."""
-        pairs = likes.select("user_id", "item_id").distinct()
-        users = (
+    def profiles(self, pairs: DataFrame) -> DataFrame:
+        """Per user the mean of the liked items' unit vectors, and how many they are (``extra``)."""
+        return (
             pairs.join(self.vectors, "item_id")
             .groupBy("user_id")
             .agg(Summarizer.mean(F.col("unit")).alias("_mean"), F.count(F.lit(1)).alias("extra"))
             .select("user_id", vector_to_array("_mean").alias("user_vector"), "extra")
         )
-        items = self.vectors.select("item_id", vector_to_array("unit").alias("item_vector"))
-        return top_items(users, items, top_n, pairs)
+
+    def item_vectors(self) -> DataFrame:
+        return self.vectors.select("item_id", vector_to_array("unit").alias("item_vector"))
+
+    def recommend(self, likes: DataFrame, top_n: int = 10) -> DataFrame:
+        """Top items for every user in ``likes (user_id, item_id)``; liked items score -1."""
+        pairs = likes.select("user_id", "item_id").distinct()
+        return top_items(self.profiles(pairs), self.item_vectors(), top_n, pairs)
 
     def save(self, path: str) -> None:
         self.vectors.select(
@@ -271,13 +296,16 @@ def blend(
 
 
 class HybridRecommender:
-    """Blends both recommenders over each side's top ``depth`` items, all of them if None."""
+    """Blends both recommenders over all items.
+
+    A blended score is one dot product: of the user's factors and mean liked vector, weighted and put end
+    to end, with the item's factors and unit vector. So users are scored in place, as for either list alone,
+    and neither list is built. Liked items, whose content score is -1, are scored by pair.
+    """
 
     def __init__(
-        self, features: Sequence[str], k: int = 50,
-        collaborative_weight: float = 0.6, content_weight: float = 0.4, depth: int | None = None,
+        self, features: Sequence[str], k: int = 50, collaborative_weight: float = 0.6, content_weight: float = 0.4
     ):
-        self.depth = depth
         self.svd = SvdRecommender(k)
         self.content = ContentRecommender(features)
         self.weights = (collaborative_weight, content_weight)
@@ -288,13 +316,31 @@ class HybridRecommender:
         return self
 
     def recommend(self, rating_rows: DataFrame, top_n: int = 10) -> DataFrame:
-        depth = self.depth or max(len(self.svd.items), self.content.vectors.count())
-        return blend(
-            self.svd.recommend(rating_rows, depth),
-            self.content.recommend(rating_rows, depth),
-            top_n,
-            *self.weights,
+        collaborative, content = self.weights
+        pairs = rating_rows.select("user_id", "item_id").distinct()
+        factors = _stored(self.svd.item_factors().select("item_id", F.col("item_vector").alias("_cf")), "items")
+        units = _stored(self.content.item_vectors().select("item_id", F.col("item_vector").alias("_content")), "items")
+        widths = [(t.agg(F.max(F.size(c))).first()[0] or 0) for t, c in ((factors, "_cf"), (units, "_content"))]
+
+        def joined(cf: DataFrame, other: DataFrame, key: str, *more: Column) -> DataFrame:
+            """Both sides' vectors end to end; a side that is missing counts as zeros."""
+            sides = [F.coalesce(c, F.array_repeat(F.lit(0.0), w)) for c, w in zip(("_cf", "_content"), widths)]
+            return cf.join(other, key, "full_outer").select(key, F.concat(*sides).alias("_v"), *more)
+
+        scaled = lambda c, w: F.transform(c, lambda x: x * w)
+        by_factor = self.svd.user_factors(rating_rows).select("user_id", scaled("user_vector", collaborative).alias("_cf"))
+        by_taste = self.content.profiles(pairs).select("user_id", scaled("user_vector", content).alias("_content"), "extra")
+        users = joined(by_factor, by_taste, "user_id", F.coalesce("extra", F.lit(0)).alias("extra"))
+        items = joined(factors, units, "item_id").withColumnRenamed("_v", "item_vector")
+        # What a liked item with features scores: its collaborative part, and -1 for its content.
+        part = F.aggregate(F.zip_with("_u", "_cf", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+        liked = (
+            pairs.join(units.select("item_id"), "item_id")
+            .join(factors, "item_id", "left")
+            .join(by_factor.select("user_id", F.col("_cf").alias("_u")), "user_id", "left")
+            .select("user_id", "item_id", (F.coalesce(part, F.lit(0.0)) - content).alias("score"))
         )
+        return top_items(users.withColumnRenamed("_v", "user_vector"), items, top_n, liked)
 
     def recommendations(self, rating_rows: DataFrame, top_n: int = 10) -> DataFrame:
         """One row per user: ranked items with scores, and the algorithm's name."""
