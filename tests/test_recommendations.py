@@ -77,3 +77,28 @@ def test_nobody_shares_enough(spark):
     table = affinity(spark, {"a": {"x": 1.0, "y": 1.0}, "b": {"x": 0.5, "z": 1.0}, "c": {"q": 1.0}})
     assert cf.recommendation_candidates(table).count() == 0
     assert cf.user_similarity(table).count() == 0
+
+
+def test_thousands_of_destinations_and_no_two_users_alike(spark):
+    rng = random.Random(21)
+    weights = {}
+    for i in range(1500):
+        places = {min(4999, int(rng.paretovariate(0.35))) for _ in range(rng.randint(3, 9))}
+        weights[f"u{i}"] = {f"d{p}": rng.choice([0.5, 1.0]) for p in places}
+    assert len({tuple(sorted(w)) for w in weights.values()}) > 1200
+    want, similar = brute_force(weights)
+    table = affinity(spark, weights)
+    got = {
+        (r["user_id"], r["destination"]): (r["raw_score"], r["supporting_users"])
+        for r in cf.recommendation_candidates(table, 2, 200).collect()
+    }
+    assert got == want
+    stats = {r["user_id"]: (r["similar_users"], r["similarity_total"]) for r in cf.user_similarity(table).collect()}
+    assert stats == similar
+
+
+def test_the_plan_has_few_shuffles(spark):
+    table = affinity(spark, random_weights(1, 20, 6, 4))
+    ranked = cf.rank_candidates(cf.recommendation_candidates(table), "2024-01-01 00:00:00")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 10

@@ -5,26 +5,34 @@ similarity is the sum of products of their weights on the shared ones. A destina
 is scored for a user by all similar users who have it.
 
 User pairs are never built. What a user contributes depends only on the *set* of
-destinations they have and their weights on it, so users are first collapsed by set
-(with map-side combine), and only sets meet sets. For one shared destination ``e``
+destinations they have and their weights on it, so users are first collapsed to sets
+and to profiles (set and weights; with map-side combine), and sets meet profiles. For one
+shared destination ``e``
 
     score(a, d) = sum over e in P of  w(a, e) * T(P, e, d)
-    T(P, e, d)  = sum over sets Q holding e and d, with |P & Q| >= min_shared,
-                  of the summed products w(b, e) * w(b, d) of the users b having set Q
-
-``T`` is worked out per destination and block of sets as matrix products inside a
-cogroup; the blocks keep every group small however popular a destination is. Users
-cost linear work; sets cost quadratic work, and there are at most 2^destinations.
+    T(P, e, d)  = sum over profiles of n users holding e and d that share enough with the
+                  set P, of  n * w(e) * w(d)
+
+Sets and profiles meet through an inverted index with prefix filtering: destinations are
+ordered from the rarest to the most frequent, only as many of a set's first ones are
+indexed as two sets cannot miss each other by, and a pair is worked out where it first
+meets and nowhere else. ``T`` is added up sparsely inside a cogroup; blocks keep every
+group small however popular a destination is. Users cost linear work, pairs of sets that
+share an indexed destination are what grows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripfunnel.functions.scalar import clock
 from tripfunnel.operators.rows import top_n_per_group
+from tripfunnel.session import scratch_path
 
 CONVERTED_WEIGHT = 1.0
 CLICKED_WEIGHT = 0.5
@@ -48,219 +56,218 @@ def user_destinations(clicks: DataFrame, conversions: DataFrame) -> DataFrame:
     )
 
 
-def _user_sets(user_destination: DataFrame, min_shared: int) -> DataFrame:
-    """Per user the sorted destinations and the weights in the same order.
-
-    A user with fewer destinations than ``min_shared`` is similar to nobody.
-    """
-    pairs = F.array_sort(F.collect_list(F.struct("destination", "signal_strength")))
-    return (
-        user_destination.groupBy("user_id")
-        .agg(pairs.alias("_pairs"))
-        .filter(F.size("_pairs") >= min_shared)
-        .select(
-            "user_id",
-            F.col("_pairs.destination").alias("dests"),
-            F.col("_pairs.signal_strength").alias("weights"),
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class Sets:
+    """Stored tables: ``tokens`` (token, destination), ``users`` (user_id, set, weights), ``sets`` (set, tokens)."""
+
+    tokens: DataFrame
+    users: DataFrame
+    sets: DataFrame
+
+    @staticmethod
+    def of(user_destination: DataFrame, min_shared: int) -> Sets:
+        """Destinations become tokens, the rarest first; users are collapsed to their set of tokens.
+
+        A user with fewer destinations than ``min_shared`` is similar to nobody.
+        """
+        rows = _stored(user_destination.select("user_id", "destination", "signal_strength"), "affinity")
+        counted = rows.groupBy("destination").agg(F.count(F.lit(1)).alias("_n")).orderBy("_n", "destination")
+        tokens = _stored(counted.select("destination", F.monotonically_increasing_id().alias("token")), "tokens")
+        pairs = F.array_sort(F.collect_list(F.struct("token", "signal_strength")))
+        users = _stored(
+            rows.join(tokens, "destination")
+            .groupBy("user_id")
+            .agg(pairs.alias("_pairs"))
+            .filter(F.size("_pairs") >= min_shared)
+            .select("user_id", F.col("_pairs.token").alias("tokens"), F.col("_pairs.signal_strength").alias("weights")),
+            "user-sets",
         )
-    )
+        sets = _stored(users.select("tokens").distinct().select("tokens", F.monotonically_increasing_id().alias("set")), "sets")
+        return Sets(tokens, _stored(users.join(sets, "tokens"), "users"), sets)
+
+    def profiles(self) -> DataFrame:
+        """Users of equal set and weights, and how many they are."""
+        return self.users.groupBy("set", "tokens", "weights").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _set_products(sets: DataFrame) -> DataFrame:
-    """Per destination set the number of users and, for every destination of the set,
-    the summed weight products with all destinations of the set.
+def _indexed(df: DataFrame, min_shared: int, block_size: int) -> DataFrame:
+    """A row per token of the prefix: two sets that share enough have their first shared token in both prefixes.
+
+    The tokens that come last, which are the most frequent, are in no prefix. Blocks keep a popular token's
+    rows apart; their number follows from the number of rows.
     """
-    profiles = sets.groupBy("dests", "weights").agg(F.count(F.lit(1)).alias("n"))
-    per_dest = profiles.select(
-        "dests", "weights", "n", F.posexplode("weights").alias("_at", "_weight")
-    )
-    flat = per_dest.select(
-        "dests",
-        F.get("dests", F.col("_at")).alias("dest"),
-        "n",
-        (F.col("_weight") * F.col("n")).alias("_sum"),
-        F.posexplode(F.transform("weights", lambda w: w * F.col("_weight") * F.col("n"))).alias(
-            "_pos", "_product"
-        ),
-    )
-    summed = flat.groupBy("dests", "dest", "_pos").agg(
-        F.sum("_product").alias("_product"), F.sum("n").alias("n"), F.sum("_sum").alias("_sum")
-    )
-    return summed.groupBy("dests", "dest").agg(
-        F.max("n").alias("n"),
-        F.max("_sum").alias("weight_sum"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_pos", "_product"))), lambda s: s["_product"]
-        ).alias("products"),
-    )
+    prefix = F.slice("tokens", 1, F.size("tokens") - min_shared + 1)
+    listed = df.withColumn("pivot", F.explode(prefix))
+    sizes = listed.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("int").alias("blocks"))
+    return listed.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("tokens"), F.col("blocks")).cast("int"))
 
 
-def _blocked(products: DataFrame, block_size: int) -> tuple[DataFrame, DataFrame]:
-    """Left and right side of the set-meets-set products, cut into blocks.
+class _Members:
+    """Which rows of a block hold a token, and where in their list."""
 
-    The number of blocks of a destination follows from the number of sets holding it,
-    so a destination that everybody has gets many small groups.
-    """
-    sizes = products.groupBy("dest").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("int").alias("blocks")
-    )
-    placed = products.join(sizes, "dest").withColumn(
-        "_block", F.pmod(F.xxhash64("dests"), F.col("blocks")).cast("int")
-    )
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = placed.select("dest", "dests", F.col("_block").alias("left_block"), others.alias("right_block"))
-    right = placed.select(
-        "dest",
-        "dests",
-        "n",
-        "weight_sum",
-        "products",
-        others.alias("left_block"),
-        F.col("_block").alias("right_block"),
-    )
-    return left, right
+    def __init__(self, lists):
+        lengths = np.array([len(x) for x in lists], dtype=np.int64)
+        flat = np.concatenate(lists) if len(lists) else np.zeros(0, dtype=np.int64)
+        order = np.argsort(flat, kind="stable")
+        self.rows = np.repeat(np.arange(len(lists)), lengths)[order]
+        self.flat_at = order
+        self.tokens, starts = np.unique(flat[order], return_index=True)
+        self.starts = np.append(starts, len(flat))
+
+    def spans(self):
+        """Token by token the rows that hold it, and their places in the flattened lists."""
+        for token, a, b in zip(self.tokens.tolist(), self.starts[:-1].tolist(), self.starts[1:].tolist()):
+            yield token, self.rows[a:b], self.flat_at[a:b]
+
+
+_MEETINGS = "set long, token long, destinations array<long>, strengths array<double>, total double"
+#: Stands for a token in the rows that count users.
+_USERS = -1
 
 
 def _meet(min_shared: int):
-    """The cogrouped product of two blocks of sets that all hold one destination."""
+    """One block of sets and one of profiles that all have one token in their prefix.
 
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-        import pandas as pd
+    All that is worked out grows with the tokens that the rows hold, not with the catalogue.
+    """
 
-        columns = (
-            "dest", "dests", "destinations", "strengths", "supporters", "total_strength",
-            "total_supporters",
-        )
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        names = ("set", "token", "destinations", "strengths", "total")
         if left.empty or right.empty:
-            return pd.DataFrame({c: pd.Series(dtype=object) for c in columns})
-        pivot = left["dest"].iloc[0]
-        held = [d for dests in (*left["dests"], *right["r_dests"]) for d in dests]
-        names = sorted(set(held))
-        position = {name: i for i, name in enumerate(names)}
-
-        def members(sets):
-            matrix = np.zeros((len(sets), len(names)), dtype=np.float32)
-            for row, dests in enumerate(sets):
-                matrix[row, [position[d] for d in dests]] = 1.0
-            return matrix
-
-        ours, theirs = members(left["dests"]), members(right["r_dests"])
-        similar = (ours @ theirs.T) >= min_shared
-        weights = np.zeros(theirs.shape)
-        for row, (dests, products) in enumerate(zip(right["r_dests"], right["products"])):
-            weights[row, [position[d] for d in dests]] = products
-        strength = similar @ weights
-        # A pair of sets meets in every destination it shares; its users are counted
-        # in the first one only.
-        before = position[pivot]
-        first = similar & ((ours[:, :before] @ theirs[:, :before].T) == 0)
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in names})
+        pivot = left["pivot"].iloc[0]
+        ours, theirs = _Members(left["tokens"].to_numpy()), _Members(right["r_tokens"].to_numpy())
         users = right["n"].to_numpy(dtype=np.float64)
-        supporters = first @ (theirs * users[:, None])
-        # One row per set, with its destinations not held by the set side by side.
-        row, col = np.nonzero((strength > 0) & (ours == 0))
-        cuts = np.searchsorted(row, np.arange(1, len(left)))
-        return pd.DataFrame(
-            {
-                "dest": pivot,
-                "dests": left["dests"].to_numpy(),
-                "destinations": np.split(np.array(names, dtype=object)[col], cuts),
-                "strengths": np.split(strength[row, col], cuts),
-                "supporters": np.split(np.rint(supporters[row, col]).astype("int64"), cuts),
-                "total_strength": similar @ right["weight_sum"].to_numpy(dtype=np.float64),
-                "total_supporters": np.rint(first @ users).astype("int64"),
-            }
-        )
+        weights = np.concatenate(right["weights"].to_numpy())
+        by_token = {token: (rows, at) for token, rows, at in theirs.spans()}
+        shared = np.zeros((len(left), len(right)), dtype=np.int32)
+        earlier = np.zeros(shared.shape, dtype=bool)
+        common = [(token, rows, *by_token[token]) for token, rows, _ in ours.spans() if token in by_token]
+        for token, rows, others, _ in common:
+            cell = np.ix_(rows, others)
+            shared[cell] += 1
+            if token < pivot:
+                earlier[cell] = True
+        # A pair meets at its first shared token and nowhere else.
+        similar = (shared >= min_shared) & ~earlier
+        holds = {token: rows for token, rows, _ in ours.spans()}
+        owner = np.repeat(np.arange(len(right)), [len(x) for x in right["r_tokens"]])
+        flat = np.concatenate(right["r_tokens"].to_numpy())
+        sets = left["set"].to_numpy()
+        out: list[tuple] = []
+
+        def offer(token: int, rows: np.ndarray, support: np.ndarray, columns: np.ndarray, values: np.ndarray) -> None:
+            """``support`` (rows x columns) times the columns' values, for each destination a row does not hold."""
+            # Entries of the chosen profiles, by destination.
+            inside = np.isin(owner, columns)
+            place = np.searchsorted(columns, owner[inside])
+            dest, value = flat[inside], values[inside]
+            order = np.argsort(dest, kind="stable")
+            dest, place, value = dest[order], place[order], value[order]
+            found, starts = np.unique(dest, return_index=True)
+            score = np.empty((len(rows), len(found)))
+            for i, (a, b) in enumerate(zip(starts, np.append(starts[1:], len(dest)))):
+                score[:, i] = support[:, place[a:b]] @ value[a:b]
+                score[np.isin(rows, holds.get(int(found[i]), rows[:0])), i] = 0.0
+            total = support.sum(axis=1)
+            for row, line, whole in zip(rows, score, total):
+                if whole > 0:
+                    at = np.flatnonzero(line)
+                    out.append((sets[row], token, found[at], line[at], whole))
+
+        everyone = np.arange(len(left))
+        some = np.flatnonzero(similar.any(axis=0))
+        if len(some):
+            offer(_USERS, everyone, similar[:, some] * users[some], some, np.ones(len(flat)))
+        for token, rows, others, at in common:
+            support = similar[np.ix_(rows, others)] * (users[others] * weights[at])
+            if support.any():
+                offer(token, rows, support, others, weights)
+        return pd.DataFrame(out, columns=names)
 
     return meet
 
 
-def set_meetings(sets: DataFrame, min_shared: int, block_size: int = 2048) -> DataFrame:
-    """Per set, shared destination ``dest`` and block of other sets: ``T(P, e, d)`` and the
-    users behind it for the destinations ``d`` the set does not hold, and the totals over
-    all similar users (summed weight on ``dest``; users first met there).
+def set_meetings(sets: Sets, min_shared: int, block_size: int = 1024) -> DataFrame:
+    """Per set, token and block: how strongly destinations the set does not hold are tied to that token by
+    similar users, and the total weight of these users on it; under token -1 the users themselves are counted.
     """
-    left, right = _blocked(_set_products(sets), block_size)
-    keys = ["dest", "left_block", "right_block"]
-    # Both sides stem from one table; renamed copies keep the cogroup unambiguous.
-    right = right.select(
-        *[F.col(k).alias(f"r_{k}") for k in keys],
-        F.col("dests").alias("r_dests"),
-        "n",
-        "weight_sum",
-        "products",
-    )
-    left = left.select(*[F.col(k).alias(k) for k in keys], F.col("dests").alias("dests"))
-    return left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInPandas(
-        _meet(min_shared),
-        "dest string, dests array<string>, destinations array<string>, strengths array<double>, "
-        "supporters array<long>, total_strength double, total_supporters long",
+    left = _indexed(sets.sets, min_shared, block_size).select("pivot", "block", "blocks", "set", "tokens")
+    right = _indexed(sets.profiles(), min_shared, block_size)
+    others = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    blocks = lambda df, name: df.select("pivot", F.col("blocks").alias(name)).distinct()
+    left, right = _stored(left, "left"), _stored(right, "right")
+    mine = left.join(blocks(right, "theirs"), "pivot").select("pivot", F.col("block").alias("a"), others("theirs").alias("b"), "set", "tokens")
+    met = right.join(blocks(left, "theirs"), "pivot").select(
+        F.col("pivot").alias("r_pivot"), others("theirs").alias("r_a"), F.col("block").alias("r_b"),
+        F.col("tokens").alias("r_tokens"), "weights", "n",
     )
+    pairs = mine.groupBy("pivot", "a", "b").cogroup(met.groupBy("r_pivot", "r_a", "r_b"))
+    return _stored(pairs.applyInPandas(_meet(min_shared), _MEETINGS), "meetings")
 
 
-def _by_dest(value: str):
-    """Map destination → value; one entry per destination of a set, so small."""
-    return F.map_from_entries(F.collect_list(F.struct("dest", value)))
+def _by_token(value: str):
+    """Map token → value; one entry per destination of a set, so small."""
+    return F.map_from_entries(F.collect_list(F.struct("token", value)))
 
 
 def _weighted(strengths: str):
     """Sum of the user's weights times the strength of each of their destinations."""
     return F.aggregate(
-        F.arrays_zip("dests", "weights"),
+        F.arrays_zip("tokens", "weights"),
         F.lit(0.0),
         lambda acc, p: acc
-        + p["weights"] * F.coalesce(F.try_element_at(F.col(strengths), p["dests"]), F.lit(0.0)),
+        + p["weights"] * F.coalesce(F.try_element_at(F.col(strengths), p["tokens"]), F.lit(0.0)),
     )
 
 
 def recommendation_candidates(
-    user_destination: DataFrame, min_shared: int = 2, block_size: int = 2048
+    user_destination: DataFrame, min_shared: int = 2, block_size: int = 1024
 ) -> DataFrame:
     """``(user_id, destination, raw_score, supporting_users)`` for unseen destinations."""
-    sets = _user_sets(user_destination, min_shared)
-    scores = F.arrays_zip(
-        F.col("destinations").alias("destination"),
-        F.col("strengths").alias("strength"),
-        F.col("supporters").alias("supporters"),
-    )
-    strengths = (
+    sets = Sets.of(user_destination, min_shared)
+    scores = F.arrays_zip(F.col("destinations").alias("candidate"), F.col("strengths").alias("strength"))
+    per_set = (
         set_meetings(sets, min_shared, block_size)
-        .select("dests", "dest", F.inline_outer(scores))
-        .filter(F.col("destination").isNotNull())
-        .groupBy("dests", "dest", "destination")
-        .agg(F.sum("strength").alias("strength"), F.sum("supporters").alias("supporters"))
-    )
-    per_set = strengths.groupBy("dests", "destination").agg(
-        F.sum("supporters").alias("supporting_users"), _by_dest("strength").alias("_strengths")
+        .select("set", "token", F.inline(scores))
+        .groupBy("set", "candidate", "token")
+        .agg(F.sum("strength").alias("strength"))
+        .groupBy("set", "candidate")
+        .agg(_by_token("strength").alias("_strengths"))
     )
-    return sets.join(per_set, "dests").select(
-        "user_id", "destination", _weighted("_strengths").alias("raw_score"), "supporting_users"
+    scored = sets.users.join(per_set, "set").select(
+        "user_id",
+        F.col("candidate").alias("token"),
+        _weighted("_strengths").alias("raw_score"),
+        F.round(F.element_at("_strengths", F.lit(_USERS).cast("long"))).cast("long").alias("supporting_users"),
     )
+    return scored.join(sets.tokens, "token").select("user_id", "destination", "raw_score", "supporting_users")
 
 
 def user_similarity(
-    user_destination: DataFrame, min_shared: int = 2, block_size: int = 2048
+    user_destination: DataFrame, min_shared: int = 2, block_size: int = 1024
 ) -> DataFrame:
     """How many users are similar to each user, and their summed similarity.
 
     The pair list itself grows with users² and is not offered; both sums follow from
-    the set products. The user's meeting with themselves is taken out again.
+    the sets' meetings. The user's meeting with themselves is taken out again.
     """
-    sets = _user_sets(user_destination, min_shared)
-    totals = (
-        set_meetings(sets, min_shared, block_size)
-        .groupBy("dests", "dest")
-        .agg(F.sum("total_strength").alias("strength"), F.sum("total_supporters").alias("supporters"))
-    )
-    per_set = totals.groupBy("dests").agg(
-        F.sum("supporters").alias("_met"), _by_dest("strength").alias("_strengths")
-    )
+    sets = Sets.of(user_destination, min_shared)
+    totals = set_meetings(sets, min_shared, block_size).groupBy("set", "token").agg(F.sum("total").alias("strength"))
+    per_set = totals.groupBy("set").agg(_by_token("strength").alias("_strengths"))
     own = F.aggregate("weights", F.lit(0.0), lambda acc, w: acc + w * w)
+    met = F.round(F.element_at("_strengths", F.lit(_USERS).cast("long"))).cast("long")
     return (
-        sets.join(per_set, "dests")
+        sets.users.join(per_set, "set")
         .select(
             "user_id",
-            (F.col("_met") - 1).alias("similar_users"),
+            (met - 1).alias("similar_users"),
             (_weighted("_strengths") - own).alias("similarity_total"),
         )
         .filter(F.col("similar_users") > 0)
@@ -298,7 +305,7 @@ def recommend_user_cf(
     min_shared: int = 2,
     min_score: float = 1.0,
     top_n: int = 10,
-    block_size: int = 2048,
+    block_size: int = 1024,
 ) -> DataFrame:
     """The recommendation mart."""
     candidates = recommendation_candidates(
