@@ -171,15 +171,24 @@ def _meet(min_shared: int):
             order = np.argsort(dest, kind="stable")
             dest, place, value = dest[order], place[order], value[order]
             found, starts = np.unique(dest, return_index=True)
-            score = np.empty((len(rows), len(found)))
-            for i, (a, b) in enumerate(zip(starts, np.append(starts[1:], len(dest)))):
-                score[:, i] = support[:, place[a:b]] @ value[a:b]
-                score[np.isin(rows, holds.get(int(found[i]), rows[:0])), i] = 0.0
+            ends = np.append(starts[1:], len(dest))
+            if 4 * len(dest) > len(columns) * len(found):  # well filled: one product
+                table = np.zeros((len(columns), len(found)))
+                table[place, np.repeat(np.arange(len(found)), ends - starts)] = value
+                score = support @ table
+            else:
+                score = np.empty((len(rows), len(found)))
+                for i, (a, b) in enumerate(zip(starts, ends)):
+                    score[:, i] = support[:, place[a:b]] @ value[a:b]
+            for i, destination in enumerate(found.tolist()):
+                held = holds.get(destination)
+                if held is not None:
+                    score[np.searchsorted(rows, held[np.isin(held, rows)]), i] = 0.0
             total = support.sum(axis=1)
-            for row, line, whole in zip(rows, score, total):
-                if whole > 0:
-                    at = np.flatnonzero(line)
-                    out.append((sets[row], token, found[at], line[at], whole))
+            row, col = np.nonzero(score)
+            cuts = np.searchsorted(row, np.arange(1, len(rows)))
+            parts = zip(rows, np.split(found[col], cuts), np.split(score[row, col], cuts), total)
+            out.extend((sets[r], token, dests, line, whole) for r, dests, line, whole in parts if whole > 0)
 
         everyone = np.arange(len(left))
         some = np.flatnonzero(similar.any(axis=0))
