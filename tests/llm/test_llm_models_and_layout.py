@@ -63,6 +63,36 @@ def test_prior_estimate_and_non_negative_risk():
     assert (model.scores(good) > 0.5).mean() > 0.98 and (model.scores(bad) < 0.5).mean() > 0.95
 
 
+def test_risk_gradient_equals_differences_of_the_risk():
+    """The gradient against the risk as its formula says, on both sides of the turning point."""
+    pick = np.random.default_rng(12)
+    p, u = pick.normal(0.4, 1, (60, 5)), pick.normal(-0.2, 1, (90, 5))
+    for prior in (0.3, 0.95):
+        w, b = pick.normal(size=5), 0.3
+        up = lambda x, w, b: np.logaddexp(0, -(x @ w + b)).mean()
+        down = lambda x, w, b: np.logaddexp(0, x @ w + b).mean()
+        rest = lambda w, b: down(u, w, b) - prior * down(p, w, b)
+        sign = 1.0 if rest(w, b) >= 0 else -1.0
+        risk = lambda v: prior * up(p, v[:5], v[5]) + sign * rest(v[:5], v[5])
+        v = np.append(w, b)
+        slope = [(risk(v + h) - risk(v - h)) / 2e-6 for h in np.eye(6) * 1e-6]
+        assert pu_quality.risk_gradient(p, u, prior, w, b) == pytest.approx(slope, abs=1e-6)
+
+
+def test_moments_and_prior_cover_all_rows(spark, small, monkeypatch):
+    """A sample of 30 rows teaches, yet the means, deviations and prior are those of all."""
+    marks = queries.labels(spark, SMALL).filter("quality = 1").select("doc_id")
+    model = pu_quality.fit(small, marks, F.lit(True), most=30)
+    rows = pu_quality.features([r["text"] for r in small.collect()]).astype(np.float64)
+    assert model.mean == pytest.approx(rows.mean(axis=0), abs=1e-9)
+    assert model.scale == pytest.approx(rows.std(axis=0) + 1e-3, abs=1e-6)
+    seen = []
+    whole = pu_quality.estimate_prior
+    monkeypatch.setattr(pu_quality, "estimate_prior", lambda p, u: seen.append((p.sum(), u.sum())) or whole(p, u))
+    pu_quality.fit(small, marks, F.lit(True), most=30)
+    assert seen == [(small.join(marks.distinct(), "doc_id").count(), small.count())]
+
+
 def test_kneser_ney_is_a_distribution():
     pick = random.Random(4)
     kinds = [[" ".join(pick.choice(words) for _ in range(30)) for _ in range(80)] for words in ("ab c d e".split(), "ab c f".split())]
@@ -158,6 +188,8 @@ def test_packing(spark, small, odd, none):
         chosen = packing.choose_boundaries(distinct, [pieces.count(x) for x in distinct], options.get("buckets", 8))
         assert {r["boundary"] for r in rows} == set(chosen)
     assert packing.pack(none).count() == 0
+    named = odd.select(F.concat(F.lit("id "), F.col("doc_id").cast("string")).alias("doc_id"), "text")
+    check_packed(packing.pack(named).collect(), [(r["doc_id"], words_of(r["text"])) for r in named.collect()], 16384, 2048)
 
 
 def test_sharding(spark, small, odd, none, tmp_path):

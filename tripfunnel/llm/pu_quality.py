@@ -9,7 +9,8 @@ falls below zero, its gradient is turned around, so that a flexible model cannot
 
 Features are language-blind: how often classes of characters (lower, upper, digit, space, line end,
 each kind of mark, other) follow each other, and how much of a text repeats itself. They are computed
-over whole texts. The fit runs on at most ``most`` rows of each kind, chosen by hash of the id.
+over whole texts. Means, deviations and the class prior come from all rows that may teach; gradient
+steps use at most ``most`` rows of each kind, chosen by hash of the id.
 
 Defined cases: null, empty and blank texts have all-zero shares and get the score of that point; rows
 without an id are never learned from; equal rows get equal scores; without positives or unlabelled
@@ -21,11 +22,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripfunnel.llm.common import BLANK, annotate, free_name, sample_by_hash, sigmoid, spans
+from tripfunnel.llm.common import BLANK, annotate, free_name, sample_by_hash, sigmoid, spans, stored
 
 #: Character classes; every byte has one, and bytes of longer characters are one class.
 CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r\x0b\x0c", "\n",
@@ -120,54 +122,69 @@ def _gradients(x: np.ndarray, w: np.ndarray, b: float) -> tuple[np.ndarray, np.n
     return as_positive, as_negative, float(np.logaddexp(0.0, z).mean())
 
 
+#: Logits of the first classifier are counted in hundredths, from -60 to 60.
+BINS, MIDDLE = 12_001, 6_000
+
+
+def binned(logits: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(logits * 100) + MIDDLE, 0, BINS - 1).astype(np.int64)
+
+
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, error: float = 0.1) -> float:
-    """Share of positives among the unlabelled, from scores of either.
+    """Share of positives among the unlabelled, from how many rows of either have a logit in each bin.
 
     For every threshold the share is at most (unlabelled above) / (positives above); a bound on the
     sampling error is added to the first before the least ratio is chosen, and left out of the result.
     """
-    steps = np.unique(np.quantile(positive, np.linspace(0.0, 0.95, 96)))
-    p = 1.0 - np.searchsorted(np.sort(positive), steps) / len(positive)
-    u = 1.0 - np.searchsorted(np.sort(unlabelled), steps) / len(unlabelled)
-    slack = np.sqrt(np.log(4 / error) / 2) * (len(positive) ** -0.5 + len(unlabelled) ** -0.5)
+    total = positive.sum(), unlabelled.sum()
+    below = np.cumsum(positive) / total[0]
+    steps = np.unique(np.searchsorted(below, np.linspace(0.0, 0.95, 96), side="right"))
+    p, u = (np.cumsum(counts[::-1])[::-1][steps] / n for counts, n in zip((positive, unlabelled), total))
+    slack = np.sqrt(np.log(4 / error) / 2) * (total[0] ** -0.5 + total[1] ** -0.5)
     best = np.argmin((u + slack) / np.maximum(p, 1e-9))
     return float(np.clip(u[best] / p[best], 0.01, 0.99))
 
 
-def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay: float = 1e-4) -> Model:
-    """The non-negative PU fit on feature rows."""
-    if not len(positive) or not len(unlabelled):
-        zero = np.zeros(SIZE)
-        return Model(zero, zero + 1, zero, 0.0, 0.5)
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
-    p, u = standard(positive, mean, scale).astype(np.float64), standard(unlabelled, mean, scale).astype(np.float64)
+def fit_plain(p: np.ndarray, u: np.ndarray, steps: int, decay: float) -> tuple[np.ndarray, float]:
+    """The first classifier: positive against unlabelled."""
 
-    def plain(w, b):
+    def gradient(w, b):
         return _gradients(p, w, b)[0] + _gradients(u, w, b)[1] + np.append(10 * decay * w, 0.0)
 
-    # Scores for the prior come from the half that was not fitted.
-    halves = []
-    for out in (0, 1):
-        a, c = p[np.arange(len(p)) % 2 != out], u[np.arange(len(u)) % 2 != out]
-        if not len(a) or not len(c):
-            a, c = p, u
+    return _descend(gradient, p.shape[1], steps // 3, 0.05)
+
+
+def risk_gradient(p: np.ndarray, u: np.ndarray, prior: float, w: np.ndarray, b: float) -> np.ndarray:
+    """Gradient of the non-negative risk; where its negative part is below zero, that part's is turned around."""
+    p_up, p_down, p_loss = _gradients(p, w, b)
+    _, u_down, u_loss = _gradients(u, w, b)
+    sign = 1.0 if u_loss - prior * p_loss >= 0 else -1.0
+    return prior * p_up + sign * (u_down - prior * p_down)
 
-        def half(w, b, a=a, c=c):
-            return _gradients(a, w, b)[0] + _gradients(c, w, b)[1] + np.append(10 * decay * w, 0.0)
 
-        w, b = _descend(half, p.shape[1], steps // 3, 0.05)
-        halves.append((p[out::2] @ w + b, u[out::2] @ w + b))
-    prior = estimate_prior(*[np.concatenate(x) for x in zip(*halves)])
+def fit_non_negative(p: np.ndarray, u: np.ndarray, prior: float, steps: int, decay: float) -> tuple[np.ndarray, float]:
+    return _descend(lambda w, b: risk_gradient(p, u, prior, w, b) + np.append(decay * w, 0.0), p.shape[1], steps, 0.05)
 
-    def non_negative(w, b):
-        p_up, p_down, p_loss = _gradients(p, w, b)
-        _, u_down, u_loss = _gradients(u, w, b)
-        rest = u_down - prior * p_down
-        sign = 1.0 if u_loss - prior * p_loss >= 0 else -1.0
-        return prior * p_up + sign * rest + np.append(decay * w, 0.0)
 
-    w, b = _descend(non_negative, p.shape[1], steps, 0.05)
-    return Model(mean, scale, w, b, prior)
+def untaught() -> Model:
+    zero = np.zeros(SIZE)
+    return Model(zero, zero + 1, zero, 0.0, 0.5)
+
+
+def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay: float = 1e-4) -> Model:
+    """The non-negative PU fit on feature rows that are all in memory."""
+    if not len(positive) or not len(unlabelled):
+        return untaught()
+    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
+    p, u = standard(positive, mean, scale).astype(np.float64), standard(unlabelled, mean, scale).astype(np.float64)
+    counts = np.zeros((2, BINS), dtype=np.int64)
+    for out in (0, 1):  # scores for the prior come from the half that was not fitted
+        a, c = p[np.arange(len(p)) % 2 != out], u[np.arange(len(u)) % 2 != out]
+        w, b = fit_plain(a if len(a) else p, c if len(c) else u, steps, decay)
+        for kind, rows in enumerate((p, u)):
+            counts[kind] += np.bincount(binned(rows[out::2] @ w + b), minlength=BINS)
+    prior = estimate_prior(*counts)
+    return Model(mean, scale, *fit_non_negative(p, u, prior, steps, decay), prior)
 
 
 def training_rows(
@@ -179,20 +196,84 @@ def training_rows(
     return good.withColumn("positive", F.lit(True)).unionByName(web.withColumn("positive", F.lit(False)))
 
 
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column(batch.schema.get_field_index("f"))
+    return column.flatten().to_numpy().reshape(batch.num_rows, SIZE).astype(np.float64)
+
+
+def _moments(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of every feature over all rows; one row of sums leaves each task."""
+
+    def run(batches):
+        sums = np.zeros(2 * SIZE + 1)
+        for batch in batches:
+            rows = _matrix(batch)
+            sums += np.concatenate([rows.sum(axis=0), (rows * rows).sum(axis=0), [len(rows)]])
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], names=["s"])
+
+    parts = found.select("f").mapInArrow(run, "s array<double>").select(F.posexplode("s").alias("at", "x"))
+    sums = np.array([r["x"] for r in parts.groupBy("at").agg(F.sum("x").alias("x")).orderBy("at").collect()])
+    n = max(sums[-1], 1.0) if len(sums) else 1.0
+    sums = sums if len(sums) else np.zeros(2 * SIZE + 1)
+    mean = sums[:SIZE] / n
+    return mean, np.sqrt(np.maximum(sums[SIZE:-1] / n - mean * mean, 0.0)) + 1e-3
+
+
+def _bins(mean: np.ndarray, scale: np.ndarray, halves: list[tuple[np.ndarray, float]]):
+    """The bin of every row's logit under the classifier that its half has not taught."""
+
+    def run(batches):
+        for batch in batches:
+            rows = standard(_matrix(batch), mean, scale)
+            half = batch.column(batch.schema.get_field_index("half")).to_numpy()
+            logits = np.where(half == 0, *[rows @ w + b for w, b in halves])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(binned(logits), pa.int64())], names=["id", "bin"])
+
+    return run
+
+
 def fit(
     docs: DataFrame, positives: DataFrame, usable: Column, text: str = "text", id_column: str = "doc_id", most: int = 8000,
+    steps: int = 600, decay: float = 1e-4,
 ) -> Model:
-    """The model from trusted ids in ``positives`` and unlabelled rows of ``docs``; ``usable`` says which ids may teach."""
+    """The model from trusted ids in ``positives`` and unlabelled rows of ``docs``; ``usable`` says which ids may teach.
+
+    Features of all usable rows are computed once and stored; their means, deviations and the logits behind the
+    prior cover all of them. Gradient steps use at most ``most`` rows of each kind.
+    """
     usable = usable & F.col(id_column).isNotNull()
-    chosen = training_rows(docs, positives, id_column, usable, most)
-    # At most 2 * most ids, so the broadcast is bounded; the texts are not shuffled.
-    rows = docs.select(id_column, text).join(F.broadcast(chosen), id_column)
     kind = T.ArrayType(T.FloatType())
-    found = annotate(rows, text, lambda: lambda texts: list(features(texts)), "f", kind).select(id_column, "positive", "f")
-    table = found.dropDuplicates([id_column, "positive"]).orderBy(id_column).toArrow()
-    rows = np.array(table.column("f").to_pylist(), dtype=np.float32).reshape(-1, SIZE)
+    texts = docs.filter(usable).select(id_column, text)
+    id_type = docs.schema[id_column].dataType
+    half = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit("half")), F.lit(2)).cast("int")
+    found = stored(
+        annotate(texts, text, lambda: lambda texts: list(features(texts)), "f", kind).select(
+            F.col(id_column).alias("id"), half.alias("half"), "f"
+        ),
+        "features",
+    )
+    # At most 2 * most ids, so the broadcast is bounded.
+    chosen = training_rows(docs, positives, id_column, usable, most).withColumnRenamed(id_column, "id")
+    table = found.join(F.broadcast(chosen), "id").dropDuplicates(["id", "positive"]).orderBy("id").toArrow()
     positive = np.array(table.column("positive").to_pylist(), dtype=bool)
-    return fit_rows(rows[positive], rows[~positive])
+    if not positive.any() or positive.all():
+        return untaught()
+    mean, scale = _moments(found)
+    rows = standard(np.array(table.column("f").to_pylist(), dtype=np.float64).reshape(-1, SIZE), mean, scale)
+    parity = table.column("half").to_numpy()
+    halves = []
+    for out in (0, 1):
+        a, c = rows[positive & (parity != out)], rows[~positive & (parity != out)]
+        halves.append(fit_plain(a if len(a) else rows[positive], c if len(c) else rows[~positive], steps, decay))
+    schema = T.StructType([T.StructField("id", id_type), T.StructField("bin", T.LongType())])
+    scored = stored(found.select("id", "half", "f").mapInArrow(_bins(mean, scale, halves), schema), "logits")
+    trusted = positives.select(F.col(id_column).alias("id")).distinct()
+    counts = np.zeros((2, BINS), dtype=np.int64)
+    for row, logits in enumerate((scored.join(trusted, "id", "left_semi"), scored)):
+        for r in logits.groupBy("bin").count().collect():  # at most BINS rows
+            counts[row, r["bin"]] = r["count"]
+    prior = estimate_prior(*counts)
+    return Model(mean, scale, *fit_non_negative(rows[positive], rows[~positive], prior, steps, decay), prior)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str]:
