@@ -28,6 +28,39 @@ def test_pairs_tell_what_words_do_not():
     assert (toxic >= 0.7).mean() > 0.9 and (ordinary < 0.7).mean() > 0.9
 
 
+def test_a_short_passage_in_a_very_long_text():
+    """Some insults in one place among 50,000 clean words are found; clean texts of that length are not."""
+    pick = random.Random(6)
+    insults = ["orre", "vask", "plim", "drot", "quez"]
+    plain = [f"{w}{pick.randrange(40)}" for w in PLAIN for _ in range(12)]
+
+    def clean(n):
+        return [pick.choice(plain) for _ in range(n)]
+
+    def toxic(n):
+        w = clean(n)
+        for _ in range(max(3, n // 40)):
+            w.insert(pick.randrange(len(w)), pick.choice(insults))
+        return w
+
+    join = " ".join
+    model = toxicity.fit_texts([join(toxic(pick.randrange(40, 400))) for _ in range(150)], [join(clean(pick.randrange(40, 400))) for _ in range(600)], 0.2)
+    whole = [clean(50_000) for _ in range(8)]
+    at = [pick.randrange(50_000) for _ in whole]
+    planted = [join(w[:i] + toxic(120) + w[i:]) for w, i in zip(whole, at)]
+    assert (model.scores(planted) >= 0.7).all() and (model.scores([join(w) for w in whole]) < 0.7).all()
+
+
+def test_strongest_window_by_definition():
+    pick = np.random.default_rng(3)
+    for n in (1, 3, 127, 128, 129, 256, 257, 1000):
+        v = pick.normal(size=n)
+        padded = np.zeros(max(2, -(-n // 128)) * 128)
+        padded[:n] = v
+        best = max(np.sort(padded[s : s + 256])[-4:].mean() for s in range(0, len(padded) - 128, 128))
+        assert abs(toxicity.strongest_window(v) - best) < 1e-12
+
+
 def test_repetition_inside_a_text_counts_once():
     once, often = ["orre orre and more"], ["orre " * 600 + "orre and more"]
     a, b = toxicity.learn(once, ["plain words"]), toxicity.learn(often, ["plain words"])

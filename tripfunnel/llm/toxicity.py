@@ -6,12 +6,15 @@ pooled continuation counts (in how many different contexts a word follows). An e
 either class falls back on the same shared probability in both, so it hardly speaks for one of them.
 A pair counts once for each text that has it, so repetition inside one text carries no weight, with modified
 Kneser-Ney discounts for one, two and more texts. How many texts a pair needs is read from the data: of the
-powers of two, the smallest whose log loss on unseen halves lies within one standard error of the least.
+powers of two, the smallest whose log loss on unseen halves lies within one standard error of the least. So is
+the number of contexts a word needs for a count of its own: the power of two of least log loss.
 
 A text is judged by the difference of the two log-likelihoods per word: over the whole text, and over
-the ``telling`` share of its words (two at least) that speak most for toxic text, since a long text
-dilutes an insult. A logistic regression on these two, fitted on rows that the scored model has not
-seen, turns them into a probability at the labelled share of toxic text.
+the ``telling`` share of its words (two at least) that speak most for toxic text. A logistic regression on
+these two, fitted on rows that the scored model has not seen, turns them into a probability at the labelled
+share of toxic text. A long text dilutes a passage in both, so its strongest window of ``WINDOW`` words
+(half overlapping, the whole text covered; by the ``STRONGEST`` words in it) is judged by a regression of its
+own, and the larger of the two probabilities counts.
 
 The fit takes at most ``most`` labelled rows of each class, chosen by hash of the id. Scoring reads
 whole texts in place, without a shuffle.
@@ -35,6 +38,9 @@ from tripfunnel.llm.common import annotate, free_name, sample_by_hash, sigmoid,
 
 LETTERS = re.compile(r"[^\W\d_]+")
 DISCOUNT = 0.75
+WINDOW, STRONGEST = 256, 4
+#: Contexts a word needs while the pairs' limit is chosen.
+LEAST_WORD = 4
 
 
 def words(text: str | None) -> list[str]:
@@ -65,15 +71,17 @@ class Difference:
         return out
 
     def measures(self, texts: list[str | None], share: float) -> np.ndarray:
-        """Two columns: evidence per word of the whole text, and of the ``share`` of words that tells most."""
-        out = [np.zeros((0, 2))]
+        """Three columns: evidence per word of the whole text, of the ``share`` of words that tells most, and of
+        the strongest window.
+        """
+        out = [np.zeros((0, 3))]
         for start, end in spans([len(t or "") for t in texts], 500_000):
             out.append(self.measures_of(numbered(texts[start:end], self.number), share))
         return np.concatenate(out)
 
     def measures_of(self, split: list[np.ndarray], share: float) -> np.ndarray:
         """The same of texts whose words are numbered."""
-        out = np.zeros((len(split), 2))
+        out = np.zeros((len(split), 3))
         sizes = [len(w) for w in split]
         value = self.evidence(np.concatenate([x for w in split for x in (START, w)])) if split else np.zeros(0)
         at = 1
@@ -81,11 +89,23 @@ class Difference:
             if n:
                 own = value[at : at + n]
                 many = min(n, max(2, int(n * share)))
-                out[i] = own.mean(), np.partition(own, n - many)[n - many :].mean()
+                out[i] = own.mean(), np.partition(own, n - many)[n - many :].mean(), strongest_window(own)
             at += n + 1
         return out
 
 
+def strongest_window(evidence: np.ndarray) -> float:
+    """The largest mean evidence of the ``STRONGEST`` words of any window."""
+    step = WINDOW // 2
+    steps = max(2, -(-len(evidence) // step))
+    halves = np.zeros(steps * step)
+    halves[: len(evidence)] = evidence
+    # The best words of a window are among the best of its halves.
+    halves = np.partition(halves.reshape(steps, step), step - STRONGEST, axis=1)[:, step - STRONGEST :]
+    both = np.concatenate([halves[:-1], halves[1:]], axis=1)
+    return float(np.partition(both, STRONGEST, axis=1)[:, STRONGEST:].mean(axis=1).max())
+
+
 START = np.array([-1], dtype=np.int64)
 
 
@@ -129,12 +149,12 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.array([0.0, *[np.clip(k - (k + 1) * y * n[k] / n[k - 1], 0.1, k) for k in (1, 2, 3)]])
 
 
-def learn(toxic: list[str | None], ordinary: list[str | None], least_word: int = 4, least_pair: int = 1) -> Difference:
+def learn(toxic: list[str | None], ordinary: list[str | None], least_word: int = LEAST_WORD, least_pair: int = 1) -> Difference:
     """Both models of the texts of either class."""
     return models(Counts.of(toxic, ordinary), least_word, least_pair)
 
 
-def models(counts: Counts, least_word: int = 4, least_pair: int = 1) -> Difference:
+def models(counts: Counts, least_word: int = LEAST_WORD, least_pair: int = 1) -> Difference:
     """Both models.
 
     As in Kneser-Ney smoothing, the word step counts contexts (different previous words). What is rarer
@@ -164,12 +184,27 @@ def models(counts: Counts, least_word: int = 4, least_pair: int = 1) -> Differen
 @dataclass(frozen=True)
 class Model:
     difference: Difference
-    weights: np.ndarray
-    bias: float
+    judges: Judges
     telling: float
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        return sigmoid(self.difference.measures(texts, self.telling) @ self.weights + self.bias)
+        return sigmoid(self.judges(self.difference.measures(texts, self.telling)))
+
+
+@dataclass(frozen=True)
+class Judges:
+    """Weights and bias for the measures of the whole text, and for its strongest window."""
+
+    whole: tuple[np.ndarray, float]
+    window: tuple[np.ndarray, float]
+
+    def __call__(self, measures: np.ndarray) -> np.ndarray:
+        (a, b), (c, d) = self.whole, self.window
+        return np.maximum(measures[:, :2] @ a + b, measures[:, 2:] @ c + d)
+
+    @staticmethod
+    def fit(measures: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> Judges:
+        return Judges(calibrate(measures[:, :2], toxic, weight), calibrate(measures[:, 2:], toxic, weight))
 
 
 def calibrate(measures: np.ndarray, toxic: np.ndarray, weight: np.ndarray, decay: float = 1e-3):
@@ -193,7 +228,7 @@ def fit_texts(toxic: list[str | None], ordinary: list[str | None], share: float,
     if not toxic or not ordinary:
         empty = learn([], [])
         logit = float(np.log(share / (1 - share))) if 0 < share < 1 else 0.0
-        return Model(empty, np.zeros(2), logit, telling)
+        return Model(empty, Judges((np.zeros(2), logit), (np.zeros(1), logit)), telling)
     halves = []
     for out in (0, 1):
         counts = Counts.of([t for i, t in enumerate(toxic) if i % 2 != out] or toxic, [t for i, t in enumerate(ordinary) if i % 2 != out] or ordinary)
@@ -201,18 +236,23 @@ def fit_texts(toxic: list[str | None], ordinary: list[str | None], share: float,
     marks = np.concatenate([np.repeat([1.0, 0.0], [len(toxic[out::2]), len(ordinary[out::2])]) for out in (0, 1)])
     share = min(max(share, 1e-3), 1 - 1e-3)
     weight = np.where(marks == 1, share / marks.sum(), (1 - share) / (1 - marks).sum())
-    tried = []
-    most = max(counts.table.sum(axis=1).max(initial=1) for counts, _ in halves)
-    for least_pair in 2 ** np.arange(int(np.log2(most)) + 2):  # the last keeps no pair of the halves
-        measures = np.concatenate([models(counts, least_pair=least_pair).measures_of(split, telling) for counts, split in halves])
-        weights, bias = calibrate(measures, marks, weight)
-        z = measures @ weights + bias
+
+    def tried(least_word: int, least_pair: int) -> tuple[float, float, Judges]:
+        """Mean log loss on the unseen halves, its standard error, and the judges."""
+        measures = np.concatenate([models(counts, least_word, least_pair).measures_of(split, telling) for counts, split in halves])
+        judges = Judges.fit(measures, marks, weight)
+        z = judges(measures)
         loss = np.logaddexp(0.0, np.where(marks == 1, -z, z))
         mean = weight @ loss
-        tried.append((mean, float(np.sqrt(weight**2 @ (loss - mean) ** 2)), int(least_pair), weights, bias))
-    best = min(tried, key=lambda x: x[0])
-    _, _, least_pair, weights, bias = next(x for x in tried if x[0] <= best[0] + best[1])
-    return Model(learn(toxic, ordinary, least_pair=least_pair), weights, bias, telling)
+        return float(mean), float(np.sqrt(weight**2 @ (loss - mean) ** 2)), judges
+
+    most = max(counts.table.sum(axis=1).max(initial=1) for counts, _ in halves)
+    by_pair = {int(n): tried(LEAST_WORD, int(n)) for n in 2 ** np.arange(int(np.log2(most)) + 2)}  # the last keeps no pair
+    best = min(by_pair.values(), key=lambda x: x[0])
+    least_pair = next(n for n, x in by_pair.items() if x[0] <= best[0] + best[1])
+    by_word = {n: by_pair[least_pair] if n == LEAST_WORD else tried(n, least_pair) for n in (1, 2, 4, 8, 16)}
+    least_word = min(by_word, key=lambda n: by_word[n][0])
+    return Model(learn(toxic, ordinary, least_word, least_pair), by_word[least_word][2], telling)
 
 
 def fit(
