@@ -92,7 +92,7 @@ def pack(
     bucket = sum((F.when(F.col("length") > b, 1).otherwise(0) for b in boundaries[:-1]), F.lit(0))
     per_batch = [max(1, budget // max(1, b)) for b in boundaries]
     cells = [max(1, int(np.ceil(n / cell_rows))) for n in filled]
-    key = F.xxhash64(F.coalesce("doc", "row"), "piece")
+    key = F.when(F.col("doc").isNull(), F.xxhash64("row", "piece")).otherwise(F.xxhash64("doc", "piece"))
     placed = cut.withColumn("bucket", bucket).withColumn("cell", F.pmod(key, _pick(F.col("bucket"), cells)))
     counted = placed.groupBy("bucket", "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
