@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripfunnel.llm.common import annotate, free_name, spans, stored, texts_of
+from tripfunnel.llm.common import annotate, free_name, slices, spans, stored, texts_of
 
 BUCKETS = 1 << 15
 SIZES = (1, 2, 3, 4)
@@ -77,10 +77,11 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
     def count(batches):
         total, number = np.zeros(BUCKETS, dtype=np.int64), 0
         for batch in batches:
-            for found in term_counts(texts_of(batch, text)):
-                if found:
-                    total[found[0]] += 1
-                    number += 1
+            for part in slices(batch, text):
+                for found in term_counts(texts_of(part, text)):
+                    if found:
+                        total[found[0]] += 1
+                        number += 1
         features = np.append(np.flatnonzero(total), -1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(features), pa.array(np.append(total[features[:-1]], number))], names=["feature", "n"]
