@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tripfunnel.operators import staging
 from tripfunnel.session import scratch_path, use_utc
 from tripfunnel.sources.events_adapter import raw_events
+from tripfunnel.sources.id_index import IdIndex
 
 KINDS = ("search", "click", "conversion")
 
@@ -36,6 +37,17 @@ def raw(spark: SparkSession, sf_dir: str, kind: str, gap: int = 1440) -> DataFra
     return spark.read.parquet(path).filter(F.col("kind") == kind).drop("kind")
 
 
+def known_ids(spark: SparkSession, sf_dir: str, before: str) -> IdIndex:
+    """The index of the searches ingested before a time."""
+    key = (spark.sparkContext.applicationId, sf_dir, "known-ids", before)
+    if key not in _stored:
+        index = IdIndex(spark, scratch_path(spark, "known-ids"))
+        early = F.col("ingested_at") < F.lit(before).cast("timestamp")
+        index.rebuild(raw(spark, sf_dir, "search").filter(early))
+        _stored[key] = index.path
+    return IdIndex(spark, _stored[key])
+
+
 def staged(spark: SparkSession, sf_dir: str, kind: str, gap: int = 1440) -> DataFrame:
     """The stored staging table of one event kind."""
     path = _store(

@@ -175,9 +175,7 @@ def missing_source(spark, sf_dir):
 
 def _ingest(spark, sf_dir) -> raw_layer.IngestResult:
     """A batch of all searches, sent twice, with broken lines and lines without id."""
-    known = inputs.raw(spark, sf_dir, "search").filter(
-        F.col("ingested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp")
-    )
+    known = inputs.known_ids(spark, sf_dir, "2024-01-16 00:00:00")
     lines = inputs.raw(spark, sf_dir, "search").select(F.col("payload").alias("line"))
     events = read_table(spark, sf_dir, "events")
     broken = events.filter(F.col("event_type") == "error").select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripfunnel.operators import staging
 from tripfunnel.sources import raw, reviews
 from tripfunnel.sources.catalog import Catalog
+from tripfunnel.sources.id_index import IdIndex
 
 
 def lines_of(spark, texts):
@@ -118,3 +119,61 @@ def test_load_refuses_or_sets_aside_what_is_no_event(spark, tmp_path):
     assert [r["event_id"] for r in loaded.collect()] == ["good"]
     reasons = [r["reason"] for r in spark.read.parquet(str(tmp_path / "rejects")).collect()]
     assert sorted(reasons) == ["malformed_json"] * (len(BROKEN) - 1) + ["missing_event_id"] * 2
+
+
+def test_one_strict_rule_for_a_line(spark):
+    good = ['{"event_id":"a"}', ' {"a":{"b":[1,2]}} ', '{}', '{"a":"}],5"}']
+    bad = ['{"a":1},{"b":2}', '{"a":1},"b":2', '{"a":1}} x', '{"a":1}] x', '{"a":1},5] x', "[1]", "5", "", "{", '{"a":1}{"b":2}', "{'a':1}", '{"a":01}']
+    rows = spark.createDataFrame([(t, True) for t in good] + [(t, False) for t in bad] + [(None, False)], "line string, ok boolean")
+    assert rows.filter(raw.is_json_object(F.col("line")) != F.col("ok")).collect() == []
+
+
+def leaves(df):
+    found = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
+def ids_of(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "event_id string")
+
+
+def test_an_index_reads_the_buckets_of_a_small_batch_and_shuffles_only_the_batch(spark, tmp_path):
+    index = IdIndex(spark, str(tmp_path / "ids"), ids_per_bucket=500)
+    assert not index.whole() and index.ids().count() == 0
+    index.rebuild(ids_of(spark, [f"e{i}" for i in range(8000)] + [None, "e1"]))
+    assert index.whole() and index.ids().count() == 8000
+    small = index.among(ids_of(spark, ["e5", "x", None]))
+    assert [r["event_id"] for r in small.collect()] == ["e5"]
+    (scan,) = [leaf for leaf in leaves(small) if leaf.nodeName().startswith("Scan parquet")]
+    assert scan.optionalBucketSet().get().cardinality() <= 2 and scan.relation().bucketSpec().get().numBuckets() == 32
+    lines = lines_of(spark, [json.dumps({"event_id": f"e{i}"}) for i in range(7000, 9500)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        new = raw.ingest_incremental(lines, index, "b").new_rows
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        table_side = plan[plan.rindex("LeftSemi"):]
+        scan = next(line for line in table_side.splitlines() if "FileScan parquet" in line)
+        before = table_side[:table_side.index(scan)]
+        assert "Bucketed: true" in scan and "Exchange" not in before, plan
+        assert sorted(r["event_id"] for r in new.collect()) == sorted(f"e{i}" for i in range(8000, 9500))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_an_index_grows_merges_and_notices_a_lost_run(spark, tmp_path):
+    index = IdIndex(spark, str(tmp_path / "ids"), ids_per_bucket=50, most_files=3)
+    index.rebuild(ids_of(spark, []))
+    for batch in range(8):
+        with index.adding(ids_of(spark, [f"{batch}-{i}" for i in range(300)])):
+            pass
+    assert index.whole() and index.ids().count() == index.ids().distinct().count() == 2400
+    (generation,) = [p.name for p in (tmp_path / "ids").iterdir()]
+    assert int(generation.split("-")[0]) > 1 and int(generation.split("-")[1]) > 8
+    with pytest.raises(ValueError):
+        with index.adding(ids_of(spark, ["lost"])):
+            raise ValueError("the executor of the raw write")
+    assert not index.whole()
+    index.rebuild(ids_of(spark, ["lost"]))
+    assert index.whole() and [r["event_id"] for r in index.ids().collect()] == ["lost"]

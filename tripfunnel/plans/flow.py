@@ -19,6 +19,7 @@ from tripfunnel.plans import marts, recommendations
 from tripfunnel.plans.rules import FRESHNESS_HOURS, RULES
 from tripfunnel.sources import raw
 from tripfunnel.sources.catalog import Catalog
+from tripfunnel.sources.id_index import IdIndex
 
 RAW = {
     "search": "raw.search_events",
@@ -66,7 +67,8 @@ def run_ingest(
     no event under ``<table>_rejects`` and logs the counts; returns the log rows of this batch.
 
     A batch may be run again: known ids are not appended twice, and its rejects and log rows
-    replace those of the first run.
+    replace those of the first run. The ids of each raw table are indexed beside it; an index that
+    is not there, or that a lost run left half written, is built from the table.
     """
     def keep(df: DataFrame, name: str) -> None:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -76,13 +78,19 @@ def run_ingest(
     for kind, path in feeds.items():
         table = RAW[kind]
         lines = raw.read_jsonl(catalog.spark, path)
-        result = raw.ingest_incremental(lines, catalog.read_or_empty(table, RAW_SCHEMA), batch_id, as_of)
-        # Counted before the rows are appended: afterwards none of them would be new.
+        index = IdIndex(catalog.spark, f"{catalog.resolve(table)}_ids")
+        if not index.whole():
+            index.rebuild(catalog.read_or_empty(table, RAW_SCHEMA))
+        result = raw.ingest_incremental(
+            lines, index, batch_id, as_of, lambda parsed: catalog.staged(parsed, f"{table}-lines")
+        )
+        result.new_rows = catalog.staged(result.new_rows, f"{table}-new")
         row = result.metrics.withColumn("feed", F.lit(kind)).first()
         counted = catalog.spark.createDataFrame([row], result.metrics.withColumn("feed", F.lit(kind)).schema)
         counts = counted if counts is None else counts.unionByName(counted)
         keep(result.rejects, f"{table}_rejects")
-        raw.write_raw_by_day(result.new_rows, catalog.resolve(table))
+        with index.adding(result.new_rows):
+            raw.write_raw_by_day(result.new_rows, catalog.resolve(table))
     keep(counts, INGEST_LOG)
     return catalog.read(INGEST_LOG).filter(F.col("batch_id") == batch_id)
 

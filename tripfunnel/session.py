@@ -74,3 +74,19 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Removes a folder of the library's own with all it has."""
     files, where = _file_system(spark, path)
     files.delete(where, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.mkdirs(where)
+
+
+def has_file(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def file_count(spark: SparkSession, path: str) -> int:
+    """Number of files directly below ``path``."""
+    files, where = _file_system(spark, path)
+    return sum(f.isFile() for f in files.listStatus(where))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfunnel.functions.scalar import clock
+from tripfunnel.session import remove_folder
+from tripfunnel.sources.id_index import IdIndex
 
 LINE_SCHEMA = T.StructType(
     [T.StructField("line", T.StringType()), T.StructField("source_file", T.StringType())]
@@ -35,12 +38,13 @@ def read_jsonl(spark: SparkSession, path: str, missing_ok: bool = True) -> DataF
 def is_json_object(line: Column) -> Column:
     """True for a line that is one JSON object and nothing else, in strict JSON.
 
-    Parsers stop at the end of the first value. Put into an array the line must be its only
-    element, put into an object the only value: no text after the object passes both.
+    Parsers stop at the end of the first value. So the line is parsed once, as the first element of an
+    array whose second is the line's own hash: text after the object would push that out of its place.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
-    inside = F.try_parse_json(F.concat(F.lit('{"line":'), line, F.lit("}"))).isNotNull()
-    return F.coalesce(F.ltrim(line).startswith("{") & alone & inside, F.lit(False))
+    seal = F.xxhash64(line)
+    parsed = F.try_parse_json(F.concat(F.lit("["), line, F.lit(","), seal.cast("string"), F.lit("]")))
+    whole = F.try_variant_get(parsed, "$[1]", "bigint") == seal
+    return F.coalesce(F.ltrim(line).startswith("{") & whole, F.lit(False))
 
 
 def fault(line: Column, event_id: Column) -> Column:
@@ -77,24 +81,51 @@ def load_raw(
         refused.write.mode("overwrite").parquet(rejects)
     elif bad := refused.select("reason", "source_file").head(1):
         raise ValueError(f"{bad[0]['reason']} in {bad[0]['source_file']}")
+    remove_folder(spark, f"{target.rstrip('/')}_ids")  # an index of the ids before
     marked.filter(F.col("reason").isNull()).drop("reason").write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
 @dataclass
 class IngestResult:
-    """Outcome of one incremental load; all three parts are lazy."""
+    """Outcome of one incremental load; all parts are lazy."""
 
+    parsed: DataFrame
     new_rows: DataFrame
-    rejects: DataFrame
-    metrics: DataFrame
+    batch_id: str
+
+    @property
+    def rejects(self) -> DataFrame:
+        return self.parsed.filter(F.col("reason").isNotNull())
+
+    @property
+    def metrics(self) -> DataFrame:
+        counted = self.parsed.agg(
+            F.count(F.lit(1)).alias("lines_read"),
+            F.count_if(F.col("reason") == "malformed_json").alias("malformed"),
+            F.count_if(F.col("reason") == "missing_event_id").alias("without_id"),
+        )
+        known = F.col("lines_read") - F.col("malformed") - F.col("without_id") - F.col("inserted")
+        return (
+            counted.withColumn("inserted", self.new_rows.agg(F.count(F.lit(1))).scalar())
+            .withColumn("already_known", known)
+            .withColumn("batch_id", F.lit(self.batch_id))
+        )
 
 
 def ingest_incremental(
-    lines: DataFrame, existing: DataFrame, batch_id: str, as_of=None
+    lines: DataFrame,
+    existing: DataFrame | IdIndex,
+    batch_id: str,
+    as_of=None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> IngestResult:
     """Rows whose ``event_id`` the raw table does not hold yet.
 
+    ``existing`` is a table with the column ``event_id`` or the index of one; against an index nothing
+    on the table's side is shuffled, and a batch of few ids reads only the buckets they fall into.
+    ``store`` keeps the parsed lines, so that rejects, counts and new rows parse nothing again.
+
     Lines that are not JSON objects and lines without an id go to ``rejects``.
     Within a batch one line per id is kept, the smallest ``(file, text)``: files
     have no order once they are split over tasks. The rank limit runs before the
@@ -103,32 +134,20 @@ def ingest_incremental(
     parsed = to_raw(lines, as_of, batch_id).withColumn(
         "reason", fault(F.col("payload"), F.col("event_id"))
     )
-    rejects = parsed.filter(F.col("reason").isNotNull())
+    if store is not None:
+        parsed = store(parsed)
     first = Window.partitionBy("event_id").orderBy(
         F.col("source_file").asc_nulls_last(), F.col("payload").asc_nulls_last()
     )
     valid = parsed.filter(F.col("reason").isNull()).drop("reason")
     once = valid.withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") == 1)
+    held = existing.among(valid) if isinstance(existing, IdIndex) else existing
     # The batch is small next to the table: looking its ids up first lets Spark
     # scan the table's id column in place instead of shuffling all of it.
-    known = existing.select("event_id").join(
+    known = held.select("event_id").join(
         valid.select("event_id").distinct(), "event_id", "left_semi"
     )
-    new_rows = once.drop("_nth").join(known, "event_id", "left_anti")
-    metrics = (
-        parsed.agg(
-            F.count(F.lit(1)).alias("lines_read"),
-            F.count_if(F.col("reason") == "malformed_json").alias("malformed"),
-            F.count_if(F.col("reason") == "missing_event_id").alias("without_id"),
-        )
-        .withColumn("inserted", new_rows.agg(F.count(F.lit(1))).scalar())
-        .withColumn(
-            "already_known",
-            F.col("lines_read") - F.col("malformed") - F.col("without_id") - F.col("inserted"),
-        )
-        .withColumn("batch_id", F.lit(batch_id))
-    )
-    return IngestResult(new_rows, rejects, metrics)
+    return IngestResult(parsed, once.drop("_nth").join(known, "event_id", "left_anti"), batch_id)
 
 
 def write_raw_by_day(df: DataFrame, path: str, mode: str = "append") -> None:
