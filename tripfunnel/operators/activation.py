@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from tripfunnel.functions.scalar import clock, hours_before
 from tripfunnel.operators.rows import first_per_group
 from tripfunnel.plans.marts import recent_users
-from tripfunnel.session import scratch_path
+from tripfunnel.session import remove_folder, scratch_path
 
 CRM_ATTRIBUTES = (
     "segment",
@@ -231,11 +233,44 @@ def changed_since(df: DataFrame, ts: str, high_water_mark) -> DataFrame:
 
 
 def reconcile(
-    mart: DataFrame, destination: DataFrame, key: Sequence[str], columns: Sequence[str]
+    mart: DataFrame, destination: DataFrame, key: Sequence[str], columns: Sequence[str], buckets: int = 4096
 ) -> DataFrame:
-    """Keys on which the destination drifted from the mart, with the kind of drift."""
-    left = mart.select(*key, F.struct(*columns).alias("ours"))
-    right = destination.select(*key, F.struct(*columns).alias("theirs"))
+    """Keys on which the destination drifted from the mart, with the kind of drift.
+
+    Both sides are cut into buckets by the hash of the key, and each bucket is digested where it lies.
+    Only rows of buckets whose digests differ are shuffled and compared. A digest is the row count and
+    two exact sums of 64-bit hashes with different seeds, over values and which of them are null; equal
+    digests of different buckets are as good as impossible. Columns of different types on the two sides
+    hash differently: then all is compared. Null keys match nothing and drift on either side; other keys
+    are unique on each side.
+    """
+    names = [*key, *columns]
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        return df.select(*names, F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("_bucket"))
+
+    def digests(df: DataFrame, side: str) -> DataFrame:
+        nulls = [F.col(c).isNull() for c in names]
+        sums = [F.sum(F.xxhash64(F.lit(seed), *names, *nulls).cast("decimal(20,0)")) for seed in (1, 2)]
+        keyless = F.bool_or(reduce(or_, nulls[: len(key)]))
+        return df.groupBy("_bucket").agg(
+            F.struct(F.count(F.lit(1)), *sums).alias(side), keyless.alias(f"{side}_keyless")
+        )
+
+    ours, theirs = bucketed(mart), bucketed(destination)
+    keyless = F.coalesce("l_keyless", F.lit(False)) | F.coalesce("r_keyless", F.lit(False))
+    differing = (
+        digests(ours, "l")
+        .join(digests(theirs, "r"), "_bucket", "full_outer")
+        .filter(~F.col("l").eqNullSafe(F.col("r")) | keyless)
+        .select("_bucket")
+    )
+
+    def suspects(df: DataFrame, side: str) -> DataFrame:
+        # At most one number a bucket: small whatever the tables are.
+        rows = df.join(F.broadcast(differing), "_bucket", "left_semi")
+        return rows.select(*key, F.struct(*columns).alias(side))
+
     both = F.col("ours").isNotNull() & F.col("theirs").isNotNull()
     drifted = F.filter(
         F.array(
@@ -247,7 +282,7 @@ def reconcile(
         lambda name: name.isNotNull(),
     )
     return (
-        left.join(right, list(key), "full_outer")
+        suspects(ours, "ours").join(suspects(theirs, "theirs"), list(key), "full_outer")
         .withColumn("_drifted", F.when(both, drifted))
         .select(
             *key,
@@ -307,6 +342,54 @@ def materialize_incremental(
     return spark.read.parquet(path)
 
 
+def touched_days(
+    openings: DataFrame, others: Sequence[DataFrame], since, session: str = "session_id",
+    ts: str = "event_timestamp", ingested: str = "ingested_at",
+) -> DataFrame:
+    """Days (``day``, distinct, null included) whose sessions may differ since ``since``.
+
+    A session opens on the day of its first event in ``openings``. It is touched by an event of any of
+    the tables ingested at ``since`` or later, and counts for the day on which it opens now and the one
+    on which it opened without those events. Events without a session form one session, as in the
+    session model. Stored events never change, as ingest appends unknown ids only.
+    """
+    fresh = F.coalesce(F.col(ingested) >= clock(since), F.lit(False))
+    arrived = [df.filter(fresh).select(F.col(session).alias("_touched")) for df in (openings, *others)]
+    touched = reduce(DataFrame.unionByName, arrived).distinct()
+    opened = openings.join(touched, F.col(session).eqNullSafe(F.col("_touched")), "left_semi")
+    days = opened.groupBy(session).agg(
+        F.min(ts).alias("now"), F.min(F.when(~fresh, F.col(ts))).alias("before")
+    )
+    return days.select(F.explode(F.array(F.to_date("now"), F.to_date("before"))).alias("day")).distinct()
+
+
+def materialize_days(
+    spark, sessions: DataFrame, days: DataFrame | None, build: Callable[[DataFrame], DataFrame], path: str,
+    date_column: str = "funnel_date", ts: str = "session_start",
+) -> DataFrame:
+    """Builds the given days again and replaces them; no other day is read into the build or rewritten.
+
+    A day that has no session any more loses its partition. Without ``days`` everything is built.
+    """
+    if days is not None:
+        named = days.select(F.col("day").alias("_day"))
+        sessions = sessions.join(named, F.to_date(ts).eqNullSafe(F.col("_day")), "left_semi")
+    built = build(sessions)
+    (
+        built.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if days is None else "dynamic")
+        .partitionBy(date_column)
+        .parquet(path)
+    )
+    if days is not None:
+        left = sessions.select(F.to_date(ts).alias("_day")).distinct()
+        gone = named.join(left, named["_day"].eqNullSafe(left["_day"]), "left_anti")
+        for row in gone.collect():  # days of the calendar, not rows
+            day = "__HIVE_DEFAULT_PARTITION__" if row["_day"] is None else row["_day"].isoformat()
+            remove_folder(spark, f"{path}/{date_column}={day}")
+    return spark.read.schema(built.schema).parquet(path)
+
+
 SYNC_LOG_SCHEMA = (
     "sync_id string, sync_type string, source_table string, destination string, "
     "started_at timestamp, completed_at timestamp, rows_extracted long, rows_upserted long, "

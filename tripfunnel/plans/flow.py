@@ -52,6 +52,8 @@ QUEUE_SCHEMA = (
     "created_at timestamp, processed_at timestamp"
 )
 INGEST_LOG = "ops.ingest_log"
+BUILD_MARKS = "ops.build_marks"
+MARK_SCHEMA = "model string, high_water_mark timestamp"
 
 
 def stored_model(catalog: Catalog, model: str) -> DataFrame:
@@ -128,6 +130,30 @@ def run_models(catalog: Catalog, as_of=None) -> dict[str, DataFrame]:
     }
 
 
+def refresh_funnel(catalog: Catalog) -> DataFrame:
+    """Brings the stored daily funnel up to date from the stored staging tables and sessions.
+
+    Only days touched by events ingested since the last refresh are built, however late those are. The
+    mark of a refresh is the newest ingest time it has read; it is logged when the days are stored, so a
+    lost run is repeated. Rows as old as the mark are taken again, as some may have come after it.
+    """
+    model, spark = "fct_search_funnel", catalog.spark
+    staged = [stored_model(catalog, f"stg_{kind}_events") for kind in RAW]
+    sessions = stored_model(catalog, "int_search_sessions")
+    marks = catalog.read_or_empty(BUILD_MARKS, MARK_SCHEMA).filter(F.col("model") == model)
+    since = marks.agg(F.max("high_water_mark")).first()[0]
+    newest = max((t for t in (s.agg(F.max("ingested_at")).first()[0] for s in staged) if t), default=None)
+    if since is None:
+        stored = catalog.materialize(marts.search_funnel(sessions), MODELS[model], ("funnel_date",))
+    else:
+        days = catalog.staged(activation.touched_days(staged[0], staged[1:], since), "touched-days")
+        stored = activation.materialize_days(
+            spark, sessions, days, marts.search_funnel, catalog.resolve(MODELS[model])
+        )
+    log_run(spark, {"model": model, "high_water_mark": newest}, catalog.resolve(BUILD_MARKS), MARK_SCHEMA)
+    return stored
+
+
 def run_freshness(catalog: Catalog, as_of=None) -> DataFrame:
     """Age of every raw table against its limits."""
     parts = [
