@@ -6,6 +6,8 @@ application and source folder, and the queries read it from there.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,5 +60,10 @@ def staged(spark: SparkSession, sf_dir: str, kind: str, gap: int = 1440) -> Data
     return spark.read.parquet(path)
 
 
+def model(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stored model, as the rules and counts of a deployment read it."""
+    return spark.read.parquet(_store(spark, (sf_dir, name), build))
+
+
 def all_staged(spark: SparkSession, sf_dir: str, gap: int = 1440) -> tuple[DataFrame, ...]:
     return tuple(staged(spark, sf_dir, kind, gap) for kind in KINDS)

@@ -904,7 +904,7 @@ def fan_out(spark, sf_dir):
 
 
 def _quality_models(spark, sf_dir) -> dict[str, Callable[[], DataFrame]]:
-    models = {
+    built = {
         "int_search_sessions": lambda: _sessions(spark, sf_dir),
         "int_user_journeys": lambda: _journeys(spark, sf_dir),
         "fct_search_funnel": lambda: _funnel(spark, sf_dir),
@@ -912,6 +912,9 @@ def _quality_models(spark, sf_dir) -> dict[str, Callable[[], DataFrame]]:
         "mart_user_segments": lambda: _segments(spark, sf_dir),
         "mart_recommendations": lambda: _recommendations(spark, sf_dir),
     }
+    models = {
+        name: lambda name=name: inputs.model(spark, sf_dir, name, built[name]) for name in built
+    }
     for kind in inputs.KINDS:
         models[f"raw_{kind}_events"] = lambda kind=kind: inputs.raw(spark, sf_dir, kind)
         models[f"stg_{kind}_events"] = lambda kind=kind: inputs.staged(spark, sf_dir, kind)
@@ -1067,4 +1070,4 @@ def relationships(spark, sf_dir):
     )
 
 
-from registry import more_queries  # noqa: E402,F401  (registers the rest)
+from registry import model_checks, more_queries  # noqa: E402,F401  (register the rest)

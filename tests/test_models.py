@@ -226,6 +226,18 @@ def test_churn_features_of_one_user(spark):
     assert churn.churn_features(events, "2024-01-30 09:59:59", True).first()["avg_session_duration_mins"] == 15.0
 
 
+def test_sentiment_chances_are_of_the_labels_alone(spark):
+    """They add up to one, whatever the number of labels; rows without a label teach nothing."""
+    for labels in (["a"], ["a", "b"], ["a", "b", "c"]):
+        rows = [(f"word{x} thing{x} more{i}", x) for i in range(20) for x in labels] + [("nothing here", None)]
+        df = spark.createDataFrame(rows, "text string, sentiment string")
+        scored = sentiment.SentimentModel(max_terms=100, max_iter=20, stop_words=()).fit(df).transform(df).collect()
+        for r in scored:
+            assert sorted(r["probabilities"]) == labels
+            assert abs(sum(r["probabilities"].values()) - 1) < 1e-9
+            assert r["sentiment"] in (r["predicted_sentiment"], None)
+
+
 def test_sentiment_learns_three_labels_and_reloads(spark, tmp_path):
     good, bad, so = "amazing lovely stay", "terrible rude staff", "okay average room"
     rows = [(f"{text} number{i}", label) for i in range(12) for text, label in ((good, "positive"), (bad, "negative"), (so, "neutral"))]

@@ -111,9 +111,9 @@ class SentimentModel:
             scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_tfidf"
         )
         unit = Normalizer(p=2.0, inputCol="_tfidf", outputCol="_features")
+        # Rows without a label are gone. Keeping unknown ones would add a class that takes probability.
         index = StringIndexer(
             inputCol=self.label, outputCol="_label", stringOrderType="alphabetAsc",
-            handleInvalid="keep",
         ).fit(labelled)
         self.labels = list(index.labels)
         weight = F.create_map(

@@ -225,6 +225,15 @@ def lookup_reco(kv: DataFrame, user_id: str, prefix: str = "reco:", as_of=None)
     return live.select(F.explode("value").alias("destination", "score"))
 
 
+def reco_extract(recommendations: DataFrame) -> DataFrame:
+    """Recommendations in the order the sync reads them: by user, then rank. Sorted by sampled ranges,
+    so that files follow one another and none holds more than its share.
+    """
+    return recommendations.orderBy("user_id", "rank").select(
+        "user_id", "recommended_destination", "recommendation_score", "rank"
+    )
+
+
 def changed_since(df: DataFrame, ts: str, high_water_mark) -> DataFrame:
     """Rows newer than the last sync; without a mark, every row."""
     if high_water_mark is None:
