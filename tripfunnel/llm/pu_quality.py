@@ -20,6 +20,7 @@ rows, every score is 0.5; an empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfunnel.llm.common import BLANK, annotate, free_name, sample_by_hash, sigmoid, spans, stored
+from tripfunnel.llm.words import numbered
 
 #: Character classes; every byte has one, and bytes of longer characters are one class.
 CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r\x0b\x0c", "\n",
@@ -42,43 +44,95 @@ REPEATS = 8
 SIZE = KINDS * KINDS + KINDS + REPEATS
 
 
+#: Texts of more bytes are counted in parts and as numbered words; the results are the same.
+LONG = 4_000_000
+
+
+def _distinct(numbers: np.ndarray) -> int:
+    numbers = np.sort(numbers)
+    return 1 + int(np.count_nonzero(numbers[1:] != numbers[:-1]))
+
+
+def _counts(text: str) -> tuple[int, ...]:
+    """Words, different ones, different pairs, different windows, pairs of equals, lines with a word, different ones."""
+    data = text.encode()
+    if len(data) <= LONG:
+        words = data.split()
+        lines = [line for line in text.split("\n") if line.strip(BLANK)]
+        return (
+            len(words), len(set(words)), len(set(zip(words, words[1:]))), len(set(zip(words, words[1:], words[2:]))),
+            sum(map(eq, words, words[1:])), len(lines), len(set(lines)),
+        )
+    words, kinds = numbered(data)
+    pairs, windows = 0, 0
+    double = int(np.count_nonzero(words[1:] == words[:-1]))
+    if len(words) > 1:
+        two = words[:-1] * kinds + words[1:]
+        pairs = _distinct(two)
+        if len(words) > 2:
+            # Pairs by rank, so that a window fits 64 bits.
+            two = np.searchsorted(np.unique(two), two)
+            windows = _distinct(two[:-1] * kinds + words[2:])
+    lines, seen, start = 0, set(), 0
+    while start <= len(data):
+        end = data.find(b"\n", start)
+        line = data[start : end if end >= 0 else len(data)]
+        if line.strip():
+            lines += 1
+            seen.add(line)
+        start = end + 1 if end >= 0 else len(data) + 1
+    return len(words), kinds, pairs, windows, double, lines, len(seen)
+
+
 def repetition(text: str) -> list[float]:
     """Length, and how much of the words, word pairs, windows and lines repeats earlier ones."""
-    words = text.encode().split()
-    n = len(words)
+    n, kinds, pairs, windows, double, lines, different = _counts(text)
     if not n:
         return [0.0] * REPEATS
-    pairs = list(zip(words, words[1:]))
-    windows = list(zip(words, words[1:], words[2:]))
-    lines = [line for line in text.split("\n") if line.strip(BLANK)]
-    double = sum(a == b for a, b in pairs)
     return [
         float(np.log1p(n)),
-        len(set(words)) / n,
-        1.0 - len(set(pairs)) / len(pairs) if pairs else 0.0,
-        1.0 - len(set(windows)) / len(windows) if windows else 0.0,
-        double / len(pairs) if pairs else 0.0,
-        1.0 - len(set(lines)) / len(lines),
-        float(np.log1p(len(lines))),
+        kinds / n,
+        1.0 - pairs / (n - 1) if n > 1 else 0.0,
+        1.0 - windows / (n - 2) if n > 2 else 0.0,
+        double / (n - 1) if n > 1 else 0.0,
+        1.0 - different / lines,
+        float(np.log1p(lines)),
         (len(text) - n) / n / 10.0,
     ]
 
 
+def _classes(joined: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each text has each class, and each pair of neighbouring classes."""
+    classes = CLASS_OF[np.frombuffer(joined, dtype=np.uint8)]
+    text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    single = np.bincount(text * KINDS + classes, minlength=len(lengths) * KINDS)
+    inside = text[1:] == text[:-1]
+    code = (text[1:] * KINDS + classes[:-1]) * KINDS + classes[1:]
+    double = np.bincount(code[inside], minlength=len(lengths) * KINDS * KINDS)
+    return single, double
+
+
 def features(texts: list[str | None]) -> np.ndarray:
     """A row for each text: shares of class pairs and classes, square roots, then ``repetition``."""
     raw = [(t or "").encode() for t in texts]
     out = np.zeros((len(texts), SIZE), dtype=np.float32)
     for start, end in spans([len(b) for b in raw], 1_000_000):
         lengths = np.array([len(b) for b in raw[start:end]])
-        classes = CLASS_OF[np.frombuffer(b"".join(raw[start:end]), dtype=np.uint8)]
-        text = np.repeat(np.arange(end - start, dtype=np.int32), lengths)
-        single = np.bincount(text * KINDS + classes, minlength=(end - start) * KINDS)
-        inside = text[1:] == text[:-1]
-        code = (text[1:] * KINDS + classes[:-1]) * KINDS + classes[1:]
-        double = np.bincount(code[inside], minlength=(end - start) * KINDS * KINDS)
+        if end - start == 1 and lengths[0] > LONG:
+            single, double = 0, 0
+            for at in range(0, int(lengths[0]), LONG):
+                # One byte more, so that the pair across the cut is counted, and its class taken off again.
+                part = raw[start][at : at + LONG + 1]
+                more, pairs = _classes(part, np.array([len(part)]))
+                single, double = single + more, double + pairs
+                if len(part) > LONG:
+                    single[CLASS_OF[part[-1]]] -= 1
+        else:
+            single, double = _classes(b"".join(raw[start:end]), lengths)
         total = np.maximum(lengths, 1)[:, None]
         out[start:end, : KINDS * KINDS] = np.sqrt(double.reshape(end - start, -1) / total)
         out[start:end, KINDS * KINDS : -REPEATS] = np.sqrt(single.reshape(end - start, -1) / total)
+    del raw
     out[:, -REPEATS:] = [repetition(t or "") for t in texts] if texts else np.zeros((0, REPEATS))
     return out
 

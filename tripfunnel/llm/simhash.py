@@ -31,27 +31,34 @@ from pyspark.sql import types as T
 
 from tripfunnel.llm.common import annotate, free_name, stored
 from tripfunnel.llm.components import components, local_roots
+from tripfunnel.llm.words import parts
 
 EVEN = np.uint64(0x5555555555555555)
 ONE = np.uint64(1)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
-    words = b"" if text is None else text.encode().lower()  # on bytes, only A to Z change
-    words = words.split()
-    if not words:
-        return 0
-    if len(words) < shingle:
-        parts = [b" ".join(words)]
-    else:
-        parts = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
+    """The words are taken some megabytes at a time, the last ones of a part again with the next."""
+    data = b"" if text is None else text.encode().lower()  # on bytes, only A to Z change
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(p, 42) for p in parts], dtype="<u8")
-    counts = np.zeros(64, dtype=np.int64)
+    counts, n = np.zeros(64, dtype=np.int64), 0
+    carried: list[bytes] = []
+    for words in parts(data):
+        words = carried + words
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
+        n += _count_bits(np.array([digest(s, 42) for s in shingles], dtype="<u8"), counts)
+        carried = words[max(0, len(words) - shingle + 1) :]
+    if not n and carried:
+        n = _count_bits(np.array([digest(b" ".join(carried), 42)], dtype="<u8"), counts)
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+
+
+def _count_bits(hashes: np.ndarray, counts: np.ndarray) -> int:
+    """Adds the set bits of the hashes to ``counts``; returns how many hashes there are."""
     for i in range(0, len(hashes), 65536):
         bits = np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+    return len(hashes)
 
 
 def _signed(values: list[int]) -> np.ndarray:

@@ -1,14 +1,39 @@
-"""Words and their tokens, remembered per task."""
+"""Words of long texts in parts; words and their tokens, remembered per task."""
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import chain, count, islice
 
 import numpy as np
 
 
+#: Bytes of a text that are split at a time.
+PART = 4_000_000
+
+
+def parts(data: bytes, size: int = PART) -> Iterator[list[bytes]]:
+    """The words of a text, some megabytes of it at a time, cut between words."""
+    if len(data) <= size:
+        yield data.split()
+        return
+    rest = b""
+    for start in range(0, len(data), size):
+        words = (rest + data[start : start + size]).split()
+        # The last word may go on in the next part.
+        rest = b"" if data[start + size - 1 : start + size].isspace() or not words else words.pop()
+        yield words
+    yield rest.split()
+
+
+def numbered(data: bytes, size: int = PART) -> tuple[np.ndarray, int]:
+    """The words of a text as numbers in order of first sight, and how many differ."""
+    known: dict = defaultdict(count().__next__)
+    found = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in parts(data, size)]
+    return np.concatenate(found), len(known)
+
+
 class Remembered:
     """Numbers words and keeps the tokens of each in one array; forgets all beyond ``most`` words."""
 
