@@ -7,7 +7,7 @@ import sys
 import numpy as np
 import xxhash
 
-from tripfunnel.llm import pu_quality, simhash, words
+from tripfunnel.llm import fertility, pu_quality, simhash, words
 
 
 def text_of(n, seed=1):
@@ -52,17 +52,41 @@ def test_fingerprints_in_parts_equal_those_of_the_whole(monkeypatch):
         monkeypatch.setattr(simhash, "parts", words.parts)
 
 
+def test_measures_in_parts_equal_those_of_the_whole(monkeypatch):
+    with open(fertility.VOCABULARY, "rb") as file:
+        model = file.read()
+    texts = [*ODD, None, "a b c a b c d", "l m n\nl m n\n\nx\n", "ა中" * 40 + " é 中文"]
+    whole = fertility.Meter(model)(texts)
+    monkeypatch.setattr(fertility, "LONG", -1)
+    monkeypatch.setattr(fertility, "TOKENS", 50)
+    monkeypatch.setattr(fertility, "spans", lambda sizes, most: [(i, i + 1) for i in range(len(sizes))])
+    for size in (3, 64, 10_000):
+        monkeypatch.setattr(fertility, "parts", lambda data, size=size: words.parts(data, size))
+        assert fertility.Meter(model)(texts) == whole
+
+
+def test_a_word_of_any_length_is_encoded_in_runs(monkeypatch):
+    with open(fertility.VOCABULARY, "rb") as file:
+        meter = fertility.Meter(file.read())
+    monkeypatch.setattr(fertility, "RUN", 6)
+    ids = [list(i) for i in meter.encode([b"river", b"riverriver", "中文字".encode(), b"home"])]
+    one = [meter.encoder.encode(w) for w in ("river", "riverr", "iver", "中文字", "home")]
+    assert ids == [one[0], one[1] + one[2], one[3], one[4]]
+
+
 def test_a_text_of_100_mb_takes_about_a_gigabyte():
     """Measured in a process of its own: what the text itself and the libraries take is in it."""
     script = (
         "import resource, sys\n"
-        "from tripfunnel.llm import pu_quality, simhash\n"
+        "from tripfunnel.llm import fertility, pu_quality, simhash\n"
+        "measure = {'simhash': simhash.fingerprint, 'quality': lambda t: pu_quality.features([t]),\n"
+        "           'rules': lambda t: fertility.Meter(open(fertility.VOCABULARY, 'rb').read())([t])}\n"
         "text = ''.join(f'w{i * i % 4999} and so{chr(10) if i % 9 == 0 else chr(32)}' for i in range(7_500_000))\n"
         "assert len(text) > 90_000_000\n"
-        "simhash.fingerprint(text) if sys.argv[1] == 'simhash' else pu_quality.features([text])\n"
+        "measure[sys.argv[1]](text)\n"
         "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)\n"
     )
-    for operator in ("simhash", "quality"):
+    for operator in ("simhash", "quality", "rules"):
         done = subprocess.run([sys.executable, "-c", script, operator], capture_output=True, text=True, timeout=600)
         assert done.returncode == 0, done.stderr[-2000:]
         assert int(done.stdout) < 1300

@@ -12,6 +12,9 @@ word-start mark. Three ratios follow per text:
 
 ``entropy``, the same for the whole text at once, is reported, but falls with length and rejects nothing.
 
+A word of more than ``RUN`` characters is encoded in runs of that many, each with the word-start mark. Texts of
+more than ``LONG`` characters are measured in parts, with the same results.
+
 Rejection bands are per language, or per script: all texts of one group form a band between the median
 minus and plus ``width`` interquartile ranges. Median and range of a group are drawn towards those of its
 most frequent script, and those of a script towards those of all texts, with the weight ``prior / (n + prior)``
@@ -38,11 +41,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfunnel.llm.common import BLANK, annotate, free_name, spans, stored
-from tripfunnel.llm.words import Remembered
+from tripfunnel.llm.words import Remembered, numbered, parts
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 50
+#: Characters of a word that are encoded at once: what that takes grows with them.
+RUN = 10_000
+#: Texts of more characters are measured in parts.
+LONG = 4_000_000
+#: Tokens remembered from one text to the next.
+TOKENS = 10_000_000
 FIELDS = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -72,8 +81,46 @@ def repeat_words(words: list) -> int:
     return int(covered.sum())
 
 
+def repeat_numbers(words: np.ndarray, kinds: int) -> int:
+    """``repeat_words`` of words numbered below ``kinds``."""
+    if len(words) < 3:
+        return 0
+    pairs = words[:-1] * kinds + words[1:]
+    # Pairs by rank, so that a window fits 64 bits.
+    pairs = np.searchsorted(_distinct(pairs), pairs)
+    windows = pairs[:-1] * kinds + words[2:]
+    del pairs
+    ordered = np.sort(windows)
+    again = _distinct(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
+    covered = np.zeros(len(words), dtype=bool)
+    if len(again):
+        at = np.minimum(np.searchsorted(again, windows), len(again) - 1)
+        starts = again[at] == windows
+        for shift in range(3):
+            covered[shift : shift + len(starts)] |= starts
+    return int(covered.sum())
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """The different numbers in order; ``np.unique`` would keep them in a larger table."""
+    numbers = np.sort(numbers)
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])] if len(numbers) else numbers
+
+
 def duplicate_lines(text: str) -> int:
     """Lines with a word that equal an earlier line."""
+    if len(text) > LONG:
+        lines, seen, start = 0, set(), 0
+        while start <= len(text):
+            end = text.find("\n", start)
+            end = len(text) if end < 0 else end
+            line = text[start:end]
+            if line.strip(BLANK):
+                lines += 1
+                seen.add(line)
+            start = end + 1
+        return lines - len(seen)
     lines = [line for line in text.split("\n") if line.strip(BLANK)]
     return len(lines) - len(set(lines))
 
@@ -102,7 +149,19 @@ class Meter:
         self.encoder = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = self.encoder.get_piece_size()
         self.is_byte = np.array([self.encoder.is_byte(i) for i in range(self.size)])
-        self.words = Remembered(lambda words: self.encoder.encode([w.decode() for w in words], num_threads=1))
+        self.words = Remembered(self.encode)
+
+    def encode(self, words: list[bytes]) -> list:
+        """The tokens of each word."""
+        ids = self.encoder.encode([w.decode() if len(w) <= RUN else "" for w in words], num_threads=1)
+        for i, word in enumerate(words):
+            if len(word) > RUN:
+                ids[i] = self.encode_runs(word.decode())
+        return ids
+
+    def encode_runs(self, word: str) -> np.ndarray:
+        runs = (self.encoder.encode(word[i : i + RUN]) for i in range(0, len(word), RUN))
+        return np.concatenate([np.array(r, dtype=np.int32) for r in runs])
 
     def entropies(self, of: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Entropy over the logarithm of the token count of each of ``len(n)`` groups of ``n`` tokens."""
@@ -131,26 +190,73 @@ class Meter:
         mean = np.bincount(owner, weights=each, minlength=texts) / windows
         return n, n_bytes, np.round(self.entropies(text, ids, n), 9), np.round(mean, 9)
 
+    def long_measures(self, data: bytes) -> tuple[int, int, float, float]:
+        """``token_measures`` of one text, some megabytes of it at a time."""
+        found = []
+        for words in parts(data):
+            found.append(self.words.tokens_of(words)[0])
+            self.forget_many()
+        ids = np.concatenate(found)
+        del found
+        n = len(ids)
+        times = np.bincount(ids, minlength=self.size)
+        n_bytes = int(times[self.is_byte].sum())
+        times = times[times > 0]
+        spent = np.bincount(np.zeros(len(times), dtype=np.int64), weights=times * np.log(times), minlength=1)[0]
+        some = max(n, 2)
+        entropy = (np.log(some) - spent / some) / np.log(some) if n > 1 else float(n)
+        windows, size = max(-(-n // WINDOW), 1), min(n, WINDOW)
+        first = np.arange(windows) * (n - size) // max(windows - 1, 1)
+        each = []
+        for i in range(0, windows, 10_000):
+            start = first[i : i + 10_000]
+            at = np.repeat(start, size) + np.tile(np.arange(size), len(start))
+            owner = np.repeat(np.arange(len(start)), size)
+            each.append(self.entropies(owner, ids[at], np.full(len(start), size)))
+        weights = np.concatenate(each)
+        mean = np.bincount(np.zeros(windows, dtype=np.int64), weights=weights, minlength=1)[0] / windows
+        return n, n_bytes, float(np.round(entropy, 9)), float(np.round(mean, 9))
+
+    def forget_many(self) -> None:
+        if len(self.words.tokens) > TOKENS:
+            self.words.forget()
+
+    def long_text(self, text: str) -> dict:
+        """The measures of a text of more than ``LONG`` characters."""
+        data = text.encode()
+        words, kinds = numbered(data)
+        n_words, repeated = len(words), repeat_numbers(words, kinds)
+        del words
+        n, n_bytes, entropy, mean = self.long_measures(data)
+        del data
+        return self._row(text, n_words, repeated, n, n_bytes, entropy, mean)
+
+    @staticmethod
+    def _row(text: str, n_words: int, repeated: int, n: int, n_bytes: int, entropy: float, mean: float) -> dict:
+        return {
+            "n_words": n_words,
+            "word_chars": len(text) - sum(map(text.count, BLANK)),
+            "n_symbols": sum(map(text.count, SYMBOLS)),
+            "n_dup_lines": duplicate_lines(text),
+            "n_repeat_words": repeated,
+            "n_tokens": n,
+            "n_bytes": n_bytes,
+            "entropy": entropy,
+            "window_entropy": mean,
+            "script": script_of(text),
+        }
+
     def __call__(self, texts: list[str | None]) -> list[dict]:
         out = []
         for start, end in spans([len(t or "") for t in texts], 500_000):
             part = [t or "" for t in texts[start:end]]
+            if len(part[0]) > LONG:
+                out.append(self.long_text(part[0]))  # such a text stands alone
+                continue
+            self.forget_many()
             split = [t.encode().split() for t in part]
             for text, words, n, n_bytes, entropy, mean in zip(part, split, *map(np.ndarray.tolist, self.token_measures(split))):
-                out.append(
-                    {
-                        "n_words": len(words),
-                        "word_chars": len(text) - sum(map(text.count, BLANK)),
-                        "n_symbols": sum(map(text.count, SYMBOLS)),
-                        "n_dup_lines": duplicate_lines(text),
-                        "n_repeat_words": repeat_words(words),
-                        "n_tokens": n,
-                        "n_bytes": n_bytes,
-                        "entropy": entropy,
-                        "window_entropy": mean,
-                        "script": script_of(text),
-                    }
-                )
+                out.append(self._row(text, len(words), repeat_words(words), n, n_bytes, entropy, mean))
         return out
 
 
