@@ -259,6 +259,19 @@ def test_terms_are_words_and_pairs_without_stop_words(spark):
     assert sorted(rows, key=len, reverse=True)[0] == ["été", "big_room", "été big_room"] and [] in rows
 
 
+def test_frequent_terms_are_those_of_the_full_count(spark):
+    """Whatever was guessed and however few buckets there are; ties in alphabetical order."""
+    rng = random.Random(5)
+    rows = [([f"t{min(int(rng.paretovariate(0.7)), 400)}" for _ in range(rng.randint(0, 30))],) for _ in range(600)]
+    df = spark.createDataFrame([*rows, ([],), (["hot"] * 4000,), *[(["copy", "copy", "rare"],)] * 200], "terms array<string>")
+    full = sorted(sentiment.vocabulary(df).collect(), key=lambda r: (-r["tf"], r["term"]))
+    for size in (1, 150, 5000):
+        for buckets, guess_rows in ((1, 30), (64, 5), (2**20, 10_000)):
+            found = sentiment.frequent_terms(df, size, buckets, guess_rows).collect()
+            assert sorted(found, key=lambda r: (-r["tf"], r["term"])) == full[:size]
+    assert sentiment.frequent_terms(df.limit(0), 5).count() == 0
+
+
 def test_splits_are_exact_stable_and_by_user(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 2)).alias("label"))
     split = splits.stratified_split(df, "label", "k")

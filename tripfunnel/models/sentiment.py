@@ -20,6 +20,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripfunnel.session import scratch_path
+
 # Everything between words; a word has letters, digits and underscores of any script.
 BETWEEN_WORDS = r"[^\p{L}\p{N}_]+"
 
@@ -45,26 +47,77 @@ def with_terms(df: DataFrame, text: str = "text", stop_words: Sequence[str] = ()
     ).drop("_words")
 
 
+def _occurrences(documents: DataFrame) -> DataFrame:
+    """A row for each term of each document; ``first`` is 1 for the first of equal ones in a document.
+
+    ``explode_outer`` spares the filter that Spark would derive from ``explode``, which would compute
+    the terms a second time; a document without terms is one row with a null term.
+    """
+    ordered = documents.select(F.sort_array("terms").alias("_terms"))
+    first = F.transform("_terms", lambda t, i: F.struct(
+        t.alias("term"), ((i == 0) | (t != F.get("_terms", i - 1))).cast("long").alias("first")
+    ))
+    return ordered.select(F.explode_outer(first).alias("_t")).select("_t.term", "_t.first")
+
+
+def _counted(occurrences: DataFrame) -> DataFrame:
+    counted = occurrences.groupBy("term").agg(F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df"))
+    return counted.filter(F.col("term").isNotNull())
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def vocabulary(documents: DataFrame, size: int | None = None) -> DataFrame:
     """All terms of a ``terms`` column with their count and the number of documents
     holding them; with ``size`` the most frequent, equal counts in alphabetical order.
 
     One pass: terms are sorted inside their document, where the first of equal ones counts
     for the document too, and are added up in every task before the shuffle.
-    ``posexplode_outer`` spares the filter that Spark would derive from ``posexplode``,
-    which would compute the terms a second time.
     """
-    ordered = documents.select(F.array_sort("terms").alias("_terms"))
-    first = F.transform("_terms", lambda t, i: F.struct(
-        t.alias("term"), ((i == 0) | (t != F.get("_terms", i - 1))).cast("long").alias("first")
-    ))
-    counted = (
-        ordered.select(F.explode_outer(first).alias("_t"))
-        .groupBy(F.col("_t.term").alias("term"))
-        .agg(F.count(F.lit(1)).alias("tf"), F.sum("_t.first").alias("df"))
-        .filter(F.col("term").isNotNull())
+    return _counted(_occurrences(documents)) if size is None else frequent_terms(documents, size)
+
+
+def frequent_terms(
+    documents: DataFrame, size: int, buckets: int = 2**20, guess_rows: int = 2000
+) -> DataFrame:
+    """The ``size`` most frequent terms of ``vocabulary``, without a shuffle of all terms.
+
+    The frequent terms of about ``guess_rows`` sampled documents are a guess. A pass over all documents
+    counts the guessed terms, and all others by hash bucket, so that its shuffle has numbers only. The
+    least count of ``size`` guessed terms is a floor: the term of that rank has no lower one. What lies in
+    a bucket below the floor is below it too, and only the rest is counted by term. The result is exact
+    whatever was guessed; a bad guess only makes the floor lower.
+    """
+    share = guess_rows / max(documents.count(), 1)
+    sampled = documents if share >= 1 else documents.sample(share, seed=42)
+    guess = _stored(
+        _counted(_occurrences(sampled)).orderBy(F.col("tf").desc(), F.col("term")).limit(size).select("term"),
+        "guessed-terms",
+    )
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
+    # The guess has ``size`` rows at most, and there are ``buckets`` buckets at most.
+    guessed = F.broadcast(guess.select("term", F.col("term").alias("_guessed")))
+    met = _stored(
+        documents.select(F.explode("terms").alias("term"))
+        .join(guessed, "term", "left")
+        .groupBy("_guessed", F.when(F.col("_guessed").isNull(), bucket).alias("_bucket"))
+        .agg(F.count(F.lit(1)).alias("tf")),
+        "term-buckets",
+    )
+    known = met.filter(F.col("_guessed").isNotNull())
+    found = known.agg(F.count(F.lit(1)), F.min("tf")).first()
+    floor = found[1] if found[0] == size else 1
+    heavy = met.filter(F.col("tf") >= floor).select(
+        F.coalesce("_bucket", F.pmod(F.xxhash64("_guessed"), F.lit(buckets))).alias("_bucket")
+    ).distinct()
+    counted = _counted(
+        _occurrences(documents).withColumn("_bucket", bucket).join(F.broadcast(heavy), "_bucket", "left_semi")
     )
-    return counted if size is None else counted.orderBy(F.col("tf").desc(), F.col("term")).limit(size)
+    return counted.filter(F.col("tf") >= floor).orderBy(F.col("tf").desc(), F.col("term")).limit(size)
 
 
 class SentimentModel:
@@ -90,10 +143,13 @@ class SentimentModel:
     def fit(self, reviews: DataFrame) -> SentimentModel:
         if self.stop_words is None:
             self.stop_words = StopWordsRemover.loadDefaultStopWords("english")
-        labelled = self._with_terms(
-            reviews.filter(F.col(self.label).isNotNull()).withColumn(
-                self.label, F.col(self.label).cast("string")
-            )
+        labelled = _stored(
+            self._with_terms(
+                reviews.filter(F.col(self.label).isNotNull()).withColumn(
+                    self.label, F.col(self.label).cast("string")
+                )
+            ).select(self.label, "terms"),
+            "labelled-terms",
         )
         classes = {
             row[0]: row[1]
