@@ -102,3 +102,40 @@ def test_the_plan_has_few_shuffles(spark):
     ranked = cf.rank_candidates(cf.recommendation_candidates(table), "2024-01-01 00:00:00")
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") < 10
+
+
+@pytest.mark.parametrize("most_popular, min_shared", [(0, 2), (2, 2), (3, 1), (3, 3), (5, 2), (16, 3)])
+def test_masks_and_pairs_together_equal_all_user_pairs(spark, monkeypatch, most_popular, min_shared):
+    monkeypatch.setattr(cf, "PAIR_COST", 10**9)  # as many bits as allowed
+    weights = random_weights(100 + most_popular, 50, 8, 6)
+    want, similar = brute_force(weights, min_shared)
+    table = affinity(spark, weights)
+    got = {
+        (r["user_id"], r["destination"]): (r["raw_score"], r["supporting_users"])
+        for r in cf.recommendation_candidates(table, min_shared, 7, most_popular).collect()
+    }
+    assert got == want
+    stats = {
+        r["user_id"]: (r["similar_users"], r["similarity_total"])
+        for r in cf.user_similarity(table, min_shared, 7, most_popular).collect()
+    }
+    assert stats == similar
+
+
+def test_a_small_catalogue_makes_no_pairs_of_sets(spark, monkeypatch):
+    """However many users there are and however their profiles differ."""
+
+    def no_pairs(*_):
+        raise AssertionError("pairs of sets were built")
+
+    monkeypatch.setattr(cf, "set_meetings", no_pairs)
+    weights = random_weights(31, 600, 13, 12)
+    want, similar = brute_force(weights)
+    table = affinity(spark, weights)
+    got = {
+        (r["user_id"], r["destination"]): (r["raw_score"], r["supporting_users"])
+        for r in cf.recommendation_candidates(table).collect()
+    }
+    assert got == want
+    stats = {r["user_id"]: (r["similar_users"], r["similarity_total"]) for r in cf.user_similarity(table).collect()}
+    assert stats == similar
