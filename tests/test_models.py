@@ -272,6 +272,19 @@ def test_frequent_terms_are_those_of_the_full_count(spark):
     assert sentiment.frequent_terms(df.limit(0), 5).count() == 0
 
 
+def test_terms_of_all_documents_are_not_listed_when_the_guess_is_good(spark, monkeypatch):
+    """Only the sampled documents' terms are sorted and counted by term."""
+    calls = []
+    occurrences = sentiment._occurrences
+    rows = [([f"t{j}" for j in range(i % 20)],) for i in range(300)]
+    df = spark.createDataFrame(rows, "terms array<string>")
+    full = sorted(sentiment.vocabulary(df).collect(), key=lambda r: (-r["tf"], r["term"]))
+    monkeypatch.setattr(sentiment, "_occurrences", lambda d: calls.append(d) or occurrences(d))
+    found = sentiment.frequent_terms(df, 4, guess_rows=200).collect()
+    assert sorted(found, key=lambda r: (-r["tf"], r["term"])) == full[:4]
+    assert len(calls) == 1
+
+
 def test_splits_are_exact_stable_and_by_user(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 2)).alias("label"))
     split = splits.stratified_split(df, "label", "k")

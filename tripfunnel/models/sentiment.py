@@ -86,20 +86,21 @@ def frequent_terms(
 ) -> DataFrame:
     """The ``size`` most frequent terms of ``vocabulary``, without a shuffle of all terms.
 
-    The frequent terms of about ``guess_rows`` sampled documents are a guess. A pass over all documents
+    Four times as many frequent terms of about ``guess_rows`` sampled documents are a guess. A pass over all documents
     counts the guessed terms, and all others by hash bucket, so that its shuffle has numbers only. The
-    least count of ``size`` guessed terms is a floor: the term of that rank has no lower one. What lies in
-    a bucket below the floor is below it too, and only the rest is counted by term. The result is exact
-    whatever was guessed; a bad guess only makes the floor lower.
+    least count of the ``size`` best of them is a floor: the term of that rank has no lower one. What lies in
+    a bucket below the floor is below it too, and only the rest, if any, is counted by term. The result is exact
+    whatever was guessed; a bad guess only makes the floor lower. The documents that hold a term are counted
+    for the chosen terms alone.
     """
     share = guess_rows / max(documents.count(), 1)
     sampled = documents if share >= 1 else documents.sample(share, seed=42)
     guess = _stored(
-        _counted(_occurrences(sampled)).orderBy(F.col("tf").desc(), F.col("term")).limit(size).select("term"),
+        _counted(_occurrences(sampled)).orderBy(F.col("tf").desc(), F.col("term")).limit(4 * size).select("term"),
         "guessed-terms",
     )
     bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
-    # The guess has ``size`` rows at most, and there are ``buckets`` buckets at most.
+    # The guess has ``4 * size`` rows at most, and there are ``buckets`` buckets at most.
     guessed = F.broadcast(guess.select("term", F.col("term").alias("_guessed")))
     met = _stored(
         documents.select(F.explode("terms").alias("term"))
@@ -109,15 +110,30 @@ def frequent_terms(
         "term-buckets",
     )
     known = met.filter(F.col("_guessed").isNotNull())
-    found = known.agg(F.count(F.lit(1)), F.min("tf")).first()
+    found = known.orderBy(F.col("tf").desc()).limit(size).agg(F.count(F.lit(1)), F.min("tf")).first()
     floor = found[1] if found[0] == size else 1
-    heavy = met.filter(F.col("tf") >= floor).select(
-        F.coalesce("_bucket", F.pmod(F.xxhash64("_guessed"), F.lit(buckets))).alias("_bucket")
-    ).distinct()
-    counted = _counted(
-        _occurrences(documents).withColumn("_bucket", bucket).join(F.broadcast(heavy), "_bucket", "left_semi")
+    heavy = met.filter(F.col("_guessed").isNull() & (F.col("tf") >= floor)).select("_bucket")
+    counted = known.select(F.col("_guessed").alias("term"), "tf")
+    rest = (
+        documents.select(F.explode("terms").alias("term"))
+        .join(F.broadcast(heavy), bucket == F.col("_bucket"), "left_semi")
+        .join(F.broadcast(guess), "term", "left_anti")
+        .filter(F.col("term").isNotNull())
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+    if not heavy.isEmpty():
+        counted = counted.unionByName(rest)
+    chosen = _stored(
+        counted.filter(F.col("tf") >= floor).orderBy(F.col("tf").desc(), F.col("term")).limit(size), "chosen-terms"
+    )
+    return (
+        documents.select(F.explode(F.array_distinct("terms")).alias("term"))
+        .join(F.broadcast(chosen), "term")
+        .groupBy("term", "tf")
+        .agg(F.count(F.lit(1)).alias("df"))
+        .orderBy(F.col("tf").desc(), F.col("term"))
     )
-    return counted.filter(F.col("tf") >= floor).orderBy(F.col("tf").desc(), F.col("term")).limit(size)
 
 
 class SentimentModel:
